@@ -122,26 +122,47 @@ def unwrap_tracking_url(c: Column) -> Column:
     return F.coalesce(unpacked, c)
 
 
-# Day-first reading: in all-digit dates the day comes first wherever it can.
-_ZONED = ["d MMM yyyy HH:mm:ss Z", "yyyy-MM-dd'T'HH:mm:ssXXX"]
-_NAIVE = [
-    "d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm", "d MMM yyyy", "d MMMM yyyy HH:mm:ss", "d MMMM yyyy",
-    "d/M/yyyy HH:mm:ss", "d/M/yyyy HH:mm", "d/M/yyyy", "M/d/yyyy HH:mm:ss", "M/d/yyyy",
-    "d.M.yyyy HH:mm:ss", "d.M.yyyy HH:mm", "d.M.yyyy", "M.d.yyyy",
-    "d-M-yyyy HH:mm:ss", "d-M-yyyy", "M-d-yyyy",
-    "yyyy-d-M HH:mm:ss", "yyyy-d-M HH:mm", "yyyy-d-M", "yyyy-M-d HH:mm:ss", "yyyy-M-d HH:mm", "yyyy-M-d",
-    "yyyy-d-M'T'HH:mm:ss", "yyyy-M-d'T'HH:mm:ss",
-]
+_TIME = r"(?:[T ,]+(\d{1,2}):(\d{2})(?::(\d{2}))?)?(?:\s*(Z|GMT|UTC|[+-]\d{2}:?\d{2}))?\z"
+_DIGITS = rf"\A(\d{{1,4}})[-/.](\d{{1,2}})[-/.](\d{{1,4}}){_TIME}"
+_NAMED = rf"\A(\d{{1,2}}) ([A-Za-z]{{3}})[a-z]*[.,]? (\d{{4}}){_TIME}"
+_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
 def parse_date(c: Column) -> Column:
-    """Day-first date text to ``timestamp_ntz`` in UTC; unreadable text is NULL."""
-    text = F.regexp_replace(strip(c), r"\A[A-Za-z]{3,9},\s+", "")
-    text = F.regexp_replace(text, r"\s*\([^)]*\)\z", "")
-    text = F.regexp_replace(text, r"\s(?:GMT|UTC)\z", " +0000")
-    zoned = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in _ZONED]
-    naive = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in _NAIVE]
-    return F.coalesce(*zoned, *naive)
+    """Day-first date text to ``timestamp_ntz`` in UTC; unreadable text is NULL.
+
+    In all-digit dates the day comes before the month wherever that gives a month,
+    also after a leading year. Weekday names and zone comments are ignored.
+    """
+    text = F.regexp_replace(strip(c), r"\A[A-Za-z]{3,9},\s*|\s*\([^)]*\)\z", "")
+    digits = text.rlike(_DIGITS)
+
+    def part(index: int) -> Column:
+        return F.when(digits, F.regexp_extract(text, _DIGITS, index)).otherwise(F.regexp_extract(text, _NAMED, index))
+
+    def number(index: int) -> Column:
+        return F.coalesce(part(index).try_cast("int"), F.lit(0))
+
+    month_at = F.instr(F.lit(_MONTHS), F.lower(F.regexp_extract(text, _NAMED, 2)))
+    named_month = F.when(month_at % 3 == 1, F.floor(month_at / 3) + 1).cast("int")
+    fields = F.struct(number(1).alias("a"), F.when(digits, number(2)).otherwise(named_month).alias("b"),
+                      number(3).alias("c"), number(4).alias("h"), number(5).alias("mi"), number(6).alias("s"),
+                      F.length(part(1)).alias("wide"), part(7).alias("zone"))
+
+    def build(f: Column) -> Column:
+        year_first = digits & (f["wide"] == 4)
+        year = F.when(year_first, f["a"]).otherwise(f["c"])
+        late, early = F.when(year_first, f["c"]).otherwise(f["b"]), F.when(year_first, f["b"]).otherwise(f["a"])
+        swap = digits & (late > 12)
+        month, day = F.when(swap, early).otherwise(late), F.when(swap, late).otherwise(early)
+        local = F.try_make_timestamp_ntz(year, month, day, f["h"], f["mi"], f["s"])
+        sign = F.when(F.startswith(f["zone"], F.lit("-")), 1).otherwise(-1)
+        clock = F.regexp_replace(f["zone"], "[^0-9]", "")
+        minutes = F.coalesce(F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int"),
+                             F.lit(0))
+        return F.timestamp_add("MINUTE", sign * minutes, local)
+
+    return let(fields, build)
 
 
 def vacancy_key(date: Column, message_id: Column, part_no: Column) -> Column:

@@ -2,6 +2,22 @@
 
 from __future__ import annotations
 
-from jobsignal.plans import dom_queries, message_queries, source_queries
+from jobsignal.plans import (
+    dom_queries,
+    function_queries,
+    market_queries,
+    merge_queries,
+    message_queries,
+    source_queries,
+    stream_queries,
+)
 
-CATALOG = {**source_queries.QUERIES, **message_queries.QUERIES, **dom_queries.QUERIES}
+CATALOG = {
+    **source_queries.QUERIES,
+    **message_queries.QUERIES,
+    **dom_queries.QUERIES,
+    **merge_queries.QUERIES,
+    **market_queries.QUERIES,
+    **function_queries.QUERIES,
+    **stream_queries.QUERIES,
+}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -30,3 +30,17 @@ def work_folder(spark: SparkSession) -> str:
         base = _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="jobsignal-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/jobsignal-{app}"
+
+
+# Below this size a round-robin shuffle costs less than leaving most cores idle.
+SPREAD_BYTES = 256 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a small input over all cores before a CPU-heavy step.
+
+    Small inputs come as one or two files, hence one or two tasks. Larger inputs are
+    split by their size already and are left alone, without any shuffle.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SPREAD_BYTES else df

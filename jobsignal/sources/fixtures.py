@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignal.session import work_folder
+from jobsignal.session import spread, work_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +31,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build, files: int | None
     if key not in _LANDED:
         path = f"{work_folder(spark)}/{sf_dir.strip('/').replace('/', '_')}/{name}"
         df = build(spark, sf_dir)
-        (df.repartition(files) if files else df).write.mode("overwrite").parquet(path)
+        (df.repartition(files) if files else spread(df)).write.mode("overwrite").parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 

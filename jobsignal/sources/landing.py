@@ -16,6 +16,7 @@ from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.functions import scalars as X
 from jobsignal.operators.classify import with_chat_type
+from jobsignal.session import spread
 
 # Functions of this module travel to the workers by value; nothing has to be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -94,7 +95,7 @@ def _body(part) -> str:
 
 
 def parse_mail(files: DataFrame) -> DataFrame:
-    """``email_uid, content`` bytes to headers, bodies and UTC date, without a shuffle."""
+    """``email_uid, content`` bytes to headers, bodies and UTC date."""
     names = ["email_uid", "sender", "subject", "date_text", "text", "html", "n_attachments"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32()]
 
@@ -107,7 +108,7 @@ def parse_mail(files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    parsed = files.select("email_uid", "content").mapInArrow(run, MAIL_SCHEMA)
+    parsed = spread(files.select("email_uid", "content")).mapInArrow(run, MAIL_SCHEMA)
     return parsed.withColumn("date", X.parse_date(F.col("date_text"))).drop("date_text")
 
 
