@@ -134,35 +134,37 @@ def parse_date(c: Column) -> Column:
     In all-digit dates the day comes before the month wherever that gives a month,
     also after a leading year. Weekday names and zone comments are ignored.
     """
-    text = F.regexp_replace(strip(c), r"\A[A-Za-z]{3,9},\s*|\s*\([^)]*\)\z", "")
-    digits = text.rlike(_DIGITS)
-
-    def part(index: int) -> Column:
-        return F.when(digits, F.regexp_extract(text, _DIGITS, index)).otherwise(F.regexp_extract(text, _NAMED, index))
-
-    def number(index: int) -> Column:
-        return F.coalesce(part(index).try_cast("int"), F.lit(0))
-
-    month_at = F.instr(F.lit(_MONTHS), F.lower(F.regexp_extract(text, _NAMED, 2)))
-    named_month = F.when(month_at % 3 == 1, F.floor(month_at / 3) + 1).cast("int")
-    fields = F.struct(number(1).alias("a"), F.when(digits, number(2)).otherwise(named_month).alias("b"),
-                      number(3).alias("c"), number(4).alias("h"), number(5).alias("mi"), number(6).alias("s"),
-                      F.length(part(1)).alias("wide"), part(7).alias("zone"))
-
-    def build(f: Column) -> Column:
-        year_first = digits & (f["wide"] == 4)
-        year = F.when(year_first, f["a"]).otherwise(f["c"])
-        late, early = F.when(year_first, f["c"]).otherwise(f["b"]), F.when(year_first, f["b"]).otherwise(f["a"])
-        swap = digits & (late > 12)
-        month, day = F.when(swap, early).otherwise(late), F.when(swap, late).otherwise(early)
-        local = F.try_make_timestamp_ntz(year, month, day, f["h"], f["mi"], f["s"])
-        sign = F.when(F.startswith(f["zone"], F.lit("-")), 1).otherwise(-1)
-        clock = F.regexp_replace(f["zone"], "[^0-9]", "")
-        minutes = F.coalesce(F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int"),
-                             F.lit(0))
-        return F.timestamp_add("MINUTE", sign * minutes, local)
-
-    return let(fields, build)
+    plain = F.regexp_replace(strip(c), r"\A[A-Za-z]{3,9},\s*|\s*\([^)]*\)\z", "")
+    return let(plain, lambda text: let(_date_fields(text), _build_date))
+
+
+def _date_fields(text: Column) -> Column:
+    """Numbers of a date text: ``a b c`` in writing order, clock, zone and the shape."""
+    def read(pattern: str, month: Column, kind: int) -> Column:
+        number = lambda i: F.coalesce(F.regexp_extract(text, pattern, i).try_cast("int"), F.lit(0))
+        return F.struct(number(1).alias("a"), month.alias("b"), number(3).alias("c"), number(4).alias("h"),
+                        number(5).alias("mi"), number(6).alias("s"), F.regexp_extract(text, pattern, 7).alias("zone"),
+                        F.lit(kind).alias("kind"))
+
+    at = F.instr(F.lit(_MONTHS), F.lower(F.regexp_extract(text, _NAMED, 2)))
+    month = F.when(at % 3 == 1, F.floor(at / 3) + 1).cast("int")
+    digits = lambda kind: read(_DIGITS, F.regexp_extract(text, _DIGITS, 2).try_cast("int"), kind)
+    return (F.when(text.rlike(_NAMED), read(_NAMED, month, 0))
+            .when(text.rlike(_DIGITS) & text.rlike(r"\A\d{4}"), digits(2)).when(text.rlike(_DIGITS), digits(1)))
+
+
+def _build_date(f: Column) -> Column:
+    year_first = f["kind"] == 2
+    year = F.when(year_first, f["a"]).otherwise(f["c"])
+    late, early = F.when(year_first, f["c"]).otherwise(f["b"]), F.when(year_first, f["b"]).otherwise(f["a"])
+    swap = (f["kind"] > 0) & (late > 12)
+    month, day = F.when(swap, early).otherwise(late), F.when(swap, late).otherwise(early)
+    local = F.try_make_timestamp_ntz(year, month, day, f["h"], f["mi"], f["s"])
+    sign = F.when(F.startswith(f["zone"], F.lit("-")), 1).otherwise(-1)
+    clock = F.regexp_replace(f["zone"], "[^0-9]", "")
+    minutes = F.coalesce(F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 3, 2).try_cast("int"),
+                         F.lit(0))
+    return F.timestamp_add("MINUTE", sign * minutes, local)
 
 
 def vacancy_key(date: Column, message_id: Column, part_no: Column) -> Column:

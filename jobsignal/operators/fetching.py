@@ -76,9 +76,9 @@ def point_urls(urls: DataFrame, batch: DataFrame, order: list[str]) -> DataFrame
 def apply_web_parse(urls: DataFrame, parsed: DataFrame, run_ts: datetime) -> DataFrame:
     """Canonical url and parsing time on the rows whose page was parsed.
 
-    ``parsed`` has one row per ``page_url``; a page without canonical link keeps its url.
+    A page without canonical link keeps its url.
     """
-    done = parsed.select("page_url", F.col("url").alias("_canonical")).alias("p")
+    done = parsed.groupBy("page_url").agg(F.max("url").alias("_canonical"))
     return urls.join(done, F.col("url") == F.col("page_url"), "left").select(*[
         F.coalesce("_canonical", "url").alias(c) if c == "url" else
         F.when(F.col("page_url").isNotNull(), F.lit(run_ts).cast("timestamp_ntz")).otherwise(F.col(c)).alias(c)

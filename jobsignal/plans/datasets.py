@@ -45,16 +45,16 @@ def page_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred(table(spark, sf_dir, "pages").select("page_id", "html"))
 
 
-def extract_chat(messages: DataFrame) -> DataFrame:
-    """Typed messages to keyed vacancy rows."""
+def extract_chat(messages: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Typed messages to keyed vacancy rows; ``keep`` names columns to carry along."""
     vacancies = chat_ops.extract_vacancies(
-        messages.where(F.col("message_type_id") == S.CHAT_VACANCY).select("message_id", "date", "text"))
+        messages.where(F.col("message_type_id") == S.CHAT_VACANCY).select("message_id", "date", *keep, "text"))
     return vacancies.withColumn("data_hash", X.vacancy_key(F.col("date"), F.col("message_id"), F.col("part_no")))
 
 
-def extract_mail(nodes: DataFrame) -> DataFrame:
+def extract_mail(nodes: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
     vacancies = mail_ops.extract_vacancies(
-        nodes.where(classify.mail_type(F.col("nodes")) == S.MAIL_VACANCY).select("email_uid", "date", "nodes"))
+        nodes.where(classify.mail_type(F.col("nodes")) == S.MAIL_VACANCY).select("email_uid", "date", *keep, "nodes"))
     return vacancies.withColumn("data_hash", X.vacancy_key(F.col("date"), F.col("email_uid"), F.col("part_no")))
 
 
