@@ -1,115 +1,177 @@
-"""Selectors over shredded HTML as higher-order column functions.
+"""Selectors over shredded HTML as higher-order functions.
 
 A *fragment* is a slice of a page's node array, in document order, whose first
 element is the scope itself. Because node ids are positions and every node knows the
 id of its last descendant, a subtree is one contiguous slice: no parent walks.
+
+The bodies are written as SQL text and parsed once per use: a selector is dozens of
+small expressions, and building those one API call at a time takes longer than
+running them on a small page set.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from jobsignal.dictionaries import Selector
-from jobsignal.functions.scalars import WS, let, strip
+from jobsignal.functions.scalars import STRIP, WS, apply_sql, literal
 
 NODE_TYPE = ("struct<id:int,last:int,parent:int,tag:string,attrs:map<string,string>,"
              "text:string,beg:int,fin:int>")
 NODES_TYPE = f"array<{NODE_TYPE}>"
 
-Test = Callable[[Column], Column]
+# A node test: name of the lambda variable -> SQL condition.
+Test = Callable[[str], str]
 Path = tuple[tuple[str, tuple[str, ...]], ...]
 
+_names = (f"n{i}" for i in count())
+
+
+def _let(value: str, body: Callable[[str], str]) -> str:
+    v = next(_names)
+    return f"get(transform(array({value}), {v} -> {body(v)}), 0)"
+
+
+def _each(function: str, array: str, body: Callable[[str], str]) -> str:
+    v = next(_names)
+    return f"{function}({array}, {v} -> {body(v)})"
+
+
+def _strip(text: str) -> str:
+    return f"regexp_replace({text}, {literal(STRIP)}, '')"
+
+
+# ------------------------------------------------------------------------ tests
 
 def tag_is(tag: str) -> Test:
-    return lambda n: n["tag"] == tag
+    return lambda n: f"{n}.tag = {literal(tag)}"
 
 
-def attr(node: Column, name: str) -> Column:
-    return F.try_element_at(node["attrs"], F.lit(name))
+def _tokens(text: str) -> str:
+    return f"split({_strip(text)}, {literal(f'(?U){WS}+')})"
 
 
-def _tokens(value: Column) -> Column:
-    return F.split(strip(value), rf"(?U){WS}+")
+def _attr(node: str, name: str) -> str:
+    return f"try_element_at({node}.attrs, {literal(name)})"
 
 
-def attr_matches(value: Column, name: str, wanted: tuple[str, ...]) -> Column:
+def attr_test(name: str, wanted: tuple[str, ...]) -> Test:
     """Attribute test: declarations of a style, tokens of a class, else substrings."""
-    if name == "style":
-        parts = F.split(strip(F.lower(value)), rf"(?U){WS}*;{WS}*")
-        tests = [F.array_contains(parts, w) for w in wanted]
-    elif name == "class":
-        parts = _tokens(F.lower(value))
-        tests = [F.array_contains(parts, w.lower()) for w in wanted]
-    else:
-        tests = [F.contains(value, F.lit(w)) for w in wanted]
-    result = value != ""
-    for t in tests:
-        result = result & t
-    return F.coalesce(result, F.lit(False))
+    def test(n: str) -> str:
+        value = _attr(n, name)
+        if name == "style":
+            parts = f"split({_strip(f'lower({value})')}, {literal(f'(?U){WS}*;{WS}*')})"
+            return _let(parts, lambda p: " AND ".join(f"array_contains({p}, {literal(w)})" for w in wanted))
+        if name == "class":
+            return _let(_tokens(f"lower({value})"),
+                        lambda p: " AND ".join(f"array_contains({p}, {literal(w.lower())})" for w in wanted))
+        return " AND ".join([f"{value} <> ''"] + [f"contains({value}, {literal(w)})" for w in wanted])
+
+    return lambda n: f"coalesce({_attr(n, name)} <> '' AND {test(n)}, false)"
 
 
 def matches(selector: Selector) -> Test:
-    return lambda n: (n["tag"] == selector.tag) & attr_matches(attr(n, selector.attr), selector.attr, selector.values)
+    of_attr = attr_test(selector.attr, selector.values)
+    return lambda n: f"{n}.tag = {literal(selector.tag)} AND {of_attr(n)}"
+
+
+def any_of(*tests: Test) -> Test:
+    return lambda n: "(" + " OR ".join(f"({t(n)})" for t in tests) + ")"
 
 
 def step_matches(step: tuple[str, tuple[str, ...]]) -> Test:
     """One compound of a CSS path: tag plus case-sensitive classes."""
     tag, classes = step
 
-    def test(n: Column) -> Column:
-        result = n["tag"] == tag
-        for c in classes:
-            result = result & F.coalesce(F.array_contains(_tokens(attr(n, "class")), c), F.lit(False))
-        return result
+    def test(n: str) -> str:
+        own = f"{n}.tag = {literal(tag)}"
+        if not classes:
+            return own
+        has = _let(_tokens(_attr(n, "class")), lambda p: " AND ".join(f"array_contains({p}, {literal(c)})" for c in classes))
+        return f"{own} AND coalesce({has}, false)"
 
     return test
 
 
-def scope(fragment: Column) -> Column:
-    return F.get(fragment, F.lit(0))
+# -------------------------------------------------------------------- SQL bodies
 
+def _inside(f: str) -> str:
+    return f"slice({f}, 2, size({f}))"
 
-def inside(fragment: Column) -> Column:
-    """Descendants of the scope."""
-    return F.slice(fragment, F.lit(2), F.size(fragment))
 
+def _piece(f: str, n: str) -> str:
+    return f"slice({f}, {n}.id - {f}[0].id + 1, {n}.last - {n}.id + 1)"
 
-def piece(fragment: Column, node: Column) -> Column:
-    """The node's own fragment."""
-    return F.slice(fragment, node["id"] - scope(fragment)["id"] + 1, node["last"] - node["id"] + 1)
 
+def _find_all(fragment: str, test: Test) -> str:
+    return _let(fragment, lambda f: _each("transform", _each("filter", _inside(f), test), lambda n: _piece(f, n)))
 
-def find_all(fragment: Column, test: Test) -> Column:
-    return let(fragment, lambda f: F.transform(F.filter(inside(f), test), lambda n: piece(f, n)))
 
+def _find(fragment: str, test: Test) -> str:
+    return _let(fragment, lambda f: "get({}, 0)".format(_each(
+        "transform", f"slice({_each('filter', _inside(f), test)}, 1, 1)", lambda n: _piece(f, n))))
+
+
+def _below(nodes: str, ancestors: str, test: Test) -> str:
+    return _let(ancestors, lambda up: _each("filter", nodes, lambda n: f"{test(n)} AND " + _each(
+        "exists", up, lambda a: f"{a}.id < {n}.id AND {n}.id <= {a}.last")))
+
+
+def _select(fragment: str, path: Path, page: str) -> str:
+    up = _each("filter", page, step_matches(path[0]))
+    for step in path[1:-1]:
+        up = _below(page, up, step_matches(step))
+    return _let(fragment, lambda f: _each(
+        "transform", _below(_inside(f), up, step_matches(path[-1])), lambda n: _piece(f, n)))
 
-def find(fragment: Column, test: Test) -> Column:
-    first = F.lit(1)
-    return let(fragment, lambda f: F.get(
-        F.transform(F.slice(F.filter(inside(f), test), first, first), lambda n: piece(f, n)), F.lit(0)))
 
+def _texts(f: str) -> str:
+    return _each("filter", f, tag_is("#text"))
 
-def select_nodes(page: Column, path: Path) -> Column:
-    """All nodes matching a descendant path, in document order."""
-    found = F.filter(page, step_matches(path[0]))
-    for step in path[1:]:
-        found = _below(page, found, step)
-    return found
 
+def _text(f: str) -> str:
+    return f"array_join({_each('transform', _texts(f), lambda n: _strip(f'{n}.text'))}, '')"
 
-def _below(nodes: Column, ancestors: Column, step: tuple[str, tuple[str, ...]]) -> Column:
-    test = step_matches(step)
-    return let(ancestors, lambda up: F.filter(nodes, lambda n: test(n) & F.exists(
-        up, lambda a: (a["id"] < n["id"]) & (n["id"] <= a["last"]))))
+
+def _raw_text(f: str) -> str:
+    return f"array_join({_each('transform', _texts(f), lambda n: f'{n}.text')}, '')"
+
+
+# ------------------------------------------------------------- column functions
+
+def scope(fragment: Column) -> Column:
+    return F.get(fragment, F.lit(0))
+
+
+def nodes_where(fragment: Column, test: Test) -> Column:
+    """Matching nodes without their subtrees."""
+    return apply_sql(fragment, lambda f: _each("filter", f, test))
+
+
+def any_node(fragment: Column, test: Test) -> Column:
+    return apply_sql(fragment, lambda f: _each("exists", f, test))
+
+
+def find_all(fragment: Column, test: Test) -> Column:
+    """Fragments of all descendants that pass the test."""
+    return apply_sql(fragment, lambda f: _find_all(f, test))
+
+
+def find(fragment: Column, test: Test) -> Column:
+    """Fragment of the first descendant that passes the test, else NULL."""
+    return apply_sql(fragment, lambda f: _find(f, test))
 
 
 def select(fragment: Column, path: Path, page: Column | None = None) -> Column:
     """Fragments under the scope matching a path whose ancestors may lie above it."""
-    up = select_nodes(page if page is not None else fragment, path[:-1])
-    return let(fragment, lambda f: F.transform(_below(inside(f), up, path[-1]), lambda n: piece(f, n)))
+    if page is None:
+        return apply_sql(fragment, lambda f: _select(f, path, f))
+    both = F.struct(fragment.alias("f"), page.alias("p"))
+    return apply_sql(both, lambda s: _select(f"{s}.f", path, f"{s}.p"))
 
 
 def select_one(fragment: Column, path: Path, page: Column | None = None) -> Column:
@@ -118,58 +180,58 @@ def select_one(fragment: Column, path: Path, page: Column | None = None) -> Colu
 
 def find_after(page: Column, anchor_id: Column, tag: str) -> Column:
     """First node with a tag that starts after the anchor in document order."""
-    return let(anchor_id, lambda a: find(page, lambda n: (n["tag"] == tag) & (n["id"] > a)))
+    both = F.struct(page.alias("p"), anchor_id.alias("a"))
+    return apply_sql(both, lambda s: _let(f"{s}.a", lambda a: _find(
+        f"{s}.p", lambda n: f"{n}.id > {a} AND {n}.tag = {literal(tag)}")))
 
 
 def children(fragment: Column, tag: str) -> Column:
-    return let(fragment, lambda f: let(scope(f)["id"], lambda p: F.transform(
-        F.filter(inside(f), lambda n: (n["parent"] == p) & (n["tag"] == tag)), lambda n: piece(f, n))))
-
-
-def _texts(fragment: Column) -> Column:
-    return F.filter(fragment, tag_is("#text"))
+    """Fragments of the direct children with a tag."""
+    return apply_sql(fragment, lambda f: _let(f"{f}[0].id", lambda p: _find_all(
+        f, lambda n: f"{n}.parent = {p} AND {n}.tag = {literal(tag)}")))
 
 
 def text(fragment: Column) -> Column:
     """Trimmed text nodes joined without a separator."""
-    return F.array_join(F.transform(_texts(fragment), lambda n: strip(n["text"])), "")
+    return apply_sql(fragment, _text)
 
 
 def raw_text(fragment: Column) -> Column:
-    return F.array_join(F.transform(_texts(fragment), lambda n: n["text"]), "")
+    return apply_sql(fragment, _raw_text)
 
 
 def text_without(fragment: Column, tag: str) -> Column:
     """Text of the scope minus its first nested ``tag``."""
-    return let(fragment, lambda f: let(scope(find(f, tag_is(tag))), lambda cut: text(F.filter(
-        f, lambda n: cut["id"].isNull() | (n["id"] < cut["id"]) | (n["id"] > cut["last"])))))
+    return apply_sql(fragment, lambda f: _let(f"{_find(f, tag_is(tag))}[0]", lambda cut: _text(_each(
+        "filter", f, lambda n: f"{cut}.id IS NULL OR {n}.id < {cut}.id OR {n}.id > {cut}.last"))))
 
 
 def attr_of(fragment: Column, name: str) -> Column:
-    return attr(scope(fragment), name)
+    return F.try_element_at(scope(fragment)["attrs"], F.lit(name))
 
 
 def heading_id(page: Column, tag: str, keywords: list[str]) -> Column:
     """Id of the first ``tag`` whose lower-cased text contains a keyword."""
-    def talks(f: Column) -> Column:
-        low = F.lower(raw_text(f))
-        result = F.contains(low, F.lit(keywords[0]))
-        for k in keywords[1:]:
-            result = result | F.contains(low, F.lit(k))
-        return result
+    def talks(f: str) -> str:
+        return _let(f"lower({_raw_text(f)})", lambda low: " OR ".join(f"contains({low}, {literal(k)})" for k in keywords))
 
-    return scope(F.get(F.filter(find_all(page, tag_is(tag)), talks), F.lit(0)))["id"]
+    return apply_sql(page, lambda p: f"get({_each('filter', _find_all(p, tag_is(tag)), talks)}, 0)[0].id")
 
 
 def table_entries(fragment: Column) -> Column:
     """``array<struct<k,v>>`` of the rows with exactly two cells, in row order."""
-    rows = F.transform(find_all(fragment, tag_is("tr")), lambda r: find_all(r, tag_is("td")))
-    return F.transform(F.filter(rows, lambda cells: F.size(cells) == 2), lambda cells: F.struct(
-        text(F.get(cells, F.lit(0))).alias("k"), text(F.get(cells, F.lit(1))).alias("v")))
+    def rows(f: str) -> str:
+        cells = _each("transform", _find_all(f, tag_is("tr")), lambda r: _find_all(r, tag_is("td")))
+        pairs = _each("filter", cells, lambda c: f"size({c}) = 2")
+        return _each("transform", pairs, lambda c: f"named_struct('k', {_text(f'{c}[0]')}, 'v', {_text(f'{c}[1]')})")
+
+    return apply_sql(fragment, rows)
 
 
 def last_wins(entries: Column) -> Column:
     """One entry per key in first-seen order, holding the last value given."""
-    return let(entries, lambda es: F.transform(
-        F.array_distinct(F.transform(es, lambda e: e["k"])),
-        lambda k: F.element_at(F.filter(es, lambda e: e["k"] == k), -1)))
+    def merged(es: str) -> str:
+        keys = f"array_distinct({_each('transform', es, lambda e: f'{e}.k')})"
+        return _each("transform", keys, lambda k: f"element_at({_each('filter', es, lambda e: f'{e}.k = {k}')}, -1)")
+
+    return apply_sql(entries, merged)

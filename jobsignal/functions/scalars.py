@@ -6,7 +6,7 @@ and can be used in batch and streaming plans alike.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from jobsignal import dictionaries as D
 
 # Unicode white space plus the four separators that count as blanks in text data.
 WS = r"[\s\x1c-\x1f]"
+STRIP = rf"(?U)\A{WS}+|{WS}+\z"
 _NUMBER_TEXT = (
     rf"(?U)\A{WS}*([-+]?(?:[0-9]+|(?:[0-9]+[.][0-9]*|[.][0-9]+)(?:[eE][-+]?[0-9]+)?)){WS}*\z"
 )
@@ -25,9 +26,19 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def literal(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def apply_sql(c: Column, body: Callable[[str], str]) -> Column:
+    """Column of an SQL expression over one variable, evaluated once per row."""
+    return F.get(F.call_function("transform", F.array(c), F.expr(f"arg -> {body('arg')}")), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim Unicode white space on both sides."""
-    return F.regexp_replace(c, rf"(?U)\A{WS}+|{WS}+\z", "")
+    return F.regexp_replace(c, STRIP, "")
 
 
 def group_or_null(c: Column, pattern: str, index: int = 1) -> Column:
@@ -87,22 +98,27 @@ def html_to_text(c: Column) -> Column:
     return c
 
 
-def literal_map(pairs: Iterable[tuple[str, str]]) -> Column:
-    return F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-
-
 def normalize(c: Column, name: str) -> Column:
     """Whole-text synonym lookup; texts outside the dictionary stay as they are."""
+    return apply_sql(c, lambda x: _synonym(x, name))
+
+
+def _synonym(x: str, name: str) -> str:
     pairs = D.synonym_pairs(name)
-    return F.coalesce(F.try_element_at(literal_map(pairs), c), c) if pairs else c
+    entries = ", ".join(f"{literal(text)}, {literal(target)}" for text, target in pairs)
+    return f"coalesce(try_element_at(map({entries}), {x}), {x})" if pairs else x
 
 
 def clean(c: Column, name: str) -> Column:
     """Blank to NULL, synonyms, then cut the dictionary's fragments, then trim."""
-    value = normalize(c, name)
-    for fragment in D.removal_order(name):
-        value = F.replace(value, F.lit(fragment), F.lit(""))
-    return F.when(strip(c) != "", strip(value))
+    def body(x: str) -> str:
+        value = _synonym(x, name)
+        for fragment in D.removal_order(name):
+            value = f"replace({value}, {literal(fragment)}, '')"
+        trim = lambda v: f"regexp_replace({v}, {literal(STRIP)}, '')"
+        return f"CASE WHEN {trim(x)} <> '' THEN {trim(value)} END"
+
+    return apply_sql(c, body)
 
 
 def canonical_url(c: Column) -> Column:
@@ -180,21 +196,22 @@ def split_middot(c: Column, keep_blanks: bool) -> Column:
     return pieces if keep_blanks else F.filter(pieces, lambda p: p != "")
 
 
-def missing_report(fields: list[tuple[str, Column, Column | None]], bare_single: bool) -> Column:
-    """Audit text over ``(name, value, expected)``: NULL, a name, or ``n | m, names``.
+def missing_report(fields: list[tuple[str, Column | None]], bare_single: bool) -> Column:
+    """Audit text over ``(column, expected)``: NULL, a name, or ``n | m, names``.
 
-    ``expected`` None means the field is always expected.
+    ``expected`` None means the column is always expected.
     """
-    always = F.lit(True)
-    wanted = [F.coalesce(e, F.lit(False)) if e is not None else always for _, _, e in fields]
-    expected = sum((w.cast("int") for w in wanted[1:]), wanted[0].cast("int"))
-    names = F.array_compact(F.array(*[
-        F.when(w & v.isNull(), F.lit(name)) for (name, v, _), w in zip(fields, wanted)]))
-
-    def render(missing: Column) -> Column:
-        many = F.concat(F.size(missing).cast("string"), F.lit(" | "), expected.cast("string"),
-                        F.lit(", "), F.array_join(missing, ", "))
-        several = F.when(F.size(missing) > 0, many)
-        return F.when(F.size(missing) == 1, F.get(missing, F.lit(0))).otherwise(several) if bare_single else several
-
-    return let(names, render)
+    optional = {name: F.coalesce(e, F.lit(False)) for name, e in fields if e is not None}
+    wanted = F.struct(F.lit(True).alias("always"), *[e.alias(name) for name, e in optional.items()])
+    values = F.struct(*[F.col(name).isNull().alias(name) for name, _ in fields])
+
+    def body(x: str) -> str:
+        need = [f"{x}.w.{name if name in optional else 'always'}" for name, _ in fields]
+        names = ", ".join(f"IF({w} AND {x}.m.{name}, '{name}', NULL)" for w, (name, _) in zip(need, fields))
+        expected = " + ".join(f"int({w})" for w in need)
+        many = f"concat(size(missing), ' | ', {expected}, ', ', array_join(missing, ', '))"
+        single = "WHEN size(missing) = 1 THEN missing[0]" if bare_single else ""
+        return (f"get(transform(array(array_compact(array({names}))), missing -> "
+                f"CASE {single} WHEN size(missing) > 0 THEN {many} END), 0)")
+
+    return apply_sql(F.struct(wanted.alias("w"), values.alias("m")), body)

@@ -74,7 +74,7 @@ def extract_vacancies(messages: DataFrame, text: str = "text") -> DataFrame:
     return found.select(
         *kept, "part_no", "position", "location", "experience", "salary_from", "salary_to", "job_desc_prev",
         "company", "subscription", "url",
-        X.missing_report([(a, F.col(a), e) for a, e in audit], bare_single=True).alias("parsing_error"),
+        X.missing_report(audit, bare_single=True).alias("parsing_error"),
         F.when(F.col("single_line"), F.lit("single_line_part")).when(F.col("url").isNull(), F.lit("missing_url"))
         .alias("quarantine"), F.col("part").alias("payload"))
 
@@ -97,11 +97,11 @@ def extract_statistics(messages: DataFrame, text: str = "text") -> DataFrame:
         *kept, *[measure(name).alias(name) for name in STATISTIC_FIELDS],
         X.to_numeric(F.regexp_extract(source, salary, 1)).alias("min_salary"),
         X.to_numeric(F.regexp_extract(source, salary, 2)).alias("max_salary"))
-    report = X.missing_report([(f, F.col(f), None) for f in STATISTIC_FIELDS], bare_single=False)
+    report = X.missing_report([(f, None) for f in STATISTIC_FIELDS], bare_single=False)
     return found.withColumn("stat_parsing_error", report)
 
 
 def raw_audit(messages: DataFrame) -> DataFrame:
     """Chat raw rows with the audit of the fields every message should carry."""
-    fields = [(name, F.col(name), None) for name in ("date", "message_id", "text")]
+    fields = [(name, None) for name in ("date", "message_id", "text")]
     return messages.withColumn("raw_parsing_error", X.missing_report(fields, bare_single=False))

@@ -26,8 +26,7 @@ def chat_type(text: Column) -> Column:
 
 def mail_type(nodes: Column) -> Column:
     """Type id of a mail from its shredded html."""
-    tests = [dom.matches(s) for s in D.MAIL_SIGNS]
-    has_card = F.exists(nodes, lambda n: tests[0](n) | tests[1](n))
+    has_card = dom.any_node(nodes, dom.any_of(*[dom.matches(s) for s in D.MAIL_SIGNS]))
     return F.when(has_card, S.MAIL_VACANCY).otherwise(S.MAIL_UNKNOWN)
 
 

@@ -24,7 +24,7 @@ def _cards(mails: DataFrame, card: D.Selector, with_heading: bool) -> DataFrame:
     cards = dom.find_all(F.col("nodes"), dom.matches(card))
     if with_heading:
         # A heading around the whole card also counts as ancestor of the card's links.
-        headings = F.filter("nodes", dom.tag_is("h3"))
+        headings = dom.nodes_where(F.col("nodes"), dom.tag_is("h3"))
         cards = X.let(headings, lambda hs: F.transform(cards, lambda f: F.struct(
             f.alias("card"),
             F.exists(hs, lambda h: (h["id"] < dom.scope(f)["id"]) & (dom.scope(f)["id"] <= h["last"])).alias("wrapped"))))
@@ -137,7 +137,7 @@ def _result(fields: DataFrame, kept: list[str], audit: list[tuple[str, Column |
     present = set(fields.columns)
     return fields.select(
         *kept, "part_no", *_null_fields(fields, present),
-        X.missing_report([(a, F.col(a), e) for a, e in audit], bare_single=True).alias("parsing_error"),
+        X.missing_report(audit, bare_single=True).alias("parsing_error"),
         "quarantine")
 
 

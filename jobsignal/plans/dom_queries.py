@@ -27,7 +27,7 @@ SELECT page_id, len(regexp_extract_all(html, '<li>'))::INTEGER AS items,
   len(regexp_extract_all(html, '<a '))::INTEGER AS links FROM (
     SELECT page_id, regexp_replace(html, '<(script|style)>.*?</(script|style)>', '', 'gs') AS html FROM pages)""")
 def dom_nodes(spark, sf_dir):
-    count = lambda tag, name: F.size(F.filter("nodes", dom.tag_is(tag))).alias(name)
+    count = lambda tag, name: F.size(dom.nodes_where(F.col("nodes"), dom.tag_is(tag))).alias(name)
     return T.page_nodes(spark, sf_dir).select("page_id", count("li", "items"), count("p", "paragraphs"), count("a", "links"))
 
 
@@ -55,13 +55,12 @@ def dom_select_css(spark, sf_dir):
 @query("dom_heading_contains", E.with_(E.WEB) + "SELECT page_url, 'Skills' AS skills, 'Languages' AS languages FROM web")
 def dom_heading_contains(spark, sf_dir):
     nodes = F.col("nodes")
-    heading = lambda words: dom.text(dom.find(
-        nodes, lambda n: n["id"] == F.col("at" + words[0])))
     ids = _web_nodes(spark, sf_dir).select(
-        "url", "nodes", dom.heading_id(nodes, "h2", D.SKILLS_HEADINGS).alias("at" + D.SKILLS_HEADINGS[0]),
-        dom.heading_id(nodes, "h2", D.LANGUAGE_HEADINGS).alias("at" + D.LANGUAGE_HEADINGS[0]))
-    return ids.select(F.col("url").alias("page_url"), heading(D.SKILLS_HEADINGS).alias("skills"),
-                      heading(D.LANGUAGE_HEADINGS).alias("languages"))
+        "url", "nodes", dom.heading_id(nodes, "h2", D.SKILLS_HEADINGS).alias("skills_id"),
+        dom.heading_id(nodes, "h2", D.LANGUAGE_HEADINGS).alias("languages_id"))
+    heading = lambda at: dom.text(dom.find_after(nodes, F.col(at) - 1, "h2"))
+    return ids.select(F.col("url").alias("page_url"), heading("skills_id").alias("skills"),
+                      heading("languages_id").alias("languages"))
 
 
 @query("table_to_map", E.with_(E.WEB) + """

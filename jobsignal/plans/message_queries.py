@@ -65,7 +65,7 @@ def match_selector(spark, sf_dir):
     """Nodes hit by a class, a style and a substring selector, per document."""
     def hits(nodes_df, origin, key, selectors):
         return nodes_df.select(F.lit(origin).alias("origin"), F.col(key).alias("id"), *[
-            F.size(F.filter("nodes", dom.matches(s))).alias(name) for name, s in selectors.items()])
+            F.size(dom.nodes_where(F.col("nodes"), dom.matches(s))).alias(name) for name, s in selectors.items()])
 
     style = D.MAIL_SIGNS[1]
     mails = hits(T.mail_nodes(spark, sf_dir), "mail", "email_uid", {

@@ -120,5 +120,5 @@ def read_mail(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mail_audit(mails: DataFrame) -> DataFrame:
-    fields = [(name, F.col(name), None) for name in ("email_uid", "date", "text", "html")]
+    fields = [(name, None) for name in ("email_uid", "date", "text", "html")]
     return mails.withColumn("raw_parsing_error", X.missing_report(fields, bare_single=False))
