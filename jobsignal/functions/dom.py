@@ -51,27 +51,32 @@ def tag_is(tag: str) -> Test:
     return lambda n: f"{n}.tag = {literal(tag)}"
 
 
-def _tokens(text: str) -> str:
-    return f"split({_strip(text)}, {literal(f'(?U){WS}+')})"
-
-
 def _attr(node: str, name: str) -> str:
     return f"try_element_at({node}.attrs, {literal(name)})"
 
 
+def _listed(value: str, wanted: tuple[str, ...], glue: str, blanks: str) -> str:
+    """All wanted items occur in a list; separators are evened out first, so an item
+    is a plain search between two of them."""
+    even = f"regexp_replace(concat('{glue}', {value}, '{glue}'), {literal(f'(?U){blanks}')}, '{glue}')"
+    return _let(even, lambda v: " AND ".join(f"contains({v}, {literal(glue + w + glue)})" for w in wanted))
+
+
+def _classes(value: str, wanted: tuple[str, ...]) -> str:
+    return _listed(value, wanted, " ", f"{WS}+")
+
+
 def attr_test(name: str, wanted: tuple[str, ...]) -> Test:
     """Attribute test: declarations of a style, tokens of a class, else substrings."""
     def test(n: str) -> str:
         value = _attr(n, name)
         if name == "style":
-            parts = f"split({_strip(f'lower({value})')}, {literal(f'(?U){WS}*;{WS}*')})"
-            return _let(parts, lambda p: " AND ".join(f"array_contains({p}, {literal(w)})" for w in wanted))
+            return _listed(f"lower({value})", wanted, ";", f"{WS}*(?:;{WS}*)+")
         if name == "class":
-            return _let(_tokens(f"lower({value})"),
-                        lambda p: " AND ".join(f"array_contains({p}, {literal(w.lower())})" for w in wanted))
+            return _classes(f"lower({value})", tuple(w.lower() for w in wanted))
         return " AND ".join([f"{value} <> ''"] + [f"contains({value}, {literal(w)})" for w in wanted])
 
-    return lambda n: f"coalesce({_attr(n, name)} <> '' AND {test(n)}, false)"
+    return lambda n: f"coalesce({test(n)}, false)"
 
 
 def matches(selector: Selector) -> Test:
@@ -91,8 +96,7 @@ def step_matches(step: tuple[str, tuple[str, ...]]) -> Test:
         own = f"{n}.tag = {literal(tag)}"
         if not classes:
             return own
-        has = _let(_tokens(_attr(n, "class")), lambda p: " AND ".join(f"array_contains({p}, {literal(c)})" for c in classes))
-        return f"{own} AND coalesce({has}, false)"
+        return f"{own} AND coalesce({_classes(_attr(n, 'class'), classes)}, false)"
 
     return test
 

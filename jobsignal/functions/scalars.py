@@ -63,15 +63,30 @@ def truthy(c: Column) -> Column:
 
 
 def salary_bounds(c: Column) -> Column:
-    """``struct(lo, hi)`` of a salary at the very end of the text."""
+    """``struct(lo, hi)`` of a salary at the very end of the text.
+
+    Both salary shapes use digits, signs, points, commas and a dollar only, so they
+    are looked for in the text's last run of those characters.
+    """
+    tail = F.regexp_extract(c, r"[$+\-.,0-9]+\z", 0)
     ranged = rf"{D.SALARY_RANGE_PATTERN}\z"
     single = rf"{D.SALARY_PATTERN}\z"
-    is_range = c.rlike(ranged)
-    one = to_numeric(F.regexp_extract(c, single, 1))
-    return F.struct(
-        F.when(is_range, to_numeric(F.regexp_extract(c, ranged, 1))).otherwise(one).alias("lo"),
-        F.when(is_range, to_numeric(F.regexp_extract(c, ranged, 2))).otherwise(one).alias("hi"),
-    )
+    is_range = tail.rlike(ranged)
+    one = to_numeric(F.regexp_extract(tail, single, 1))
+    bounds = F.struct(
+        F.when(is_range, to_numeric(F.regexp_extract(tail, ranged, 1))).otherwise(one).alias("lo"),
+        F.when(is_range, to_numeric(F.regexp_extract(tail, ranged, 2))).otherwise(one).alias("hi"))
+    none = F.lit(None).cast("double")
+    return F.when(c.rlike(r"\d\z"), bounds).otherwise(F.struct(none.alias("lo"), none.alias("hi")))
+
+
+def matches_any(c: Column, patterns: list[str]) -> Column:
+    """Whether any pattern occurs; patterns without special characters are plain searches."""
+    result = F.lit(False)
+    for pattern in patterns:
+        special = any(ch in r"\^$.|?*+()[]{}" for ch in pattern)
+        result = result | (c.rlike(pattern) if special else F.contains(c, F.lit(pattern)))
+    return result
 
 
 def strip_markup(c: Column) -> Column:
@@ -129,13 +144,19 @@ def unwrap_tracking_url(c: Column) -> Column:
     """Target of a click-tracking link; links that carry none stay unchanged."""
     query = F.regexp_extract(c, r"\A[^?#]*\?([^#]*)", 1)
     packed = F.try_url_decode(group_or_null(query, r"(?:\A|&)p=([^&]+)"))
-    padding = F.substring(F.lit("==="), F.lit(1), F.pmod(-F.length(packed), F.lit(4)))
-    plain = F.regexp_replace(F.translate(F.concat(packed, padding), "-_", "+/"), r"[^A-Za-z0-9+/=]", "")
-    outer = F.try_validate_utf8(F.try_to_binary(plain, F.lit("base64")).cast("string"))
-    inner = F.nullif(F.get_json_object(outer, "$.p"), F.lit(""))
-    target = F.replace(F.get_json_object(inner, "$.url"), F.lit("\\/"), F.lit("/"))
-    unpacked = F.when(F.json_object_keys(inner).isNotNull(), F.coalesce(canonical_url(target), F.lit("")))
-    return F.coalesce(unpacked, c)
+
+    def inner_json(p: Column) -> Column:
+        padding = F.substring(F.lit("==="), F.lit(1), F.pmod(-F.length(p), F.lit(4)))
+        standard = F.replace(F.replace(F.concat(p, padding), F.lit("-"), F.lit("+")), F.lit("_"), F.lit("/"))
+        plain = F.regexp_replace(standard, r"[^A-Za-z0-9+/=]", "")
+        outer = F.try_validate_utf8(F.try_to_binary(plain, F.lit("base64")).cast("string"))
+        return F.get_json_object(outer, "$.p")
+
+    def target(inner: Column) -> Column:
+        url = F.replace(F.get_json_object(inner, "$.url"), F.lit("\\/"), F.lit("/"))
+        return F.when((inner != "") & F.json_object_keys(inner).isNotNull(), F.coalesce(canonical_url(url), F.lit("")))
+
+    return F.coalesce(let(let(packed, inner_json), target), c)
 
 
 _TIME = r"(?:[T ,]+(\d{1,2}):(\d{2})(?::(\d{2}))?)?(?:\s*(Z|GMT|UTC|[+-]\d{2}:?\d{2}))?\z"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.functions import dom
+from jobsignal.functions.scalars import matches_any
 
 
 def is_short_command(text: Column) -> Column:
@@ -17,9 +18,9 @@ def is_short_command(text: Column) -> Column:
 
 def chat_type(text: Column) -> Column:
     """Type id of a chat text; service signs beat statistic signs beat vacancy signs."""
-    return (F.when(text.rlike(D.any_of(D.CHAT_SIGNS["tg_service"])), S.CHAT_SERVICE)
-            .when(text.rlike(D.any_of(D.CHAT_SIGNS["tg_statistic"])), S.CHAT_STATISTIC)
-            .when(text.rlike(D.any_of(D.CHAT_SIGNS["tg_vacancy"])), S.CHAT_VACANCY)
+    return (F.when(matches_any(text, D.CHAT_SIGNS["tg_service"]), S.CHAT_SERVICE)
+            .when(matches_any(text, D.CHAT_SIGNS["tg_statistic"]), S.CHAT_STATISTIC)
+            .when(matches_any(text, D.CHAT_SIGNS["tg_vacancy"]), S.CHAT_VACANCY)
             .when(is_short_command(text), S.CHAT_SERVICE)
             .otherwise(S.CHAT_UNKNOWN))
 

@@ -140,10 +140,3 @@ def _result(fields: DataFrame, kept: list[str], audit: list[tuple[str, Column |
         X.missing_report(audit, bare_single=True).alias("parsing_error"),
         "quarantine")
 
-
-def extract_vacancies(mails: DataFrame) -> DataFrame:
-    """Both layouts in one table. Input: vacancy mails with ``date`` and ``nodes``."""
-    routed = route_template(mails)
-    old = extract_v0(routed.where("layout = 0"))
-    new = extract_v1(routed.where("layout = 1"))
-    return old.unionByName(new)

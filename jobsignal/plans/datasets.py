@@ -13,7 +13,7 @@ from jobsignal.sources import fixtures
 from jobsignal.sources.fixtures import landed, table
 from jobsignal.sources.shred import shred
 
-__all__ = ["table", "chat", "typed_chat", "mails", "mail_nodes", "pages", "page_nodes", "chat_vacancies",
+__all__ = ["table", "chat", "typed_chat", "mails", "emls", "mail_nodes", "pages", "page_nodes", "chat_vacancies",
            "mail_vacancies", "web_vacancies", "chat_long", "fetch_results", "newest_fetch", "user_urls", "day"]
 
 
@@ -33,6 +33,10 @@ def mails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "mail", fixtures.mail)
 
 
+def emls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, "eml", fixtures.eml)
+
+
 def mail_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred(mails(spark, sf_dir))
 
@@ -52,9 +56,25 @@ def extract_chat(messages: DataFrame, keep: tuple[str, ...] | list[str] = ()) ->
     return vacancies.withColumn("data_hash", X.vacancy_key(F.col("date"), F.col("message_id"), F.col("part_no")))
 
 
-def extract_mail(nodes: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
-    vacancies = mail_ops.extract_vacancies(
-        nodes.where(classify.mail_type(F.col("nodes")) == S.MAIL_VACANCY).select("email_uid", "date", *keep, "nodes"))
+def extract_mail(mails_df: DataFrame, keep: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """Mails as html to keyed vacancy rows of both layouts.
+
+    The layout depends on the date alone, so mails are routed before they are
+    shredded and each is shredded once.
+    """
+    routed = mail_ops.route_template(mails_df.select("email_uid", "date", *keep, "html"))
+    return _keyed_mail(*[shred(routed.where(F.col("layout") == i)) for i in (0, 1)])
+
+
+def extract_shredded_mail(nodes: DataFrame) -> DataFrame:
+    """The same for mails whose nodes are staged already."""
+    routed = mail_ops.route_template(nodes)
+    return _keyed_mail(*[routed.where(F.col("layout") == i) for i in (0, 1)])
+
+
+def _keyed_mail(old: DataFrame, new: DataFrame) -> DataFrame:
+    wanted = classify.mail_type(F.col("nodes")) == S.MAIL_VACANCY
+    vacancies = mail_ops.extract_v0(old.where(wanted)).unionByName(mail_ops.extract_v1(new.where(wanted)))
     return vacancies.withColumn("data_hash", X.vacancy_key(F.col("date"), F.col("email_uid"), F.col("part_no")))
 
 
@@ -67,7 +87,7 @@ def chat_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mail_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landed(spark, sf_dir, "mail_vacancies", lambda s, d: extract_mail(mail_nodes(s, d)))
+    return landed(spark, sf_dir, "mail_vacancies", lambda s, d: extract_mail(mails(s, d)))
 
 
 def web_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,10 @@ from jobsignal.operators import mail as mail_ops
 from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
+from jobsignal.session import spread
 from jobsignal.sources import fixtures
 from jobsignal.sources.landing import parse_mail
+from jobsignal.sources.shred import shred
 
 QUERIES, query = registry()
 
@@ -34,7 +36,7 @@ def fn_to_numeric(spark, sf_dir):
 SELECT o_orderkey, k, lo::DOUBLE AS lo, hi::DOUBLE AS hi, h::DOUBLE AS one_lo, h::DOUBLE AS one_hi, NULL::DOUBLE AS inner_lo FROM parts""")
 def fn_salary_range(spark, sf_dir):
     """Range at the end, single amount at the end, amount inside the text."""
-    parts = fixtures.order_parts(spark, sf_dir)
+    parts = spread(fixtures.order_parts(spark, sf_dir))
     ranged = F.coalesce(F.concat(F.col("n_name"), F.lit(", $"), F.col("lo"), F.lit("-"), F.col("hi")), F.lit("no pay"))
     bounds = lambda c: X.salary_bounds(c)
     return parts.select("o_orderkey", "k", bounds(ranged).alias("a"),
@@ -67,7 +69,7 @@ def fn_remove_repl(spark, sf_dir):
     """Synonyms and removals on rendered texts; blank text is NULL."""
     c = F.col
     level = F.element_at(F.array(F.lit("Upper-Intermediate"), F.lit("Intermediate"), F.lit("Advanced/Fluent")), (c("h") % 3 + 1).cast("int"))
-    return fixtures.order_parts(spark, sf_dir).select(
+    return spread(fixtures.order_parts(spark, sf_dir)).select(
         "o_orderkey", "k", X.clean(fixtures._experience(c("e")), "experience").alias("years"),
         X.clean(level, "lingvo").alias("level"), X.clean(F.concat(F.lit("at "), c("s_name")), "mail_company").alias("company"),
         X.clean(F.concat(F.lit("  "), F.lpad(F.lit(""), c("k").cast("int"), F.lit(" "))), "lingvo").alias("blank"))
@@ -76,7 +78,7 @@ def fn_remove_repl(spark, sf_dir):
 @query("fn_unwrap_tracking_url", E.with_(E.PARTS) + """
 SELECT o_orderkey, k, 'https://djinni.co/jobs/' || pk AS url, 'https://djinni.co/jobs/' || pk || '-x/' AS plain FROM parts""")
 def fn_unwrap_tracking_url(spark, sf_dir):
-    return fixtures.order_parts(spark, sf_dir).select(
+    return spread(fixtures.order_parts(spark, sf_dir)).select(
         "o_orderkey", "k", X.unwrap_tracking_url(fixtures.tracking_url(F.col("pk"))).alias("url"),
         X.unwrap_tracking_url(F.concat(F.lit("https://djinni.co/jobs/"), F.col("pk"), F.lit("-x/"))).alias("plain"))
 
@@ -96,7 +98,7 @@ def fn_parse_date(spark, sf_dir):
     date = F.col("o_orderdate")
     shape = lambda fmt: F.date_format(date, fmt)
     only_day = lambda c: F.date_format(X.parse_date(c), "yyyy-MM-dd")
-    return T.table(spark, sf_dir, "orders").select(
+    return spread(T.table(spark, sf_dir, "orders")).select(
         "o_orderkey", T.day(X.parse_date(F.concat(shape("EEE, d MMM yyyy"), F.lit(" 10:20:30 +0200")))).alias("mail_date"),
         only_day(shape("dd.MM.yyyy HH:mm")).alias("dotted"), only_day(shape("d/M/yyyy")).alias("slashed"),
         only_day(F.col("o_orderpriority")).alias("bad"), only_day(shape("yyyy-MM-dd")).alias("iso"))
@@ -115,7 +117,7 @@ def fn_strip_markup(spark, sf_dir):
 
 @query("fn_decode_header", "SELECT doc_id AS email_uid, 'Оголошення ' || doc_id AS subject FROM documents")
 def fn_decode_header(spark, sf_dir):
-    return parse_mail(fixtures.landed(spark, sf_dir, "eml", fixtures.eml)).select("email_uid", "subject")
+    return parse_mail(T.emls(spark, sf_dir)).select("email_uid", "subject")
 
 
 @query("fn_split_middot", E.with_(E.PARTS, E.MAIL) + """
@@ -123,7 +125,7 @@ SELECT email_uid, part_no, CASE WHEN short THEN 2 ELSE 4 END::INTEGER AS pieces,
   CASE WHEN short THEN 2 ELSE 4 END::INTEGER AS without_blank FROM mail WHERE layout = 1""")
 def fn_split_middot(spark, sf_dir):
     """Details of layout-1 cards split again after a blank piece was put in front."""
-    nodes = mail_ops.route_template(T.mail_nodes(spark, sf_dir)).where("layout = 1")
+    nodes = shred(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"))
     again = F.concat(F.lit(" · "), F.array_join("pieces", "·"))
     return mail_ops.v1_details(nodes).select(
         "email_uid", "part_no", F.size("pieces").alias("pieces"), F.size(X.split_middot(again, True)).alias("with_blank"),

@@ -124,7 +124,7 @@ def ingest_mail(store: Store, mails: DataFrame) -> DataFrame:
     counters = [batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit("EMAIL").alias("label"), "n"),
                 merge.count_outcomes("EMAIL_RAW", batch, ["raw_key"], store.read("raw_messages"))]
     newest = merge.latest_per_key(batch.select("raw_key", "email_uid", "date", "nodes", "ident"), ["raw_key"], ["date", "ident"])
-    parts = datasets.extract_mail(newest.select("raw_key", "email_uid", "date", "nodes"), keep=["raw_key"])
+    parts = datasets.extract_shredded_mail(newest.select("raw_key", "email_uid", "date", "nodes"))
     staged = store.stage("_parts", parts.withColumn("ident", F.col("email_uid")))
     counters += _vacancies(store, staged.where(F.col("quarantine").isNull()), S.EMAIL, "EMAIL")
     undated = mails.where(F.col("date").isNull()).select(

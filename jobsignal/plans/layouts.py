@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from jobsignal.operators import chat as chat_ops
 from jobsignal.plans import datasets
 
-# Inputs: typed chat messages, shredded mails with a date, pages (url, html), statistic messages.
+# Inputs: typed chat messages, mails (date, html), pages (url, html), statistic messages.
 LAYOUTS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "chat": datasets.extract_chat,
     "mail": datasets.extract_mail,

@@ -14,6 +14,7 @@ from jobsignal.plans import expected as E
 from jobsignal.plans.layouts import LAYOUTS
 from jobsignal.plans.registry import registry
 from jobsignal.sources import landing
+from jobsignal.sources.shred import shred
 
 QUERIES, query = registry()
 
@@ -138,7 +139,7 @@ def extract_service(spark, sf_dir):
 
 
 def _mail_layout(spark, sf_dir, layout: int):
-    nodes = mail_ops.route_template(T.mail_nodes(spark, sf_dir)).where(F.col("layout") == layout)
+    nodes = shred(mail_ops.route_template(T.mails(spark, sf_dir)).where(F.col("layout") == layout))
     cards = mail_ops.extract_v0(nodes) if layout == 0 else mail_ops.extract_v1(nodes)
     return cards.select("email_uid", "part_no", *mail_ops.FIELDS, "parsing_error", "quarantine")
 
@@ -172,7 +173,7 @@ UNION ALL SELECT 'mail', data_hash, position, url FROM mail
 UNION ALL SELECT 'web', page_url, position, url FROM web""")
 def parser_registry(spark, sf_dir):
     """Every registered layout applied to its own input by name."""
-    inputs = {"chat": T.typed_chat(spark, sf_dir), "mail": T.mail_nodes(spark, sf_dir), "web": T.pages(spark, sf_dir)}
+    inputs = {"chat": T.typed_chat(spark, sf_dir), "mail": T.mails(spark, sf_dir), "web": T.pages(spark, sf_dir)}
     ids = {"chat": "data_hash", "mail": "data_hash", "web": "page_url"}
     parsed = [inputs[name].transform(LAYOUTS[name]).select(
         F.lit(name).alias("layout"), F.col(ids[name]).alias("id"), "position", "url") for name in inputs]

@@ -11,7 +11,8 @@ from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
 from jobsignal.session import work_folder
-from jobsignal.sources import fixtures, landing
+from jobsignal.sources import landing
+from jobsignal.sources.shred import shred
 from jobsignal.sources.store import Store
 
 QUERIES, query = registry()
@@ -40,7 +41,7 @@ SELECT doc_id AS email_uid, 'News <news@example.com>' AS sender, 'Оголоше
   '<div class="card">' || doc_id || '</div>' AS html, 1 AS n_attachments,
   strftime(DATE '2024-01-01' + (doc_id % 300)::INTEGER, '%Y-%m-%d') || ' 08:20:30' AS date FROM documents""")
 def src_email_files(spark, sf_dir):
-    files = fixtures.landed(spark, sf_dir, "eml", fixtures.eml)
+    files = T.emls(spark, sf_dir)
     return landing.parse_mail(files).withColumn("date", T.day("date"))
 
 
@@ -69,7 +70,7 @@ def src_highwater(spark, sf_dir):
 
 def mail_values(spark, sf_dir):
     """Dictionary name and text of every layout-1 detail as it stands in the mails."""
-    nodes = mail_ops.route_template(T.mail_nodes(spark, sf_dir)).where("layout = 1")
+    nodes = shred(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"))
     pieces = mail_ops.v1_details(nodes)
     named = F.array(*[F.struct(F.lit(d).alias("dict"), F.get("pieces", F.lit(i)).alias("source_text"))
                       for i, d in enumerate(["experience", "lingvo", "employment", "candidate_locations"])])

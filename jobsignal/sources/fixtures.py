@@ -119,7 +119,7 @@ def tracking_url(pk: Column) -> Column:
     inner = _join('{\\"url\\":\\"https:\\\\/\\\\/djinni.co\\\\/jobs\\\\/', pk, '-x\\\\/\\"}')
     packed = F.regexp_replace(F.base64(F.encode(_join('{"p":"', inner, '"}'), "utf-8")), r"\s", "")
     return _join("https://mandrillapp.com/track/click/1/x?p=",
-                 F.regexp_replace(F.translate(packed, "+/", "-_"), "=+$", ""))
+                 F.regexp_replace(F.replace(F.replace(packed, F.lit("+"), F.lit("-")), F.lit("/"), F.lit("_")), "=+$", ""))
 
 
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import email
-import email.policy
 import sys
 from collections.abc import Iterator
+from email.header import decode_header
+from email.message import Message
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -66,32 +67,33 @@ def last_before_date(messages: DataFrame, date: str, key: str) -> DataFrame:
 
 def _mail_row(uid: int, content: bytes) -> tuple:
     """Headers and bodies of one message; of several bodies of a kind the last wins."""
-    message = email.message_from_bytes(content, policy=email.policy.default)
+    message = email.message_from_bytes(content)
     text, html, attached = "", "", 0
-    if message.is_multipart():
-        for part in message.walk():
-            kind = part.get_content_type()
-            if kind in ("text/plain", "text/html"):
-                body = _body(part)
-                text, html = (body, html) if kind == "text/plain" else (text, body)
-            elif part.get_content_disposition() == "attachment":
-                attached += 1
-    elif message.get_content_type() == "text/html":
-        html = _body(message)
-    else:
-        text = _body(message)
-    header = lambda name: str(message[name]) if message[name] is not None else ""
-    date = str(message["Date"]) if message["Date"] is not None else None
-    return uid, header("From"), header("Subject"), date, text, html, attached
-
-
-def _body(part) -> str:
+    for part in message.walk() if message.is_multipart() else [message]:
+        kind = part.get_content_type()
+        if kind == "text/html":
+            html = _body(part)
+        elif kind == "text/plain" or part is message and not message.is_multipart():
+            text = _body(part)
+        elif part.get_content_disposition() == "attachment":
+            attached += 1
+    return uid, _header(message["From"]), _header(message["Subject"]), message["Date"], text, html, attached
+
+
+def _header(value: object) -> str:
+    """Encoded words to text; folded lines are joined."""
+    pieces = decode_header("".join(str(value).splitlines())) if value is not None else []
+    return "".join(p.decode(charset or "utf-8", errors="ignore") if isinstance(p, bytes) else p for p, charset in pieces)
+
+
+def _body(part: Message) -> str:
+    payload = part.get_payload(decode=True)
+    if not isinstance(payload, bytes):
+        return str(payload)
     try:
-        content = part.get_content()
-        return content if isinstance(content, str) else bytes(content).decode("utf-8", errors="ignore")
-    except (KeyError, AttributeError, UnicodeDecodeError, LookupError):
-        payload = part.get_payload(decode=True)
-        return payload.decode("utf-8", errors="ignore") if isinstance(payload, bytes) else str(payload)
+        return payload.decode(part.get_content_charset("ascii"), errors="replace")
+    except LookupError:
+        return payload.decode("utf-8", errors="ignore")
 
 
 def parse_mail(files: DataFrame) -> DataFrame:

@@ -38,6 +38,7 @@ _ENDS = {
     "dd": (frozenset(["dt", "dd"]), frozenset(["dl"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
+_P = frozenset(["p"])
 _P_STOP = frozenset(["table", "td", "th", "button", "body"])
 # An end tag never reaches across an open element of a higher rank than its own.
 _RANK = {"div": 1, "td": 2, "th": 2, "tr": 3, "thead": 4, "tbody": 4, "tfoot": 4, "table": 5, "body": 6, "html": 7}
@@ -45,41 +46,45 @@ _ROWS_PER_BATCH = 256
 
 
 class _Shredder(HTMLParser):
-    """Collects nodes in document order together with normalized markup."""
+    """Collects nodes in document order, with normalized markup when wanted."""
 
-    def __init__(self) -> None:
+    def __init__(self, with_markup: bool) -> None:
         super().__init__(convert_charrefs=True)
+        self.with_markup = with_markup
         self.nodes: list[list] = [[0, 0, -1, "#root", {}, None, 0, 0]]
         self.open = [0]
         self.markup: list[str] = []
         self.size = 0
         self.pending: list[str] = []
 
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not used
+
     def _write(self, piece: str) -> None:
         self.markup.append(piece)
         self.size += len(piece)
 
-    def _add(self, tag: str, attrs: dict, text: str | None, source: str) -> int:
+    def _add(self, tag: str, attrs: dict, text: str | None) -> list:
         node_id = len(self.nodes)
-        self.nodes.append([node_id, node_id, self.open[-1], tag, attrs, text, self.size, 0])
-        self._write(source)
-        self.nodes[node_id][7] = self.size
-        return node_id
+        node = [node_id, node_id, self.open[-1], tag, attrs, text, self.size, 0]
+        self.nodes.append(node)
+        return node
 
     def _flush(self) -> None:
         if self.pending:
             data = "".join(self.pending)
             self.pending = []
-            if self.nodes[self.open[-1]][3] in _OPAQUE:
-                self._add("#raw", {}, data, data)
-            else:
-                self._add("#text", {}, data, escape(data, quote=False))
+            opaque = self.nodes[self.open[-1]][3] in _OPAQUE
+            node = self._add("#raw" if opaque else "#text", {}, data)
+            if self.with_markup:
+                self._write(data if opaque else escape(data, quote=False))
+                node[7] = self.size
 
     def _close_to(self, depth: int) -> None:
         """Close open elements so that ``depth`` of them stay open."""
         while len(self.open) > depth:
             node = self.nodes[self.open.pop()]
-            if node[3] != "#root":
+            if self.with_markup and node[3] != "#root":
                 self._write(f"</{node[3]}>")
             node[1], node[7] = len(self.nodes) - 1, self.size
 
@@ -95,17 +100,20 @@ class _Shredder(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self._flush()
         if tag in _BLOCK:
-            self._end_implied(frozenset(["p"]), _P_STOP)
+            self._end_implied(_P, _P_STOP)
         if tag in _ENDS:
             self._end_implied(*_ENDS[tag])
         kept: dict[str, str] = {}
         for name, value in attrs:
             kept.setdefault(name, value if value is not None else "")
-        source = "".join(f' {k}="{escape(v, quote=False)}"' for k, v in kept.items())
         void = tag in _VOID
-        node_id = self._add(tag, kept, None, f"<{tag}{source}{'/' if void else ''}>")
+        node = self._add(tag, kept, None)
+        if self.with_markup:
+            source = "".join(f' {k}="{escape(v, quote=False)}"' for k, v in kept.items())
+            self._write(f"<{tag}{source}{'/' if void else ''}>")
+            node[7] = self.size
         if not void:
-            self.open.append(node_id)
+            self.open.append(node[0])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -135,9 +143,9 @@ class _Shredder(HTMLParser):
         return self.nodes
 
 
-def shred_one(html: str) -> tuple[list[list], str]:
+def shred_one(html: str, with_markup: bool = True) -> tuple[list[list], str]:
     """Nodes and normalized markup of one document."""
-    shredder = _Shredder()
+    shredder = _Shredder(with_markup)
     try:
         shredder.feed(html)
         shredder.close()
@@ -150,7 +158,7 @@ def shred_one(html: str) -> tuple[list[list], str]:
 def _node_arrays(htmls: list[str | None], with_markup: bool) -> tuple[pa.Array, pa.Array]:
     offsets, flat, markups = [0], [], []
     for html in htmls:
-        nodes, markup = shred_one(html or "")
+        nodes, markup = shred_one(html or "", with_markup)
         flat.extend(nodes)
         offsets.append(len(flat))
         markups.append(markup if with_markup else None)
