@@ -71,10 +71,9 @@ def count_outcomes(kind: str, batch: DataFrame, keys: list[str], target: DataFra
     """``label, n`` of a sequential upsert of the batch: new keys count as added once,
     every other write is an update."""
     writes = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("w"))
-    known = target.select(*keys).distinct().withColumn("_known", F.lit(True)).alias("t")
-    joined = writes.alias("b").join(known, _same_key(keys, "b", "t"), "left")
-    new = F.col("t._known").isNull()
-    totals = joined.agg(F.sum("w").alias("total"), F.count_if(new).alias("added"))
+    known = writes.alias("b").join(target.select(*keys).alias("t"), _same_key(keys, "b", "t"), "left_semi")
+    totals = writes.agg(F.coalesce(F.sum("w"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("keys")).withColumn(
+        "added", F.col("keys") - known.agg(F.count(F.lit(1))).scalar())
     rows = F.array(
         F.struct(F.lit(f"{kind} added").alias("label"), F.col("added").alias("n")),
         F.struct(F.lit(f"{kind} updated").alias("label"), (F.col("total") - F.col("added")).alias("n")))

@@ -36,10 +36,10 @@ def _typed_null(df: DataFrame, table: str) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
-def _raw(store: Store, batch: DataFrame) -> DataFrame:
-    """Merge raw messages; ``batch`` has the table's columns and ``ident``."""
+def _raw(store: Store, newest: DataFrame) -> DataFrame:
+    """Merge raw messages given one row per key."""
     update = [c for c in S.TABLES["raw_messages"].names if c != "raw_key"]
-    return merge.upsert(store.read("raw_messages"), batch, ["raw_key"], update, ["date", "ident"])
+    return merge.upsert(store.read("raw_messages"), newest, ["raw_key"], update, ["date", "ident"], collapsed=True)
 
 
 def _quarantine(store: Store, bad: DataFrame) -> None:
@@ -57,7 +57,9 @@ def _vacancies(store: Store, parts: DataFrame, source: int, kind: str) -> list[D
     store.stage("vacancy_web", merge.upsert(urls, batch, ["url"], ["canonical_url", "data_hash"], _ORDER,
                                             on_match=on_match if source == S.EMAIL else None))
     rows = parts.select("data_hash", "raw_key", F.col("parsing_error").alias("message_parsing_error"), *_ORDER)
-    store.stage("vacancies", merge.upsert(vacancies, rows, ["data_hash"], ["raw_key", "message_parsing_error"], _ORDER))
+    # A vacancy key holds the message's id and the part number, so a batch has each once.
+    store.stage("vacancies", merge.upsert(vacancies, rows, ["data_hash"], ["raw_key", "message_parsing_error"], _ORDER,
+                                          collapsed=True))
     _attributes(store, reshape.to_long(parts, ["data_hash", *_ORDER]), source)
     return counters
 
@@ -83,7 +85,7 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     batch = store.stage("_batch", _typed_null(typed.select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), "*", F.col("message_id").alias("ident"),
         F.lit(S.CHAT).alias("message_source_id")), "raw_messages"))
-    newest = merge.latest_per_key(batch, ["raw_key"], ["date", "ident"])
+    newest = store.stage("_newest", merge.latest_per_key(batch, ["raw_key"], ["date", "ident"]))
     counters = [batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit("TELEGRAM").alias("label"), "n"),
                 merge.count_outcomes("TG_RAW", batch, ["raw_key"], store.read("raw_messages"))]
 
@@ -93,13 +95,13 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     good = staged.where(F.col("quarantine").isNull())
     counters += _vacancies(store, good, S.CHAT, "TG")
 
-    statistics = chat_ops.extract_statistics(batch.where(F.col("message_type_id") == S.CHAT_STATISTIC))
-    services = batch.where(F.col("message_type_id") == S.CHAT_SERVICE)
-    for table, rows, label in (("statistic", statistics, "TG_STATISTIC"), ("service", services, "TG_SERVICE")):
-        old = store.read(table)
-        counters.append(merge.count_outcomes(label, rows, ["raw_key"], old))
+    for table, kind, label in (("statistic", S.CHAT_STATISTIC, "TG_STATISTIC"), ("service", S.CHAT_SERVICE, "TG_SERVICE")):
+        old, of_kind = store.read(table), F.col("message_type_id") == kind
+        counters.append(merge.count_outcomes(label, batch.where(of_kind), ["raw_key"], old))
+        rows = newest.where(of_kind)
+        rows = chat_ops.extract_statistics(rows) if table == "statistic" else rows
         update = [c for c in old.columns if c != "raw_key"]
-        store.stage(table, merge.upsert(old, rows, ["raw_key"], update, ["date", "ident"]))
+        store.stage(table, merge.upsert(old, rows, ["raw_key"], update, ["date", "ident"], collapsed=True))
 
     undated = messages.where(F.col("date").isNull() | F.col("message_id").isNull()).select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), F.lit("missing_date").alias("reason"),
@@ -107,7 +109,7 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     bad = staged.where(F.col("quarantine").isNotNull()).select(
         "raw_key", "part_no", F.col("quarantine").alias("reason"), "payload")
     _quarantine(store, bad.unionByName(undated, allowMissingColumns=True))
-    store.stage("raw_messages", _raw(store, batch))
+    store.stage("raw_messages", _raw(store, newest))
     return _report(store, counters)
 
 
@@ -123,7 +125,7 @@ def ingest_mail(store: Store, mails: DataFrame) -> DataFrame:
     batch = store.stage("_batch", _typed_null(typed, "raw_messages"))
     counters = [batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit("EMAIL").alias("label"), "n"),
                 merge.count_outcomes("EMAIL_RAW", batch, ["raw_key"], store.read("raw_messages"))]
-    newest = merge.latest_per_key(batch.select("raw_key", "email_uid", "date", "nodes", "ident"), ["raw_key"], ["date", "ident"])
+    newest = store.stage("_newest", merge.latest_per_key(batch, ["raw_key"], ["date", "ident"]))
     parts = datasets.extract_shredded_mail(newest.select("raw_key", "email_uid", "date", "nodes"))
     staged = store.stage("_parts", parts.withColumn("ident", F.col("email_uid")))
     counters += _vacancies(store, staged.where(F.col("quarantine").isNull()), S.EMAIL, "EMAIL")
@@ -131,7 +133,7 @@ def ingest_mail(store: Store, mails: DataFrame) -> DataFrame:
         F.concat(F.lit("mail-"), F.col("email_uid")).alias("raw_key"), F.lit("missing_date").alias("reason"))
     bad = staged.where(F.col("quarantine").isNotNull()).select("raw_key", "part_no", F.col("quarantine").alias("reason"))
     _quarantine(store, bad.unionByName(undated, allowMissingColumns=True))
-    store.stage("raw_messages", _raw(store, batch))
+    store.stage("raw_messages", _raw(store, newest))
     return _report(store, counters)
 
 
