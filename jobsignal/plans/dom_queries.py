@@ -52,6 +52,47 @@ def dom_select_css(spark, sf_dir):
     return found.select("page_id", F.size("h").alias("links"), F.array_join("h", " ").alias("hrefs"))
 
 
+def _decoded(sql: str) -> str:
+    """SQL text of markup without tags and with the entities the pages use."""
+    return ("replace(replace(replace(replace(regexp_replace(" + sql + ", '<[^>]+>', '', 'g'), '&lt;', '<'), '&gt;', '>'), "
+            "'&quot;', chr(34)), '&amp;', '&')")
+
+
+@query("dom_find_next", f"""
+SELECT page_id, {_decoded("regexp_extract(html, '</h1><p>(.*?)</?(?:p|article)>', 1, 's')")} AS first_paragraph FROM pages""")
+def dom_find_next(spark, sf_dir):
+    """First paragraph after the heading, in document order."""
+    nodes = F.col("nodes")
+    heading = dom.scope(dom.find(nodes, dom.tag_is("h1")))["id"]
+    return T.page_nodes(spark, sf_dir).select(
+        "page_id", dom.raw_text(dom.find_after(nodes, heading, "p")).alias("first_paragraph"))
+
+
+@query("dom_children", """
+SELECT page_id, len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1, 's'), '<li>'))::INTEGER AS items,
+  0 AS links FROM pages""")
+def dom_children(spark, sf_dir):
+    """Direct children of the menu list: its items, but not the links inside them."""
+    menu = dom.find(F.col("nodes"), dom.tag_is("ul"))
+    return T.page_nodes(spark, sf_dir).select(
+        "page_id", F.size(dom.children(menu, "li")).alias("items"), F.size(dom.children(menu, "a")).alias("links"))
+
+
+@query("dom_text", f"""
+SELECT page_id, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
+  trim({_decoded("regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')")}) AS heading,
+  {_decoded("regexp_extract(html, '<nav>(.*?)</nav>', 1, 's')")} AS menu, trim({_decoded(
+      "regexp_extract(html, '<div class=.ad.>(.*?)</div>', 1, 's')")}) AS ad FROM pages""")
+def dom_text(spark, sf_dir):
+    """Attribute, trimmed text, raw text, and text without a nested node."""
+    nodes = F.col("nodes")
+    part = lambda tag: dom.find(nodes, dom.tag_is(tag))
+    return T.page_nodes(spark, sf_dir).select(
+        "page_id", dom.attr_of(part("html"), "lang").alias("lang"), dom.text(part("h1")).alias("heading"),
+        dom.raw_text(part("nav")).alias("menu"),
+        dom.text_without(dom.find(nodes, dom.matches(D.Selector("div", "class", ("ad",)))), "span").alias("ad"))
+
+
 @query("dom_heading_contains", E.with_(E.WEB) + "SELECT page_url, 'Skills' AS skills, 'Languages' AS languages FROM web")
 def dom_heading_contains(spark, sf_dir):
     nodes = F.col("nodes")
