@@ -9,6 +9,7 @@ from jobsignal import schemas as S
 from jobsignal.functions import scalars as X
 from jobsignal.operators import chat as chat_ops
 from jobsignal.operators import classify, fetching, mail as mail_ops, reshape, web as web_ops
+from jobsignal.session import spread
 from jobsignal.sources import fixtures
 from jobsignal.sources.fixtures import landed, table
 from jobsignal.sources.shred import shred
@@ -26,7 +27,7 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def typed_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return classify.with_chat_type(chat(spark, sf_dir))
+    return classify.with_chat_type(spread(chat(spark, sf_dir)))
 
 
 def mails(spark: SparkSession, sf_dir: str) -> DataFrame:

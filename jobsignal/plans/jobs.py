@@ -18,6 +18,7 @@ from jobsignal.functions import scalars as X
 from jobsignal.operators import chat as chat_ops
 from jobsignal.operators import classify, fetching, merge, reshape
 from jobsignal.plans import datasets
+from jobsignal.session import spread
 from jobsignal.sources import landing
 from jobsignal.sources.shred import shred
 from jobsignal.sources.store import Store
@@ -80,7 +81,7 @@ def _report(store: Store, counters: list[DataFrame]) -> DataFrame:
 
 def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     """One run over new chat messages (``message_id, date, text``); returns the counters."""
-    usable = messages.where(F.col("date").isNotNull() & F.col("message_id").isNotNull())
+    usable = spread(messages.where(F.col("date").isNotNull() & F.col("message_id").isNotNull()))
     typed = chat_ops.raw_audit(classify.with_chat_type(usable))
     batch = store.stage("_batch", _typed_null(typed.select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), "*", F.col("message_id").alias("ident"),

@@ -40,7 +40,8 @@ def stream_ingest(spark, sf_dir):
     table, checkpoint = _folders(spark, "ingest")
     stream = stream_jobs.read_landing(spark, path, schema, files_per_batch=2)
     stream_jobs.ingest(stream, table, checkpoint, ["user_id"], ["ts", "event_id"])
-    return stream_jobs.latest_version(spark, table, schema).select("user_id", "event_id", "event_type", "value")
+    state = stream_jobs.ingested(spark, table, schema, ["user_id"], ["ts", "event_id"])
+    return state.select("user_id", "event_id", "event_type", "value")
 
 
 @query("stream_extract", E.with_(E.PARTS, E.CHAT) + "SELECT data_hash, position, company, experience, salary_from, url FROM chat")

@@ -31,32 +31,22 @@ def _run(writer, checkpoint: str) -> None:
 
 
 def ingest(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: list[str]) -> None:
-    """Keyed table of the newest row per key, one version folder per micro-batch.
+    """Append each micro-batch, reduced to its newest row per key, as its own folder.
 
-    A version is the previous one merged with the batch. A batch that is replayed
-    after a failure rewrites its own version from the same predecessor, so the result
-    is exact. Late rows are accepted; the order value decides, not the arrival.
+    The cost of a batch depends on the batch alone. A batch that is replayed after a
+    failure overwrites its own folder, so nothing is counted twice.
     """
-    spark = stream.sparkSession
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if batch_id > 0:
-            rows = spark.read.schema(batch.schema).parquet(f"{table}/v{batch_id - 1}").unionByName(batch)
-        latest_per_key(rows, keys, order).select(*batch.columns).write.mode("overwrite").parquet(f"{table}/v{batch_id}")
-
-    _run(stream.writeStream.foreachBatch(merge), checkpoint)
-
-
-def latest_version(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
-    """Table state after the last finished micro-batch."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(table)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    done = [s.getPath().getName() for s in fs.listStatus(root)
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    newest = max(int(name[1:]) for name in done if name.startswith("v"))
-    return spark.read.schema(schema).parquet(f"{table}/v{newest}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        latest_per_key(batch, keys, order).select(*batch.columns).write.mode("overwrite").parquet(
+            f"{table}/batch={batch_id}")
+
+    _run(stream.writeStream.foreachBatch(write), checkpoint)
+
+
+def ingested(spark: SparkSession, table: str, schema: StructType, keys: list[str], order: list[str]) -> DataFrame:
+    """Keyed state over all batches. Late rows are accepted: the order value decides,
+    not the arrival."""
+    return latest_per_key(spark.read.schema(schema).parquet(f"{table}/batch=*"), keys, order)
 
 
 def extract(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> None:
