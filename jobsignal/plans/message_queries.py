@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.functions import dom
-from jobsignal.functions import scalars as X
 from jobsignal.operators import analytics, chat as chat_ops, classify, mail as mail_ops, reshape
 from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
