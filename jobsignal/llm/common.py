@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +41,8 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def text_of(name: str = "text") -> Column:
     """The text column as a string; null is the empty text."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+
+def tokenizer_file(name: str) -> str:
+    """Path of a public vocabulary, installed alike on every machine."""
+    return public_tokenizers.path(name)

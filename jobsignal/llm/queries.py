@@ -4,13 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobsignal.llm.common import documents
+from jobsignal.llm import byte_bpe
+from jobsignal.llm.common import documents, tokenizer_file
 from jobsignal.llm.exact_dedup import split_dedup
+from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.plans.registry import registry
 
 QUERIES, query = registry()
 
 
+@query("op1_byte_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
+@query("op5_quality_rules", r"""
+    with split as (select doc_id, source, coalesce(text, '') as t,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+    base as (select doc_id, source, w, len(w) as n_words,
+            coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars,
+            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from split),
+    grams as (select doc_id, unnest(range(n_words - 7)) as i, w from base where n_words >= 8),
+    twice as (select doc_id, i, count(*) over (partition by doc_id, w[i + 1:i + 8]) as n from grams),
+    covered as (select doc_id, count(distinct p) as n_repeat_words
+        from (select doc_id, unnest(range(i, i + 8)) as p from twice where n > 1) group by doc_id),
+    rules as (select doc_id, source, n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+            coalesce(n_repeat_words, 0) as n_repeat_words from base left join covered using (doc_id)),
+    judged as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from rules),
+    hosts as (select source, count(*) as n, sum(base_failed::int) as bad from judged group by source),
+    moments as (select avg(bad / n) as m, var_pop(bad / n) as v, avg(n) as size from hosts),
+    prior as (select m, case when v <= 0 then size else least(greatest(m * (1 - m) / v - 1, 1), size) end as s from moments),
+    verdicts as (select source, (bad + m * s) / (n + s) > 0.5 as rejected from hosts, prior)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        not base_failed and not rejected as kept
+    from judged join verdicts on judged.source is not distinct from verdicts.source""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
+
+
 @query("op7_exact_dedup", """
     select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
     from (select doc_id, coalesce(text, '') as t, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
