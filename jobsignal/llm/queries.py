@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from jobsignal.llm import byte_bpe
 from jobsignal.llm.common import documents, tokenizer_file
 from jobsignal.llm.exact_dedup import split_dedup
+from jobsignal.llm.near_dedup import near_dedup
 from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.plans.registry import registry
 
@@ -43,6 +44,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
 
 
+@query("op6_near_dedup", r"""
+    with recursive split as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+    sets as (select distinct doc_id, array_to_string(s, ' ') as s from (select doc_id, unnest(case
+            when len(w) >= 5 then list_transform(range(len(w) - 4), lambda i: w[i + 1:i + 5]) when len(w) > 0 then [w] else [] end) as s from split)),
+    sizes as (select doc_id, count(*) as n from sets group by doc_id),
+    common as (select a.doc_id as x, b.doc_id as y, count(*) as c from sets a join sets b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+    links as (select x, y from common join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * c >= 75 * (a.n + b.n - c)),
+    reach as (select doc_id, doc_id as r from documents union select doc_id, y from reach join links on r = x)
+    select doc_id, coalesce(any_value(n), 0) as n_shingles, min(r) as component_id, doc_id = min(r) as kept
+    from reach left join sizes using (doc_id) group by doc_id""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(documents(spark, sf_dir)).drop("set_a", "set_b")
+
+
 @query("op7_exact_dedup", """
     select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(t) as text_sha256
     from (select doc_id, coalesce(text, '') as t, max(doc_id) over (partition by coalesce(text, '')) as keep_id,
