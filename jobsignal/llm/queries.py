@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from jobsignal.llm import byte_bpe
 from jobsignal.llm.common import documents, tokenizer_file
 from jobsignal.llm.exact_dedup import split_dedup
+from jobsignal.llm.mixing import mix
 from jobsignal.llm.near_dedup import near_dedup
 from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.plans.registry import registry
@@ -65,3 +66,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                  count(*) over (partition by coalesce(text, '')) as group_size from documents)""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_dedup(documents(spark, sf_dir))
+
+
+@query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir))
