@@ -10,6 +10,7 @@ from jobsignal.llm.exact_dedup import split_dedup
 from jobsignal.llm.mixing import mix
 from jobsignal.llm.near_dedup import near_dedup
 from jobsignal.llm.quality_rules import quality_rules
+from jobsignal.llm.secrets import scan
 from jobsignal.plans.registry import registry
 
 QUERIES, query = registry()
@@ -20,6 +21,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+@query("op3_secrets")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir))
+
+
 @query("op5_quality_rules", r"""
     with split as (select doc_id, source, coalesce(text, '') as t,
             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
