@@ -9,6 +9,7 @@ from jobsignal.llm.common import documents, tokenizer_file
 from jobsignal.llm.exact_dedup import split_dedup
 from jobsignal.llm.mixing import mix
 from jobsignal.llm.near_dedup import near_dedup
+from jobsignal.llm.quality_model import classify
 from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.llm.secrets import scan
 from jobsignal.plans.registry import registry
@@ -26,6 +27,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
 
 
+@query("op4_quality_model")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 @query("op5_quality_rules", r"""
     with split as (select doc_id, source, coalesce(text, '') as t,
             list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
