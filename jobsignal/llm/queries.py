@@ -12,6 +12,7 @@ from jobsignal.llm.near_dedup import near_dedup
 from jobsignal.llm.quality_model import classify
 from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.llm.secrets import scan
+from jobsignal.llm.warc import archive_round_trip
 from jobsignal.plans.registry import registry
 
 QUERIES, query = registry()
@@ -80,6 +81,15 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split_dedup(documents(spark, sf_dir))
 
 
+@query("op8_warc", """
+    select page_id, strlen(h) as payload_bytes, sha256(h) as payload_digest,
+        case when again then 'revisit' else 'response' end as record_type, case when again then m end as refers_to
+    from (select *, strlen(h) >= 100 and page_id <> m as again
+          from (select page_id, coalesce(html, '') as h, min(page_id) over (partition by coalesce(html, '')) as m from pages))""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
