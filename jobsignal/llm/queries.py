@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobsignal.llm import byte_bpe
+from jobsignal.llm import byte_bpe, licenses
 from jobsignal.llm.common import documents, tokenizer_file
 from jobsignal.llm.exact_dedup import split_dedup
 from jobsignal.llm.mixing import mix
@@ -93,3 +93,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_mixing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir))
+
+
+@query("op10_licenses")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
