@@ -3,11 +3,13 @@
 1. Every text becomes a set of word shingles (64-bit hashes). Texts with equal sets are one class from here on.
 2. A class has HASHES minima. Bands of ROWS minima give bucket keys; the low BITS bits of all minima are packed
    into bit planes, so a similarity estimate is a few xor and bit_count operations.
-3. In each bucket every class is paired with the smallest class only. Estimates far below the threshold drop out;
-   the rest are confirmed on the full shingles of both texts. Confirmed pairs are links.
-4. Linked classes get component labels. A bucket whose classes all carry one label is settled. In the others every
-   class that is not linked to the bucket's first class is paired with each class of another label, and those
-   pairs are confirmed too. So no candidate pair of a bucket that could join two components is left out.
+3. In each bucket every class is paired with one head only, another one in each of its bands. Estimates far below the
+   threshold drop out; the rest are confirmed on the full shingles of both texts. Confirmed pairs are links.
+4. Linked classes get component labels. A bucket is settled if its classes all carry one label. What other buckets may
+   still hide are links between labels; all of them have an end outside the bucket's most frequent label. They are found
+   by a prefix join of the full shingle sets: a class is listed under its rarest shingles, so many that two linked
+   classes must share one. Passages that many texts share are never among the rarest shingles of a text with enough
+   words of its own, so buckets made by such passages cost nothing there, and near copies mostly carry one label already.
 5. The labels of the final graph are spread back to all documents.
 """
 
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobsignal.llm.common import small, staged, text_of
@@ -25,10 +27,10 @@ from jobsignal.llm.common import small, staged, text_of
 SHINGLE_WORDS, PERCENT = 5, 75
 # 32 bands of 4 minima: a pair at the threshold shares no band with probability (1 - 0.75^4)^32 = 5e-6.
 BANDS, ROWS = 32, 4
-HASHES = BANDS * ROWS
-BITS = 2
-# Pairs are dropped unconfirmed below this estimate: six standard deviations under the threshold.
-LEAST_ESTIMATE = 0.47
+HASHES = 256  # minima of a signature; the bands use the first of them
+BITS = 4
+# Pairs are dropped unconfirmed below this estimate: five standard deviations under the threshold.
+LEAST_ESTIMATE = 0.6
 CHUNK_CHARS = 1_000_000
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -103,7 +105,7 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     """A 64-bit key per band, the band's number mixed in."""
     keys = np.zeros((len(minima), BANDS), np.uint64)
     for r in range(ROWS):
-        keys = mixed(keys + minima[:, r::ROWS].astype(np.uint64) + np.uint64(r + 1))
+        keys = mixed(keys + minima[:, r:BANDS * ROWS:ROWS].astype(np.uint64) + np.uint64(r + 1))
     return mixed(keys + np.arange(BANDS, dtype=np.uint64))
 
 
@@ -216,33 +218,84 @@ def classes(signs: DataFrame) -> DataFrame:
     return staged(rows.select(F.col("doc_id").alias("id"), "n_shingles", "set_a", "set_b", "bands", "planes"), "classes")
 
 
-def class_links(found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links between classes: by the first class of each bucket, then across labels in unsettled buckets."""
+def class_labels(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and label of every class: the smallest id of its component."""
     buckets = staged(found.select("id", F.explode("bands").alias("bucket")).distinct(), "buckets")
-    heads = buckets.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    starred = staged(buckets.join(heads.select("bucket", "head"), "bucket"), "starred")
-    pairs = starred.filter("id > head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    links = confirmed(_likely(pairs, found), docs)
-
-    labels = components(found.select("id"), links)
-    named = staged(starred.join(labels, "id"), "named")
-    open_ones = named.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("bucket")
-    open_rows = staged(named.join(open_ones, "bucket"), "unsettled")
-    mains = open_rows.filter("id = head").select("bucket", F.col("label").alias("main"))
-    apart = open_rows.join(mains, "bucket").filter("label <> main").select("bucket", F.col("id").alias("p"), F.col("label").alias("p_label"))
-    # not with heads, which are paired already; two classes that are both apart meet once
-    more = (apart.join(open_rows.filter("id <> head"), "bucket").filter("label <> p_label")
-            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
-    return links.union(confirmed(_likely(more, found), docs))
+    heads = buckets.groupBy("bucket").agg(F.min_by("id", F.xxhash64("id", "bucket")).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = staged(buckets.join(heads.select("bucket", "head"), "bucket"), "shared-buckets")
+    pairs = rows.filter("id <> head").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+    labels = staged(components(found.select("id"), confirmed(_likely(pairs, found), docs)), "class-labels")
+    more = _prefix_pairs(_unsettled(rows.join(labels, "id")), found, docs)
+    return _merged(labels, confirmed(more, docs))
+
+
+def _unsettled(rows: DataFrame) -> DataFrame:
+    """id, label and apart of the classes in buckets with several labels, from rows of bucket, id, head and label.
+
+    A class is apart if in one of these buckets it is not the head, which was paired with all others, and has another
+    label than most. Labels are counted per bucket before they are compared, however large the bucket.
+    """
+    rows = staged(rows, "bucket-labels")
+    mains = (rows.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket")
+             .agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("main"), F.count(F.lit(1)).alias("labels")).filter("labels > 1"))
+    apart = (F.col("id") != F.col("head")) & (F.col("label") != F.col("main"))
+    return staged(rows.join(mains, "bucket").groupBy("id", "label").agg(F.max(apart).alias("apart")), "unsettled")
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            values, counts = shingles([batch.column(1)[i].as_py()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0)[i].as_py(), len(values)), pa.int64()), pa.array(values.view(np.int64))], names=["id", "shingle"])
+
+
+def _prefix_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of ``classes`` with different labels, one of them apart, that share a shingle of both prefixes.
+
+    Under one order of all shingles (here: frequency, then value) the n - ceil(0.75 n) + 1 first shingles of two linked
+    sets of n shingles each have one in common. Shingles of a single text are dropped, as they can't be shared.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("_text")).join(small(classes.select("id")), "id", "left_semi")
+    rows = staged(texts.mapInArrow(_shingle_rows, "id long, shingle long").distinct(), "shingles")
+    counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    own = Window.partitionBy("id")  # one text's shingles
+    ranked = (rows.join(counts, "shingle", "left").withColumn("rank", F.row_number().over(own.orderBy(F.coalesce("n", F.lit(1)), "shingle")))
+              .withColumn("size", F.count(F.lit(1)).over(own)))
+    listed = ranked.filter(F.col("n").isNotNull() & (F.col("rank") <= F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1)).select("id", "shingle")
+    listed = staged(listed.join(classes, "id"), "prefixes")
+    mixed_ones = listed.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
+    listed = listed.join(mixed_ones, "shingle", "left_semi")
+    whole = listed.groupBy("id", "label", "apart").agg(F.array_sort(F.collect_list("shingle")).alias("list")).join(found.select("id", "n_shingles", "planes"), "id")
+    rows = staged(whole.select("*", F.explode("list").alias("shingle")), "mixed-prefixes")
+    ends = rows.filter("apart").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n_shingles", "planes", "list")))
+    rest = rows.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n_shingles", "planes", "list")))
+    # a pair that shares several listed shingles comes out at the first one only
+    first = F.array_min(F.array_intersect("list_a", "list_b")) == ends["shingle"]
+    met = ends.join(rest, (ends["shingle"] == rest["shingle"]) & (F.col("label_a") != F.col("label_b")) & _may_link("_a", "_b") & first)
+    return staged(met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "pairs")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after ``links`` joined some of them."""
+    if links.isEmpty():
+        return labels
+    one, two = labels.toDF("a", "x"), labels.toDF("b", "y")
+    joined = staged(links.join(one, "a").join(two, "b").select(F.col("x").alias("a"), F.col("y").alias("b")).filter("a <> b").distinct(), "label-links")
+    moved = components(joined.select(F.col("a").alias("id")).union(joined.select("b")).distinct(), joined).toDF("label", "new")
+    return staged(labels.join(small(moved), "label", "left").select("id", F.coalesce("new", "label").alias("label")), "class-labels")
+
+
+def _may_link(a: str, b: str) -> Column:
+    """Whether sizes allow a link and the bit estimate is not far below the threshold."""
+    one, two = F.col(f"n_shingles{a}"), F.col(f"n_shingles{b}")
+    return (100 * F.least(one, two) >= PERCENT * F.greatest(one, two)) & (estimate(f"planes{a}", f"planes{b}") >= LEAST_ESTIMATE)
 
 
 def _likely(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs whose sizes allow a link and whose bit estimate is not far below the threshold."""
-    one = found.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("planes").alias("p_a"))
-    two = found.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("planes").alias("p_b"))
-    both = pairs.join(two, "b").join(one, "a")
-    sizes = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    return staged(both.filter(sizes & (estimate("p_a", "p_b") >= LEAST_ESTIMATE)).select("a", "b"), "pairs")
+    """The pairs that may be linked."""
+    one = found.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_shingles_a"), F.col("planes").alias("planes_a"))
+    two = found.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_shingles_b"), F.col("planes").alias("planes_b"))
+    return staged(pairs.join(two, "b").join(one, "a").filter(_may_link("_a", "_b")).select("a", "b"), "pairs")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -255,8 +308,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     """
     signs = staged(signed(docs), "signatures")
     found = classes(signs)
-    links = class_links(found, docs.filter("doc_id is not null"))
-    labels = components(found.select("id"), links)
+    labels = class_labels(found, docs.filter("doc_id is not null"))
     named = found.select("id", "set_a", "set_b").join(labels, "id").select("set_a", "set_b", "label")
     rows = signs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))
