@@ -114,33 +114,36 @@ def _hash(level: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64("_id", "_size", F.lit(level)), 11).cast("double") / HASHED
 
 
-def _base_and_fraction() -> tuple[Column, Column]:
+def _rated(df: DataFrame) -> DataFrame:
+    """``df`` with the whole and the fractional part of each row's rate."""
     rate = F.when(F.col("_theta").isNull(), F.lit(float(CEILING))).otherwise(_rate(F.col("_theta"), F.col("_size"), F.col("_mean")))
-    rate = F.round(F.least(rate, F.lit(float(CEILING))), 9)
-    return F.floor(rate), rate - F.floor(rate)
+    rated = df.withColumn("_rate", F.round(F.least(rate, F.lit(float(CEILING))), 9)).withColumn("_base", F.floor("_rate"))
+    return rated.withColumn("_fraction", F.col("_rate") - F.col("_base"))
 
 
 def _bin(level: int) -> Column:
     """Bin of the row at a rounding level, null where it can't be chosen there.
 
-    Level 0 ranks by hash over fraction, so rates decide; the next two give rows without an extra copy one, the last
-    ones any row below the ceiling.
+    Level 0 ranks by hash over fraction, so rates decide; later levels by another hash, what fits into the rest.
     """
     if level == 0:
-        _, fraction = _base_and_fraction()
-        scaled = F.when(fraction > 0, F.floor(_hash(0) / fraction * (BINS // 2)))
+        scaled = F.when(F.col("_fraction") > 0, F.floor(_hash(0) / F.col("_fraction") * (BINS // 2)))
         return F.when(scaled < BINS, scaled)
-    room = F.col("_copies") < CEILING if level > 2 else (F.col("_copies") < CEILING) & (F.col("_copies") == _base_and_fraction()[0])
-    return F.when(room & (F.col("_size") <= F.col(f"_limit{level}")), F.floor(_hash(level) * BINS))
+    return F.when(F.col("_size") <= F.col(f"_limit{level}"), F.floor(_hash(level) * BINS))
+
+
+def _most(level: int) -> Column:
+    """Copies below which a level may add one: the first three give a row one more than its base, the last ones up to the ceiling."""
+    return F.least(F.col("_base") + 1, F.lit(CEILING)) if level < 3 else F.lit(CEILING).cast("long")
 
 
 def _copied(df: DataFrame, levels: int) -> DataFrame:
     """``df`` with ``_copies`` after the first ``levels`` levels of rounding."""
-    df = df.withColumn("_copies", _base_and_fraction()[0])
-    for level in range(levels):
-        chosen = F.coalesce(_bin(level) <= F.col(f"_cut{level}"), F.lit(False))
-        df = df.withColumn("_copies", F.col("_copies") + chosen.cast("long"))
-    return df
+    rated = _rated(df)
+    if not levels:
+        return rated.withColumn("_copies", F.col("_base"))
+    steps = F.array(*(F.struct(_bin(i).alias("bin"), F.col(f"_cut{i}").cast("long").alias("cut"), _most(i).alias("most")) for i in range(levels)))
+    return rated.withColumn("_copies", F.aggregate(steps, F.col("_base"), lambda n, s: F.when((s["bin"] <= s["cut"]) & (n < s["most"]), n + 1).otherwise(n)))
 
 
 def _attach(rows: DataFrame, params: DataFrame, source: str) -> DataFrame:
@@ -157,15 +160,15 @@ def parameters(rows: DataFrame) -> DataFrame:
     table = fitted(rows, staged(table, "targets"))
     params = staged(table.select(*(F.col(c).alias(f"_{c}") for c in ("source", "k", "source_size", "target", "mean", "theta"))), "params")
     narrow = rows.select(F.col("doc_id").alias("_id"), "source", F.col("size").alias("_size")).filter("_size > 0")
-    base, _ = _base_and_fraction()
-    whole = _attach(narrow, params, "source").groupBy("_k").agg(F.sum(base * F.col("_size")).alias("_whole"))
+    whole = _rated(_attach(narrow, params, "source")).groupBy("_k").agg(F.sum(F.col("_base") * F.col("_size")).alias("_whole"))
     params = staged(params.join(whole, "_k", "left").withColumn(
         "_rest", F.greatest(F.floor("_target") - F.coalesce("_whole", F.lit(0)), F.lit(0))).drop("_whole"), "params")
     upto = Window.partitionBy("_k").orderBy("_bin")  # at most BINS rows
     for level in range(LEVELS):
         if level:
             params = params.withColumn(f"_limit{level}", F.col("_rest"))
-        bins = (_copied(_attach(narrow, params, "source"), level).withColumn("_bin", _bin(level)).filter("_bin is not null")
+        bins = (_copied(_attach(narrow, params, "source"), level).filter(F.col("_copies") < _most(level))
+                .withColumn("_bin", _bin(level)).filter("_bin is not null")
                 .groupBy("_k", "_bin").agg(F.sum("_size").alias("_words")).withColumn("_sum", F.sum("_words").over(upto)))
         cuts = (bins.join(small(params.select("_k", "_rest")), "_k").filter("_sum <= _rest").groupBy("_k")
                 .agg(F.max("_bin").alias(f"_cut{level}"), F.max("_sum").alias("_filled")))
