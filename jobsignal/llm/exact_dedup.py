@@ -171,3 +171,9 @@ def split_dedup(docs: DataFrame) -> DataFrame:
     """Dedup of one table: half of it, chosen by a hash of the id, plays the frozen snapshot, the rest the batch."""
     old = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1))), F.lit(2)) == 0
     return exact_dedup(docs.filter(old), docs.filter(~old))
+
+
+def keep_unique(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, columns as they were. Only ids and digests are joined to them."""
+    kept = staged(split_dedup(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_digest")).distinct(), "kept-digests")
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (_digest() == F.col("_digest")), "left_semi")

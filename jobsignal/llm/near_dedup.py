@@ -313,3 +313,20 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     rows = signs.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "set_a", "set_b")
+
+
+def keep_unique(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not near-duplicates of one with a smaller doc_id, columns as they were.
+
+    Rows leave by doc_id; a row without one leaves if a row with an id has the same shingles.
+    """
+    found = staged(near_dedup(docs), "near-duplicates")
+    gone = small(found.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct())
+    named = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    unnamed = found.filter("doc_id is null and not kept").limit(1)
+    if unnamed.isEmpty():
+        return named
+    taken = found.filter("doc_id is not null and n_shingles > 0").select("set_a", "set_b").distinct()
+    bare = docs.filter("doc_id is null").withColumn("_row", F.monotonically_increasing_id())
+    sets = signed(bare.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "set_a", "set_b").join(taken, ["set_a", "set_b"], "left_semi")
+    return named.filter("doc_id is not null").unionByName(bare.join(sets, "_row", "left_anti").drop("_row"))

@@ -12,6 +12,7 @@ from jobsignal.llm.near_dedup import near_dedup
 from jobsignal.llm.quality_model import classify
 from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.llm.secrets import scan
+from jobsignal.llm.token_counts import token_counts
 from jobsignal.llm.warc import archive_round_trip
 from jobsignal.plans.registry import registry
 
@@ -23,6 +24,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"))
 
 
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
 @query("op3_secrets")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir))
