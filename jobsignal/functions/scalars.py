@@ -159,9 +159,10 @@ def unwrap_tracking_url(c: Column) -> Column:
     return F.coalesce(let(let(packed, inner_json), target), c)
 
 
-_TIME = r"(?:[T ,]+(\d{1,2}):(\d{2})(?::(\d{2}))?)?(?:\s*(Z|GMT|UTC|[+-]\d{2}:?\d{2}))?\z"
+_TIME = r"(?:[T ,]+(\d{1,2}):(\d{2})(?::(\d{2})(?:\.\d+)?)?)?(?:\s*(Z|GMT|UTC|[+-]\d{2}:?\d{2}))?\z"
 _DIGITS = rf"\A(\d{{1,4}})[-/.](\d{{1,2}})[-/.](\d{{1,4}}){_TIME}"
-_NAMED = rf"\A(\d{{1,2}}) ([A-Za-z]{{3}})[a-z]*[.,]? (\d{{4}}){_TIME}"
+_NAMED = rf"\A(\d{{1,2}}) ([A-Za-z]{{3}})[a-z]*[.,]? (\d{{4}}|\d{{2}}){_TIME}"
+_ZONES = (("EDT", "-0400"), ("EST|CDT", "-0500"), ("CST|MDT", "-0600"), ("MST|PDT", "-0700"), ("PST", "-0800"))
 _MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
 
@@ -169,9 +170,13 @@ def parse_date(c: Column) -> Column:
     """Day-first date text to ``timestamp_ntz`` in UTC; unreadable text is NULL.
 
     In all-digit dates the day comes before the month wherever that gives a month,
-    also after a leading year. Weekday names and zone comments are ignored.
+    also after a leading year. Weekday names and zone comments are ignored, fractions of a second
+    are cut, two-digit years lie between 1969 and 2068, and a named month may come first.
     """
     plain = F.regexp_replace(strip(c), r"\A[A-Za-z]{3,9},\s*|\s*\([^)]*\)\z", "")
+    plain = F.regexp_replace(plain, r"\A([A-Za-z]{3,9})\.? (\d{1,2})(?:st|nd|rd|th)?,? (\d{4})", "$2 $1 $3")
+    for names, offset in _ZONES:
+        plain = F.regexp_replace(plain, rf"\s(?:{names})\z", f" {offset}")
     return let(plain, lambda text: let(_date_fields(text), _build_date))
 
 
@@ -192,7 +197,9 @@ def _date_fields(text: Column) -> Column:
 
 def _build_date(f: Column) -> Column:
     year_first = f["kind"] == 2
-    year = F.when(year_first, f["a"]).otherwise(f["c"])
+    written = F.when(year_first, f["a"]).otherwise(f["c"])
+    short = (f["kind"] == 0) & (written < 100)
+    year = F.when(short & (written < 69), written + 2000).when(short, written + 1900).otherwise(written)
     late, early = F.when(year_first, f["c"]).otherwise(f["b"]), F.when(year_first, f["b"]).otherwise(f["a"])
     swap = (f["kind"] > 0) & (late > 12)
     month, day = F.when(swap, early).otherwise(late), F.when(swap, late).otherwise(early)

@@ -87,6 +87,14 @@ def append_links(links: DataFrame, batch: DataFrame) -> DataFrame:
     return links.unionByName(new)
 
 
+def upsert_links(links: DataFrame, batch: DataFrame) -> DataFrame:
+    """Links of values to vacancies with the source and time of their last writer; links never go."""
+    keys = ["data_hash", "attr_id", "attr_value"]
+    # A rerun of an older message must not move the time back.
+    new = batch.select(*keys, "attr_source_id", "written")
+    return latest_per_key(links.select(*keys, "attr_source_id", "written").unionByName(new), keys, ["written", "attr_source_id"])
+
+
 def upsert_attrs(attrs: DataFrame, batch: DataFrame, order: list[str]) -> DataFrame:
     """Attribute values keyed by (attr, value); the source is the last writer's."""
     keys = ["attr_id", "attr_value"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobsignal import schemas as S
@@ -18,12 +18,10 @@ from jobsignal.functions import scalars as X
 from jobsignal.operators import chat as chat_ops
 from jobsignal.operators import classify, fetching, merge, reshape
 from jobsignal.plans import datasets
-from jobsignal.session import spread
 from jobsignal.sources import landing
 from jobsignal.sources.shred import shred
 from jobsignal.sources.store import Store
 
-_LINK = ["data_hash", "attr_id", "attr_value"]
 _ORDER = ["date", "ident", "part_no"]
 
 
@@ -65,11 +63,13 @@ def _vacancies(store: Store, parts: DataFrame, source: int, kind: str) -> list[D
     return counters
 
 
-def _attributes(store: Store, long: DataFrame, source: int) -> None:
-    staged = store.stage("_long", long.withColumn("attr_source_id", F.lit(source)))
+def _attributes(store: Store, long: DataFrame, source: int, written: Column | None = None) -> None:
+    """Merge values and their links; ``written`` is when the source said so, the message's date by default."""
+    at = F.col("date") if written is None else written
+    staged = store.stage("_long", long.withColumn("attr_source_id", F.lit(source)).withColumn("written", at.cast("timestamp_ntz")))
     store.stage("vacancy_data", merge.upsert_attrs(store.read("vacancy_data"), staged, _ORDER))
     store.stage("vacancy_data_vacancies_links",
-                merge.append_links(store.read("vacancy_data_vacancies_links"), staged.select(*_LINK)))
+                merge.upsert_links(store.read("vacancy_data_vacancies_links"), staged))
 
 
 def _report(store: Store, counters: list[DataFrame]) -> DataFrame:
@@ -81,7 +81,7 @@ def _report(store: Store, counters: list[DataFrame]) -> DataFrame:
 
 def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     """One run over new chat messages (``message_id, date, text``); returns the counters."""
-    usable = spread(messages.where(F.col("date").isNotNull() & F.col("message_id").isNotNull()))
+    usable = messages.where(F.col("date").isNotNull() & F.col("message_id").isNotNull())
     typed = chat_ops.raw_audit(classify.with_chat_type(usable))
     batch = store.stage("_batch", _typed_null(typed.select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), "*", F.col("message_id").alias("ident"),
@@ -175,17 +175,39 @@ def parse_pages(store: Store, run_ts: datetime, from_date: datetime | None = Non
     store.stage("vacancies", merge.upsert(store.read("vacancies"), errors, ["data_hash"], ["web_parsing_error"], ["date"]))
     long = reshape.to_long(good.withColumn("ident", F.lit(0).cast("bigint")).withColumn("part_no", F.lit(0)),
                            ["data_hash", *_ORDER])
-    _attributes(store, long, S.WEB)
+    _attributes(store, long, S.WEB, F.lit(run_ts))
     store.stage("vacancy_web", fetching.apply_web_parse(urls, parsed, run_ts))
     _quarantine(store, parsed.where(F.col("quarantine").isNotNull()).select(
         "raw_key", F.col("quarantine").alias("reason"), F.col("page_url").alias("payload")))
     return _report(store, counters)
 
 
+def delete_messages(store: Store, raw_keys: DataFrame) -> DataFrame:
+    """One run that deletes raw messages (``raw_key``) and what hangs on them; returns rows left per table.
+
+    Vacancies, statistics and service rows go with their message; links go with their vacancy; urls stay known
+    and lose their pointer. Values stay, as other vacancies share them.
+    """
+    gone = store.stage("_gone", raw_keys.select("raw_key").distinct())
+    tables = ["raw_messages", "vacancies", "statistic", "service"]
+    left = merge.cascade_delete({t: (store.read(t), "raw_key") for t in tables}, gone, "raw_key")
+    lost = store.read("vacancies").join(gone, "raw_key", "left_semi").select("data_hash")
+    left |= merge.cascade_delete({"vacancy_data_vacancies_links": (store.read("vacancy_data_vacancies_links"), "data_hash")}, lost, "data_hash")
+    pointed = lost.select(F.col("data_hash").alias("_lost")).distinct()
+    urls = store.read("vacancy_web").join(pointed, F.col("data_hash") == F.col("_lost"), "left")
+    left["vacancy_web"] = urls.withColumn("data_hash", F.when(F.col("_lost").isNull(), F.col("data_hash"))).drop("_lost")
+    staged = [store.stage(name, df).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("label"), "n") for name, df in left.items()]
+    return _report(store, staged)
+
+
 def report(store: Store) -> DataFrame:
-    """Flat report: one typed row per vacancy with its source, date and url."""
-    wide = reshape.typed(reshape.to_wide(store.read("vacancy_data_vacancies_links")))
+    """Flat report: one typed row per vacancy with its source, date and urls.
+
+    Numbers are those of the last writer, a page after its message; several urls of a vacancy are joined.
+    """
+    wide = reshape.typed(reshape.to_wide(store.read("vacancy_data_vacancies_links"), newest=["written", "attr_source_id"]))
     vacancies = store.read("vacancies").select("data_hash", "raw_key", "message_parsing_error", "web_parsing_error")
     raw = store.read("raw_messages").select("raw_key", "date", "message_source_id")
-    urls = merge.latest_per_key(store.read("vacancy_web").select("data_hash", "url", "canonical_url"), ["data_hash"], ["url"])
+    joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ", ").alias(c)
+    urls = store.read("vacancy_web").where("data_hash IS NOT NULL").groupBy("data_hash").agg(joined("url"), joined("canonical_url"))
     return wide.join(vacancies, "data_hash").join(raw, "raw_key").join(urls, "data_hash", "left")

@@ -71,12 +71,7 @@ SELECT 'week' AS unit, * FROM ({PERIODS.format(unit='week')}) UNION ALL SELECT '
 UNION ALL SELECT 'season', month(date)::VARCHAR, count(*), NULL, NULL FROM chat GROUP BY 2""")
 def market_dynamics(spark, sf_dir):
     """Postings, openings and pay per week and month, and postings per calendar month."""
-    chat = T.chat_vacancies(spark, sf_dir)
-    unit = lambda name: analytics.market_dynamics(chat, name).select(F.lit(name).alias("unit"), "*")
-    season = analytics.seasonality(chat).select(
-        F.lit("season").alias("unit"), F.col("month").cast("string").alias("period"), "postings",
-        F.lit(None).cast("bigint").alias("openings"), F.lit(None).cast("double").alias("avg_from"))
-    return unit("week").unionByName(unit("month")).unionByName(season)
+    return analytics.market_calendar(T.chat_vacancies(spark, sf_dir))
 
 
 @query("dynamics_delta", E.with_(E.PARTS, E.CHAT) + """
@@ -114,7 +109,7 @@ def eav_to_wide(spark, sf_dir):
 SELECT data_hash, position AS attr_1, experience::BIGINT::VARCHAR AS attr_3, salary_to::BIGINT::VARCHAR AS attr_8 FROM chat""")
 def vac_attr(spark, sf_dir):
     attrs = reshape.vac_attr(T.chat_long(spark, sf_dir))
-    return attrs.select("data_hash", *[F.try_element_at("attrs", F.lit(i)).alias(f"attr_{i}") for i in (1, 3, 8)])
+    return attrs.select("data_hash", *[F.array_join(F.try_element_at("attrs", F.lit(i)), ", ").alias(f"attr_{i}") for i in (1, 3, 8)])
 
 
 @query("collect_distinct_join", """

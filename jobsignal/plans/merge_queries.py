@@ -172,13 +172,14 @@ def link_append(spark, sf_dir):
     return merge.append_links(long.where(_before()).select(*keys), long.where(_batch()).select(*keys))
 
 
-@query("cascade_delete", E.with_(E.PARTS, E.CHAT, E.CHAT_TYPES, f"""
+@query("cascade_delete", E.with_(E.PARTS, E.CHAT, E.CHAT_TYPES, E.CHAT_LONG, f"""
 last AS (SELECT url, arg_max(message_id, struct_pack(d := date, m := message_id, p := part_no)) AS m,
   arg_max(date, struct_pack(d := date, m := message_id, p := part_no)) AS d FROM chat GROUP BY url)""") + f"""
 SELECT 'vacancies' AS child, count(*) AS n FROM chat WHERE date < TIMESTAMP '{SINCE}'
 UNION ALL SELECT 'vacancy_web', count(*) FROM last WHERE d < TIMESTAMP '{SINCE}'
 UNION ALL SELECT 'statistic', count(*) FROM chat_types WHERE message_type_id = 2 AND date < TIMESTAMP '{SINCE}'
-UNION ALL SELECT 'service', count(*) FROM chat_types WHERE message_type_id = 3 AND date < TIMESTAMP '{SINCE}'""")
+UNION ALL SELECT 'service', count(*) FROM chat_types WHERE message_type_id = 3 AND date < TIMESTAMP '{SINCE}'
+UNION ALL SELECT 'vacancy_data_vacancies_links', count(*) FROM chat_eav WHERE date < TIMESTAMP '{SINCE}'""")
 def cascade_delete(spark, sf_dir):
     """Rows left in every child table after the newer messages were deleted."""
     chat, parts = T.typed_chat(spark, sf_dir), T.chat_vacancies(spark, sf_dir)
@@ -187,6 +188,8 @@ def cascade_delete(spark, sf_dir):
                 "statistic": (chat.where("message_type_id = 2"), "message_id"),
                 "service": (chat.where("message_type_id = 3"), "message_id")}
     left = merge.cascade_delete(children, chat.where(~_before()), "message_id")
+    links = T.chat_long(spark, sf_dir).select("data_hash", "attr_id", "attr_value")
+    left |= merge.cascade_delete({"vacancy_data_vacancies_links": (links, "data_hash")}, parts.where(~_before()), "data_hash")
     counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("child"), "n") for name, df in left.items()]
     result = counts[0]
     for c in counts[1:]:

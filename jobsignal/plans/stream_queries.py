@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from jobsignal.plans import datasets as T
@@ -13,7 +15,7 @@ from jobsignal.streaming import ingest as stream_jobs
 
 QUERIES, query = registry()
 
-_RUNS = iter(range(1, 1_000_000))
+_RUNS = itertools.count(1)
 
 
 def _folders(spark, name: str) -> tuple[str, str]:

@@ -63,7 +63,8 @@ TABLES = {
     "vacancy_data": _table(
         ("attr_id", _I, False), ("attr_value", _S, False), ("attr_source_id", _I, False)),
     "vacancy_data_vacancies_links": _table(
-        ("data_hash", _S, False), ("attr_id", _I, False), ("attr_value", _S, False)),
+        ("data_hash", _S, False), ("attr_id", _I, False), ("attr_value", _S, False), ("attr_source_id", _I, True),
+        ("written", _TS, True)),
     "vacancy_web": _table(
         ("url", _S, False), ("canonical_url", _S, False), ("raw_html", _S, True), ("last_check", _TS, True),
         ("status_code", _I, True), ("parsing_date", _TS, True), ("data_hash", _S, True)),

@@ -4,11 +4,19 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Settings the results depend on: dates are formatted and parsed in UTC."""
+    """Settings the results depend on: dates are formatted and parsed in UTC.
+
+    How inputs are split is left to the session: ``spark.sql.files.maxPartitionBytes`` and
+    ``spark.sql.files.minPartitionNum`` for scans, ``spark.sql.shuffle.partitions`` for shuffles. Streams keep
+    their state in RocksDB with a changelog, so it is not bounded by an executor's heap.
+    """
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
@@ -29,18 +37,9 @@ def work_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="jobsignal-")
         spark.sparkContext.setCheckpointDir(base)
+    if not spark.sparkContext.master.startswith("local"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+        scheme = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+        if scheme == "file":
+            raise RuntimeError(f"spark.checkpoint.dir is {base}, a folder of each machine; name one all executors share")
     return f"{base.rstrip('/')}/jobsignal-{app}"
-
-
-# Below this size a round-robin shuffle costs less than leaving most cores idle.
-SPREAD_BYTES = 256 * 1024 * 1024
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a small input over all cores before a CPU-heavy step.
-
-    Small inputs come as one or two files, hence one or two tasks. Larger inputs are
-    split by their size already and are left alone, without any shuffle.
-    """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < SPREAD_BYTES else df

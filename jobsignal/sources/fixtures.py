@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignal.session import spread, work_folder
+from jobsignal.session import work_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +25,15 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build, files: int | None
     """Write a derived input once per application to the shared folder and read it back.
 
     The real jobs start from landed files; writing them also cuts lineage, so losing
-    an executor re-reads files instead of rendering everything again.
+    an executor re-reads files instead of rendering everything again. Files are as many as
+    shuffle partitions are set, so later scans have tasks enough without a shuffle of their own.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
         path = f"{work_folder(spark)}/{sf_dir.strip('/').replace('/', '_')}/{name}"
         df = build(spark, sf_dir)
-        (df.repartition(files) if files else df).write.mode("overwrite").parquet(path)
+        files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df.repartition(files).write.mode("overwrite").parquet(path)
         _LANDED[key] = path
     return spark.read.parquet(_LANDED[key])
 
@@ -49,7 +51,7 @@ def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n_part = part.agg(F.count("*")).scalar()
     n_supplier = supplier.agg(F.count("*")).scalar()
     o = F.col("o_orderkey")
-    rows = (spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"))
+    rows = (table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
             .withColumn("k", F.explode(F.sequence(F.lit(0).cast("bigint"), o % 3)))
             .withColumn("h", o * 3 + F.col("k"))
             .withColumn("pk", (o * 7 + F.col("k") * 13) % n_part)
@@ -167,7 +169,7 @@ def web(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     n_supplier = supplier.agg(F.count("*")).scalar()
     pk = c("p_partkey")
-    rows = (spread(table(spark, sf_dir, "part")).withColumn("sk", pk % n_supplier)
+    rows = (table(spark, sf_dir, "part").withColumn("sk", pk % n_supplier)
             .join(supplier.select(F.col("s_suppkey").alias("sk"), "s_name", "s_nationkey"), "sk")
             .join(nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"), "s_nationkey")
             .select("*", (pk % 6).alias("e"), *_salary(pk)))
@@ -251,5 +253,5 @@ def eml(spark: SparkSession, sf_dir: str) -> DataFrame:
         part("text/html", _join("<div class=\"card\">", c("doc_id"), "</div>")),
         "--cut\r\nContent-Type: application/octet-stream\r\nContent-Disposition: attachment; filename=a.bin\r\n",
         "Content-Transfer-Encoding: base64\r\n\r\nAAEC\r\n--cut--\r\n")
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return table(spark, sf_dir, "documents").select("doc_id", "text").select(
         c("doc_id").alias("email_uid"), F.encode(source, "utf-8").alias("content"))

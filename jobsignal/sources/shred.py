@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from jobsignal.functions.dom import NODES_TYPE
-from jobsignal.session import spread
 
 # Functions of this module travel to the workers by value; nothing has to be installed there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -182,7 +181,7 @@ def _node_arrays(htmls: list[str | None], with_markup: bool) -> tuple[pa.Array,
 def shred(df: DataFrame, html: str = "html", with_markup: bool = False) -> DataFrame:
     """Replace the html column by ``nodes`` (and ``markup`` when asked for).
 
-    Runs per partition; only small inputs are spread first. Output batches are kept small because one
+    Runs per partition, without a shuffle. Output batches are kept small because one
     page can be much larger as nodes than as text.
     """
     kept = [f for f in df.schema.fields if f.name != html]
@@ -200,4 +199,4 @@ def shred(df: DataFrame, html: str = "html", with_markup: bool = False) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     columns, names=names + ["nodes"] + (["markup"] if with_markup else []))
 
-    return spread(df.select(*names, html)).mapInArrow(run, schema)
+    return df.select(*names, html).mapInArrow(run, schema)

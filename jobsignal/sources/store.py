@@ -1,12 +1,15 @@
-"""Vacancy store: parquet tables in run-numbered folders behind one commit marker.
+"""Vacancy store: parquet tables in folders of their own per run, published by a manifest.
 
-A run writes new versions of the tables it changed and then creates one marker file;
-readers take, per table, the newest version not above the newest marker. A run that
-dies leaves no marker, so its half-written folders are never read.
+A run stages each table it changes in a new folder with a unique name and then creates one manifest: for every table
+the folder that holds it, those of the run before for tables it left alone. Readers follow the newest manifest only.
+So a run that dies, before or after another one commits, is never seen, and two runs never write the same folder.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from jobsignal import schemas as S
@@ -18,33 +21,46 @@ class Store:
         self._jvm = spark.sparkContext._jvm
         root = self._path("")
         self._fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._begin()
+
+    def _begin(self) -> None:
+        """Start a run on top of the newest manifest."""
         self.run = self.committed() + 1
+        self._name = f"run-{self.run}-{uuid.uuid4().hex[:12]}"
+        self._staged: dict[str, str] = {}
 
     def _path(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
 
-    def _numbers(self, folder: str, prefix: str) -> list[int]:
-        path = self._path(folder)
+    def _runs(self) -> list[int]:
+        """Numbers of the committed runs, oldest first."""
+        path = self._path("_commits")
         if not self._fs.exists(path):
             return []
         names = [status.getPath().getName() for status in self._fs.listStatus(path)]
-        return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix) and n[len(prefix):].isdigit())
+        return sorted(int(n[4:]) for n in names if n.startswith("run-") and n[4:].isdigit())
 
     def committed(self) -> int:
-        return max(self._numbers("_commits", "run-"), default=0)
+        return max(self._runs(), default=0)
 
-    def versions(self, table: str) -> list[int]:
-        """Readable versions of a table, oldest first."""
-        newest = self.committed()
-        return [n for n in self._numbers(table, "run-") if n <= newest]
+    def manifest(self, run: int | None = None) -> dict[str, str]:
+        """Table -> folder of a committed run, the newest unless one is named."""
+        run = self.committed() if run is None else run
+        if not run:
+            return {}
+        stream = self._fs.open(self._path(f"_commits/run-{run}"))
+        try:
+            return json.loads(stream.readUTF())
+        finally:
+            stream.close()
 
     def read(self, table: str) -> DataFrame:
         """Newest committed version, or an empty frame with the table's schema."""
-        versions = self.versions(table)
+        folder = self.manifest().get(table)
         schema = S.TABLES.get(table)
-        if versions:
+        if folder:
             reader = self.spark.read.schema(schema) if schema else self.spark.read
-            return reader.parquet(f"{self.path}/{table}/run-{versions[-1]}")
+            return reader.parquet(f"{self.path}/{folder}")
         if schema is None:
             raise KeyError(f"no committed version of {table}")
         return self.spark.createDataFrame([], schema)
@@ -55,13 +71,38 @@ class Store:
         A staged batch has exact sizes, which lets Spark decide broadcasts on facts,
         and it is what later steps re-read if an executor is lost.
         """
-        folder = f"{self.path}/{table}/run-{self.run}"
+        folder = f"{table}/{self._name}"
         columns = S.TABLES[table].names if table in S.TABLES else df.columns
-        df.select(*columns).write.mode("overwrite").parquet(folder)
-        return self.spark.read.parquet(folder)
+        df.select(*columns).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        self._staged[table] = folder
+        return self.spark.read.parquet(f"{self.path}/{folder}")
 
     def commit(self) -> int:
         """Publish everything staged by this run; fails if another run was faster."""
-        self._fs.create(self._path(f"_commits/run-{self.run}"), False).close()
-        self.run += 1
-        return self.run - 1
+        run, tables = self.run, self.manifest(self.run - 1) | self._staged
+        stream = self._fs.create(self._path(f"_commits/run-{run}"), False)
+        stream.writeUTF(json.dumps(tables))
+        stream.close()
+        self._begin()
+        return run
+
+    def expire(self, keep: int = 2) -> int:
+        """Delete the folders and manifests that none of the newest ``keep`` runs needs; returns the number of folders.
+
+        Folders of the run after the newest one stay: it may be at work.
+        """
+        runs = self._runs()
+        needed = {folder for run in runs[-max(keep, 1):] for folder in self.manifest(run).values()}
+        dropped = 0
+        for status in self._fs.listStatus(self._path("")):
+            table = status.getPath().getName()
+            if table == "_commits" or not status.isDirectory():
+                continue
+            for version in self._fs.listStatus(status.getPath()):
+                name = version.getPath().getName()
+                number = name.split("-")[1] if name.startswith("run-") else ""
+                if number.isdigit() and int(number) <= self.committed() and f"{table}/{name}" not in needed:
+                    dropped += bool(self._fs.delete(version.getPath(), True))
+        for run in runs[:-max(keep, 1)]:
+            self._fs.delete(self._path(f"_commits/run-{run}"), False)
+        return dropped

@@ -54,6 +54,9 @@ def test_dates(spark):
         "Tue, 02 Jan 2024 03:04:05 +0200": "2024-01-02 01:04:05", "02/01/2024": "2024-01-02 00:00:00",
         "2024-01-02 03:04:05": "2024-02-01 03:04:05", "2024-02-13 01:02:03": "2024-02-13 01:02:03",
         "1/31/2024": "2024-01-31 00:00:00", "Mon, 1 Jul 2024 10:00:00 -0330 (NDT)": "2024-07-01 13:30:00",
+        "Mon, 5 Feb 2024 10:20:30 EST": "2024-02-05 15:20:30", "5 Feb 24 10:20:30 GMT": "2024-02-05 10:20:30",
+        "5 Feb 99": "1999-02-05 00:00:00", "Feb 5, 2024 10:20:30 PDT": "2024-02-05 17:20:30",
+        "2024-02-13 01:02:03.250": "2024-02-13 01:02:03", "February 5 2024": "2024-02-05 00:00:00",
         "2 January 2024": "2024-01-02 00:00:00", "nope": None, "": None, "30 Feb 2024": None, "31/31/2024": None,
     }
     got = column(spark, list(cases), lambda c: X.parse_date(c).cast("string"))

@@ -67,6 +67,65 @@ def test_uncommitted_run_is_invisible(spark, tmp_path):
         other.commit()
 
 
+def test_dead_run_stays_invisible(spark, tmp_path):
+    """A run that dies after staging is never read, also when a later run over other tables commits."""
+    path = str(tmp_path / "s")
+    dead = Store(spark, path)
+    dead.stage("service", spark.createDataFrame([("dead", "x")], "raw_key string, text string"))
+    alive = Store(spark, path)
+    alive.stage("quarantine", spark.createDataFrame([("a", 0, "r", "p")], "raw_key string, part_no int, reason string, payload string"))
+    alive.commit()
+    assert alive.read("service").count() == 0 and alive.read("quarantine").count() == 1
+    with pytest.raises(Exception):
+        dead.commit()
+
+
+def test_two_writers_keep_their_own_folders(spark, tmp_path):
+    path, schema = str(tmp_path / "s"), "raw_key string, text string"
+    one, two = Store(spark, path), Store(spark, path)
+    one.stage("service", spark.createDataFrame([("one", "x")], schema))
+    two.stage("service", spark.createDataFrame([("two", "x")], schema))
+    one.commit()
+    assert [r.raw_key for r in one.read("service").collect()] == ["one"]
+
+
+def test_expire_keeps_what_is_read(spark, tmp_path):
+    store, schema = Store(spark, str(tmp_path / "s")), "raw_key string, text string"
+    for i in range(4):
+        store.stage("service", spark.createDataFrame([(str(i), "x")], schema))
+        store.commit()
+    assert store.expire(keep=1) == 3
+    assert [r.raw_key for r in store.read("service").collect()] == ["3"]
+    store.stage("service", spark.createDataFrame([("4", "x")], schema))
+    assert store.commit() == 5
+
+
+def test_disagreeing_sources_keep_their_numbers(spark):
+    """A number written by two sources is the newer one; texts keep all values."""
+    from jobsignal import schemas as S
+    from jobsignal.operators import reshape
+    ids = S.ATTR_IDS
+    rows = [("k", ids["salary_from"], "1000", "2024-01-01"), ("k", ids["salary_from"], "2000", "2024-01-02"),
+            ("k", ids["position"], "Dev", "2024-01-01"), ("k", ids["position"], "Data dev", "2024-01-02")]
+    links = spark.createDataFrame(rows, "data_hash string, attr_id int, attr_value string, written string")
+    row = reshape.typed(reshape.to_wide(links, newest=["written"])).first()
+    assert (row.salary_from, row.position) == (2000.0, "Data dev, Dev")
+    assert reshape.vac_attr(links).first().attrs[ids["salary_from"]] == ["1000", "2000"]
+
+
+def test_delete_messages(spark, chat_store, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    jobs.ingest_chat(store, T.chat(spark, SF))
+    keys = store.read("vacancies").select("raw_key").distinct().orderBy("raw_key").limit(20).cache()
+    hashes = store.read("vacancies").join(keys, "raw_key").select("data_hash").cache()
+    assert hashes.count() >= 20
+    before = store.read("raw_messages").count()
+    left = counts(jobs.delete_messages(store, keys))
+    assert left["raw_messages"] == before - 20 == store.read("raw_messages").count()
+    for table in ("vacancies", "vacancy_data_vacancies_links", "vacancy_web"):
+        assert store.read(table).join(hashes, "data_hash", "left_semi").count() == 0
+
+
 def test_mail_then_web(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     mails = T.mails(spark, SF).withColumn("text", F.lit(""))
@@ -75,6 +134,8 @@ def test_mail_then_web(spark, tmp_path):
     assert [r.reason for r in bad] == ["short_details"]
     assert first["EMAIL_VACANCY added"] == store.read("vacancies").count()
 
+    flat = jobs.report(store)
+    before = {name: flat.where(f"{name} IS NOT NULL").count() for name in ("salary_from", "salary_to", "experience")}
     wanted = jobs.urls_to_fetch(store)
     assert wanted.count() == store.read("vacancy_web").count()
     log = T.pages(spark, SF).join(wanted, "url").select("url", F.lit(200).alias("status"), "html")
@@ -99,4 +160,6 @@ def test_mail_then_web(spark, tmp_path):
 
     flat = jobs.report(store)
     assert flat.count() == store.read("vacancies").count()
+    numbers = {name: flat.where(f"{name} IS NOT NULL").count() for name in before}
+    assert all(numbers[name] >= n for name, n in before.items()), (before, numbers)
     assert flat.where("main_tech IS NOT NULL AND position IS NOT NULL").count() > 0
