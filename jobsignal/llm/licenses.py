@@ -18,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignal.llm.common import staged, text_of
+from jobsignal.llm.common import hashed_sample, small, staged, text_of
 
 # Notices of licence families.
 NOTICES = {
@@ -148,7 +148,8 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceM
     Sampled paragraphs that name a licence or a copyright are left out. Every fifth of the others (by hash) is held out.
     """
     spark = docs.sparkSession
-    sample = docs.select("doc_id", text_of().alias("_text")).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("_text")).limit(sample_documents)
+    chosen = small(hashed_sample(docs.filter("doc_id is not null").select("doc_id"), "doc_id", sample_documents))
+    sample = docs.select("doc_id", text_of().alias("_text")).join(chosen, "doc_id", "left_semi")
     plain = sample.select(F.explode(_paragraphs()).alias("text")).filter(~F.col("text").rlike("(?i)licen[sc]|copyright"))
     plain = staged(plain.select(words(F.col("text")).alias("tokens"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held")), "unknown-paragraphs")
     total = max(plain.count(), 1)

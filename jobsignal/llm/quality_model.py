@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobsignal.llm.common import small, text_of
+from jobsignal.llm.common import hashed_sample, small, text_of
 from jobsignal.llm.quality_rules import BLANKS, repeated_words
 
 # Labelled rows that are fitted at most: those with the smallest hashes of their ids.
@@ -136,7 +136,7 @@ def held_out(key: str = "doc_id") -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
     """Trees fitted on at most ``sample_rows`` labelled rows that are not held out."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "quality")
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    sample = hashed_sample(known, "doc_id", sample_rows)
     rows = docs.select("doc_id", "text").join(small(sample), "doc_id")
     found = sorted(map(tuple, measured(rows).collect()), key=repr)  # as many rows as the sample
     x = np.array([r[2] for r in found], np.float64).reshape(-1, len(STATISTICS))
