@@ -138,6 +138,18 @@ def ingest_mail(store: Store, mails: DataFrame) -> DataFrame:
     return _report(store, counters)
 
 
+def ingest_new_chat(store: Store, landed: DataFrame) -> DataFrame:
+    """One run over the landed messages from the stored mark on; the mark itself is read again, older files are pruned by date."""
+    mark = landing.high_water(store.read("raw_messages").select("message_source_id", "date"), S.CHAT)
+    return ingest_chat(store, landing.new_chat(landed, mark))
+
+
+def ingest_new_mail(store: Store, landed: DataFrame) -> DataFrame:
+    """One run over the landed mails since the day of the stored mark."""
+    mark = landing.high_water(store.read("raw_messages").select("message_source_id", "date"), S.EMAIL)
+    return ingest_mail(store, landing.new_mail(landed, mark))
+
+
 def urls_to_fetch(store: Store) -> DataFrame:
     """Output for the external fetcher."""
     return fetching.refetch_candidates(store.read("vacancy_web")).distinct()

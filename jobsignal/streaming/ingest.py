@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from jobsignal.operators.merge import latest_per_key
+from jobsignal.sources.store import Store
 
 
 def read_landing(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
@@ -43,6 +44,19 @@ def ingest(stream: DataFrame, table: str, checkpoint: str, keys: list[str], orde
     _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def ingest_into_store(stream: DataFrame, store: Store, checkpoint: str, job: Callable[[Store, DataFrame], DataFrame]) -> None:
+    """Run an ingestion job of the store on every micro-batch of landed rows.
+
+    A batch is one committed run, so rows that arrive late are written late. One that is replayed after a failure
+    merges the same keys with the same order, so the tables don't change.
+    """
+    def write(batch: DataFrame, _: int) -> None:
+        if not batch.isEmpty():
+            job(store, batch)
+
+    _run(stream.writeStream.foreachBatch(write), checkpoint)
+
+
 def ingested(spark: SparkSession, table: str, schema: StructType, keys: list[str], order: list[str]) -> DataFrame:
     """Keyed state over all batches. Late rows are accepted: the order value decides,
     not the arrival."""

@@ -67,6 +67,40 @@ def test_uncommitted_run_is_invisible(spark, tmp_path):
         other.commit()
 
 
+def test_new_messages_start_at_the_mark(spark, tmp_path):
+    """Message numbers grow with time; a run reads the mark's messages again and none before them."""
+    from pyspark.sql import Window
+    store, full = Store(spark, str(tmp_path / "s")), Store(spark, str(tmp_path / "full"))
+    place = F.row_number().over(Window.orderBy("date", "message_id")).cast("bigint")
+    chat = T.chat(spark, SF).where("message_id < 1500").withColumn("message_id", place).withColumn("date", F.expr("date + interval 60 years"))
+    cut = F.col("message_id") <= 200
+    first = counts(jobs.ingest_new_chat(store, chat.where(cut)))
+    second = counts(jobs.ingest_new_chat(store, chat))
+    total = counts(jobs.ingest_chat(full, chat))["TELEGRAM"]
+    assert first["TELEGRAM"] == 200 and total - 200 < second["TELEGRAM"] < total - 150
+    assert second["TG_RAW added"] == total - 200
+    for table in TABLES:
+        assert rows(store, table) == rows(full, table), table
+
+
+def test_stream_into_the_store(spark, chat_store, tmp_path):
+    """Several micro-batches over two starts, and a replay of the newest rows, give the state of one batch run."""
+    from jobsignal.streaming import ingest as streams
+    full, _ = chat_store
+    landing, store, chat = str(tmp_path / "landing"), Store(spark, str(tmp_path / "s")), T.chat(spark, SF)
+    early = F.col("date") < F.lit("1995-01-01").cast("timestamp_ntz")
+    run = lambda: streams.ingest_into_store(
+        streams.read_landing(spark, landing, chat.schema, 1), store, str(tmp_path / "checkpoint"), jobs.ingest_chat)
+    chat.where(early).coalesce(1).write.parquet(landing)
+    run()
+    chat.where(~early).coalesce(1).write.mode("append").parquet(landing)
+    run()
+    chat.orderBy(F.desc("date"), F.desc("message_id")).limit(30).coalesce(1).write.mode("append").parquet(landing)
+    run()
+    for table in TABLES:
+        assert rows(store, table) == rows(full, table), table
+
+
 def test_dead_run_stays_invisible(spark, tmp_path):
     """A run that dies after staging is never read, also when a later run over other tables commits."""
     path = str(tmp_path / "s")
