@@ -250,28 +250,28 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _prefix_pairs(classes: DataFrame, found: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (a, b) of ``classes`` with different labels, one of them apart, that share a shingle of both prefixes.
+    """Pairs (a, b) of ``classes`` with different labels, one of them apart, that may be linked.
 
-    Under one order of all shingles (here: frequency, then value) the n - ceil(0.75 n) + 1 first shingles of two linked
-    sets of n shingles each have one in common. Shingles of a single text are dropped, as they can't be shared.
+    All sets are put into one order of shingles (here: frequency, then value). Two linked sets of n shingles each have
+    one in common among the first n - ceil(0.75 n) + 1, and at the first one in common enough shingles follow in both
+    sets to make up the overlap that their sizes ask for. Shingles of a single text are not listed, as they can't be
+    shared, but count as places; so a text with many shingles of its own meets few others.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("_text")).join(small(classes.select("id")), "id", "left_semi")
     rows = staged(texts.mapInArrow(_shingle_rows, "id long, shingle long").distinct(), "shingles")
     counts = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     own = Window.partitionBy("id")  # one text's shingles
-    ranked = (rows.join(counts, "shingle", "left").withColumn("rank", F.row_number().over(own.orderBy(F.coalesce("n", F.lit(1)), "shingle")))
+    ranked = (rows.join(counts, "shingle", "left").withColumn("place", F.row_number().over(own.orderBy(F.coalesce("n", F.lit(1)), "shingle")))
               .withColumn("size", F.count(F.lit(1)).over(own)))
-    listed = ranked.filter(F.col("n").isNotNull() & (F.col("rank") <= F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1)).select("id", "shingle")
+    listed = ranked.filter(F.col("n").isNotNull() & (F.col("place") <= F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1)).select("id", "shingle", "place")
     listed = staged(listed.join(classes, "id"), "prefixes")
     mixed_ones = listed.groupBy("shingle").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("shingle")
-    listed = listed.join(mixed_ones, "shingle", "left_semi")
-    whole = listed.groupBy("id", "label", "apart").agg(F.array_sort(F.collect_list("shingle")).alias("list")).join(found.select("id", "n_shingles", "planes"), "id")
-    rows = staged(whole.select("*", F.explode("list").alias("shingle")), "mixed-prefixes")
-    ends = rows.filter("apart").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n_shingles", "planes", "list")))
-    rest = rows.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n_shingles", "planes", "list")))
-    # a pair that shares several listed shingles comes out at the first one only
-    first = F.array_min(F.array_intersect("list_a", "list_b")) == ends["shingle"]
-    met = ends.join(rest, (ends["shingle"] == rest["shingle"]) & (F.col("label_a") != F.col("label_b")) & _may_link("_a", "_b") & first)
+    listed = staged(listed.join(mixed_ones, "shingle", "left_semi").join(found.select("id", "n_shingles", "planes"), "id"), "mixed-prefixes")
+    sides = [listed.select("shingle", *(F.col(c).alias(c + side) for c in ("id", "label", "apart", "place", "n_shingles", "planes"))) for side in ("_a", "_b")]
+    ends = sides[0].filter("apart_a")
+    needed = F.ceil((F.col("n_shingles_a") + F.col("n_shingles_b")) * PERCENT / (100 + PERCENT))
+    left = 1 + F.least(F.col("n_shingles_a") - F.col("place_a"), F.col("n_shingles_b") - F.col("place_b"))
+    met = ends.join(sides[1], (ends["shingle"] == sides[1]["shingle"]) & (F.col("label_a") != F.col("label_b")) & (left >= needed) & _may_link("_a", "_b"))
     return staged(met.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct(), "pairs")
 
 
