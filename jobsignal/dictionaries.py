@@ -136,6 +136,22 @@ SKILLS_HEADINGS = ["skills", "досвід"]
 LANGUAGE_HEADINGS = ["language", "мовами"]
 ENGLISH_NAMES = ["English", "Англійська"]
 LANGUAGE_KEYS = ["English", "Ukrainian", "Russian"]
+# Texts of failed and refused fetches.
+FETCH_FAILED = "Connection error/timeout: unknown"
+FETCH_REFUSED = ("Error for URL ", ": ")
+# Steps from markup to text: pattern and what replaces it; (?U) makes \s any Unicode white space.
+TEXT_STEPS = [
+    (r"\n+", " "),
+    (r"(?i)</?(p|div|li|h\d)[^>]*>", "\n"),
+    (r"(?iU)<br\s*/?>", "\n"),
+    (r"<[^>]+>", ""),
+    (r"[ \t]+", " "),
+    (r"\n+", "\n"),
+    (r"(?U)\A{WS}+|{WS}+\z", ""),
+    (r"(?Umd)^{WS}+|{WS}+$", ""),
+    (r" +", " "),
+    (r"(?U)\A{WS}+|{WS}+\z", ""),
+]
 BLOCKED_MARKS = ["Your IP address", "has been blocked"]
 
 

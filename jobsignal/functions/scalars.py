@@ -96,28 +96,11 @@ def strip_markup(c: Column) -> Column:
 
 def html_to_text(c: Column) -> Column:
     """Markup to plain text: block tags become line ends, other tags vanish."""
-    steps = [
-        (r"\n+", " "),
-        (r"(?i)</?(p|div|li|h\d)[^>]*>", "\n"),
-        (r"(?iU)<br\s*/?>", "\n"),
-        (r"<[^>]+>", ""),
-        (r"[ \t]+", " "),
-        (r"\n+", "\n"),
-        (rf"(?U)\A{WS}+|{WS}+\z", ""),
-        (rf"(?Umd)^{WS}+|{WS}+$", ""),
-        (r" +", " "),
-        (rf"(?U)\A{WS}+|{WS}+\z", ""),
-    ]
-    for pattern, replacement in steps:
-        c = F.regexp_replace(c, pattern, replacement)
+    for pattern, replacement in D.TEXT_STEPS:
+        c = F.regexp_replace(c, pattern.replace("{WS}", WS), replacement)
     return c
 
 
-def normalize(c: Column, name: str) -> Column:
-    """Whole-text synonym lookup; texts outside the dictionary stay as they are."""
-    return apply_sql(c, lambda x: _synonym(x, name))
-
-
 def _synonym(x: str, name: str) -> str:
     pairs = D.synonym_pairs(name)
     entries = ", ".join(f"{literal(text)}, {literal(target)}" for text, target in pairs)

@@ -15,8 +15,8 @@ from jobsignal.operators.merge import latest_per_key, upsert
 def fetch_rows(log: DataFrame) -> DataFrame:
     """Landed log rows in one shape: failed transports are status 0 with the error
     text, other answers than 200 keep their status and get an error text, 200 is trimmed."""
-    failed = F.coalesce(F.col("html"), F.lit("Connection error/timeout: unknown"))
-    refused = F.concat(F.lit("Error for URL "), F.col("url"), F.lit(": "), F.col("status").cast("string"))
+    failed = F.coalesce(F.col("html"), F.lit(D.FETCH_FAILED))
+    refused = F.concat(F.lit(D.FETCH_REFUSED[0]), F.col("url"), F.lit(D.FETCH_REFUSED[1]), F.col("status").cast("string"))
     status = F.coalesce(F.col("status"), F.lit(0))
     html = F.when(status == 0, failed).when(status != 200, refused).otherwise(X.strip(F.col("html")))
     return log.withColumn("html", html).withColumn("status", status)
