@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.dictionaries import synonyms_frame
 from jobsignal.operators import classify, mail as mail_ops, merge, reshape
@@ -88,15 +89,29 @@ MAIL_VALUES = """vals AS (
   FROM mail WHERE layout = 1)"""
 
 
-@query("dim_dictionaries", E.with_(E.PARTS, E.MAIL, MAIL_VALUES, E.SYNONYMS) + """
-SELECT s.dict, s.seq::INTEGER AS seq, s.source_text, s.target, count(v.email_uid) AS uses
+REMOVALS = "removals(dict, seq, fragment) AS (VALUES " + E.values(
+    [(name, i, fragment) for name in D.REMOVALS for i, fragment in enumerate(D.REMOVALS[name])]) + ")"
+
+
+@query("dim_dictionaries", E.with_(E.PARTS, E.MAIL, MAIL_VALUES, E.SYNONYMS, REMOVALS) + """
+SELECT 'synonym' AS kind, s.dict, s.seq::INTEGER AS seq, s.source_text, s.target, count(v.email_uid) AS uses
 FROM synonyms s LEFT JOIN vals v ON v.dict = s.dict AND v.source_text = s.source_text
+GROUP BY ALL
+UNION ALL SELECT 'removal', r.dict, r.seq::INTEGER, r.fragment, NULL, count(v.email_uid)
+FROM removals r LEFT JOIN vals v ON v.dict = r.dict AND contains(v.source_text, r.fragment)
 GROUP BY ALL""")
 def dim_dictionaries(spark, sf_dir):
-    """Every dictionary entry with its number of uses in the mails."""
+    """Every synonym and removal with its number of uses in the mails; texts are counted before they are compared."""
     used = mail_values(spark, sf_dir).groupBy("dict", "source_text").agg(F.count(F.lit(1)).alias("uses"))
-    return (F.broadcast(synonyms_frame(spark)).join(used, ["dict", "source_text"], "left")
-            .select("dict", "seq", "source_text", "target", F.coalesce("uses", F.lit(0)).alias("uses")))
+    uses = F.coalesce("uses", F.lit(0)).alias("uses")
+    synonyms = F.broadcast(synonyms_frame(spark)).join(used, ["dict", "source_text"], "left").select(
+        F.lit("synonym").alias("kind"), "dict", "seq", "source_text", "target", uses)
+    removals = D.removals_frame(spark).toDF("dict", "seq", "fragment")
+    cut = (used.withColumnRenamed("dict", "of").join(
+        F.broadcast(removals), (F.col("of") == F.col("dict")) & F.contains("source_text", "fragment"))
+        .groupBy("dict", "seq").agg(F.sum("uses").alias("uses")))
+    return synonyms.unionByName(F.broadcast(removals).join(cut, ["dict", "seq"], "left").select(
+        F.lit("removal").alias("kind"), "dict", "seq", F.col("fragment").alias("source_text"), F.lit(None).cast("string").alias("target"), uses))
 
 
 @query("dict_normalize", E.with_(E.PARTS, E.MAIL, MAIL_VALUES, E.SYNONYMS) + """
