@@ -10,30 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from jobsignal.llm import byte_bpe, exact_dedup, mixing, near_dedup, quality_rules
 from jobsignal.llm.common import staged, tokenizer_file
+from jobsignal.session import configure
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, from sources that do."""
+    configure(spark)
     return quality_rules.keep_good(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest doc_id."""
+    configure(spark)
     return exact_dedup.keep_unique(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near-duplicates the document with the smallest doc_id."""
+    configure(spark)
     return near_dedup.keep_unique(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
+    configure(spark)
     return mixing.mixed(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document of the mix."""
+    configure(spark)
     return byte_bpe.round_trip(docs, tokenizer_file("byte_bpe_50k.tiktoken"))
 
 

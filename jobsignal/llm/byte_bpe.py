@@ -22,7 +22,7 @@ from jobsignal.llm.common import text_of
 from jobsignal.llm.pretokens import pretokens
 
 # Slices kept by a worker before the cache starts anew, and code points handled at once; both bound memory only.
-CACHED_SLICES = 250_000
+CACHED_SLICES = 200_000
 CHUNK_CHARS = 500_000
 # From this many parts on a heap finds the next pair; shorter slices are scanned.
 HEAP_PARTS = 128
@@ -177,12 +177,6 @@ def chunks(texts: Iterable[str], limit: int = CHUNK_CHARS) -> Iterator[list[str]
         yield chunk
 
 
-@functools.lru_cache(maxsize=2)
-def worker_cache(path: str) -> MergeCache:
-    """One cache per worker and vocabulary; it survives from task to task."""
-    return MergeCache(path)
-
-
 def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, ids and token_ends of every row of ``df``.
 
@@ -194,7 +188,7 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     field = df.schema[key]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, (_, _, lengths) = worker_cache(path), token_table(path)
+        cache, (_, _, lengths) = MergeCache(path), token_table(path)  # a cache per task: idle workers hold none
         for batch in batches:
             keys, at = batch.column(0), 0
             for part in chunks(t.as_py() for t in batch.column(1)):

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from jobsignal.llm.common import small, staged, text_of
 
@@ -47,23 +48,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class WordHashes:
-    """64-bit hashes of words; a worker keeps those of recent words."""
-
-    def __init__(self, most: int = 400_000) -> None:
-        self.known: dict[bytes, int] = {}
-        self.most = most
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        from xxhash import xxh3_64_intdigest
-        if len(self.known) > self.most:
-            self.known.clear()
-        for word in set(words).difference(self.known):
-            self.known[word] = xxh3_64_intdigest(word)
-        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-
-
-_WORDS = WordHashes()
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, each distinct word hashed once."""
+    known = {word: xxh3_64_intdigest(word) for word in set(words)}
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +61,7 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         own = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
         counts[i] = len(own)
         words += own
-    hashes = _WORDS(words)
+    hashes = word_hashes(words)
     rolled = np.zeros(max(len(hashes) - SHINGLE_WORDS + 1, 0), np.uint64)
     for k, step in enumerate(_STEPS):
         rolled += hashes[k:k + len(rolled)] * step

@@ -26,7 +26,7 @@ from jobsignal.llm.pretokens import pretokens
 
 RANK_SHIFT = 256
 # Nodes of a worker's trie before it starts anew, and bytes of a pre-token that is kept in it; both bound memory only.
-TRIE_NODES = 600_000
+TRIE_NODES = 300_000
 KEPT_BYTES = 64
 
 
@@ -97,11 +97,6 @@ class Trie:
         return count[-1], score[-1]
 
 
-@functools.lru_cache(maxsize=2)
-def worker_trie(path: str) -> Trie:
-    return Trie(path)
-
-
 def count_texts(texts: list[str], trie: Trie) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pre-tokens, tokens and score of each text."""
     if len(texts) == 1 and len(texts[0]) > CHUNK_CHARS:
@@ -123,7 +118,7 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
     empty table gives no rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = worker_trie(path)
+        trie = Trie(path)  # one per task: idle workers hold none
         for batch in batches:
             at = 0
             for part in chunks(t.as_py() for t in batch.column(1)):
