@@ -1,7 +1,7 @@
 """Licence scan: a paragraph classifier over word n-grams, confirmed against the licence notices.
 
 Training paragraphs are crops of known notices, some sentences that only sound like licences, and a bounded sample of
-the corpus's own paragraphs as the unknown class. N-grams of the notices that are frequent in that sample are no
+the corpus's own paragraphs as the unknown class, but those that hold most of a notice. N-grams of the notices that are frequent in that sample are no
 features, so every feature contains a rare word; paragraphs without such a word have no feature and are unknown without
 being scored. A sparse (L1) multinomial logistic regression scores the others. The probability a family needs is set
 from unknown paragraphs that were held out. A prediction counts when the paragraph also shares enough two-word
@@ -142,16 +142,26 @@ class LicenceModel:
         return named.drop("_grams", "_features", "_raw", "_probability", "_class")
 
 
+def _a_notice(tokens: Column) -> Column:
+    """Whether the paragraph would be confirmed for any family."""
+    notices = F.array(*(F.array_distinct(grams(words(F.lit(text)), 2)) for texts in NOTICES.values() for text in texts))
+    mine = F.array(F.array_distinct(grams(tokens, 2)))  # computed once
+    return F.exists(mine, lambda m: (F.size(m) > 0) & F.exists(
+        notices, lambda notice: F.size(F.array_intersect(m, notice)) >= CONFIRMED * F.least(F.size(m), F.size(notice))))
+
+
 def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceModel:
     """The classifier; the corpus gives at most ``sample_documents`` documents of unknown paragraphs.
 
-    Sampled paragraphs that name a licence or a copyright are left out. Every fifth of the others (by hash) is held out.
+    Sampled paragraphs that name a licence or a copyright or hold most of a notice are left out: however often a notice
+    occurs, it is no example of the unknown class. Every fifth of the others (by hash) is held out.
     """
     spark = docs.sparkSession
     chosen = small(hashed_sample(docs.filter("doc_id is not null").select("doc_id"), "doc_id", sample_documents))
     sample = docs.select("doc_id", text_of().alias("_text")).join(chosen, "doc_id", "left_semi")
     plain = sample.select(F.explode(_paragraphs()).alias("text")).filter(~F.col("text").rlike("(?i)licen[sc]|copyright"))
-    plain = staged(plain.select(words(F.col("text")).alias("tokens"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held")), "unknown-paragraphs")
+    plain = plain.select(words(F.col("text")).alias("tokens"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"))
+    plain = staged(plain.filter(~_a_notice(F.col("tokens"))), "unknown-paragraphs")
     total = max(plain.count(), 1)
     notices = _rows(spark, [(family, text) for family, texts in NOTICES.items() for text in texts])
     crops = staged(_crops(notices), "notice-crops")

@@ -241,6 +241,16 @@ def test_licences(spark):
     assert licenses.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_licences_of_a_hot_source(spark):
+    pick = random.Random(10)
+    mit, bsd = licenses.NOTICES["MIT"][2], licenses.NOTICES["BSD"][2]
+    weak = {"GPL": "Licensed under the GNU GPL version 2 or later.", "CC0": "Dedicated to the public domain under CC0 1.0 Universal."}
+    want = {i: {0: "MIT", 1: "BSD"}.get(i % 3, ["GPL", "CC0", ""][i // 3 % 3]) for i in range(450)}
+    lines = {"MIT": mit, "BSD": bsd, "": "plain words only", **weak}
+    found = licenses.scan(frame(spark, [(i, prose(pick, 20) + "\n" + lines[w] + "\n" + prose(pick, 9), "s") for i, w in want.items()])).collect()
+    assert {r.doc_id: r.families for r in found} == want
+
+
 def test_token_counts(spark, corpus):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     scores, longest = token_counts.piece_scores(path)
