@@ -1,6 +1,8 @@
 """Secret scan: fixed patterns, and a battery of randomness tests over all long tokens.
 
-Tokens of at least MIN_LENGTH key characters get an encoding by their alphabet. Three tests ask whether the token could
+Tokens of at least MIN_LENGTH key characters get an encoding by their alphabet. '=' is padding at the end of a token and
+else parts names from values, which are tokens of their own. Where the characters but '-' have a smaller alphabet, as in
+UUIDs, '-' only groups them and is left out of the tests. Three tests ask whether the token could
 be random in that encoding: chi-squared uniformity of its symbols, the number of runs above and below the middle of
 the alphabet, and the serial correlation of neighbouring symbols. Fisher's method joins the three probabilities.
 
@@ -27,11 +29,12 @@ HEX, HEX_LENGTH = "[0-9a-f]{24,}", 24  # runs are maximal, so shorter ones are t
 ASSIGN_LENGTH = 6
 
 MIN_LENGTH = 20
-TOKEN = rf"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
+TOKEN = rf"[A-Za-z0-9+/_-]{{{MIN_LENGTH},}}(?:=+(?![A-Za-z0-9+/_=-]))?"
 FALSE_RATE = 0.05
 GRID = 400  # steps of the probability grid, 1/10 in -log10 each; the last one holds all smaller ones
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
+    "base26": LOWER,
     "hex": DIGITS + "abcdef",
     "base32": UPPER + "234567",
     "base36": DIGITS + LOWER,
@@ -87,21 +90,28 @@ def _two_sided(z: Column) -> Column:
 
 
 def encoding(token: Column) -> Column:
-    """Name of the smallest alphabet that can hold the token without its padding; null for digits or one case of letters.
+    """Name of the smallest alphabet that can hold the token without its padding.
 
-    Such tokens are numbers, words and names; no test of randomness is made of them.
+    Null for digits and for words of one case joined by signs: such tokens are numbers, names and paths; no test of
+    randomness is made of them.
     """
     mixed = F.lit(False)
     for one, other in (("[0-9]", "[A-Za-z]"), ("[a-z]", "[A-Z]")):
         mixed = mixed | (token.rlike(one) & token.rlike(other))
     name = (F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex").when(token.rlike("^[A-Z2-7]+$"), "base32")
             .when(token.rlike("^([0-9a-z]+|[0-9A-Z]+)$"), "base36").when(token.rlike("^[0-9A-Za-z]+$"), "base62").otherwise("base64"))
-    return F.when(mixed, name)
+    return F.when(mixed, name).when(token.rlike("^([a-z]+|[A-Z]+)$"), "base26")
+
+
+def _ungrouped(token: Column) -> Column:
+    """The token without '-' if what is left is long enough and has a smaller alphabet than base64, else the token."""
+    return _let(F.replace(token, F.lit("-"), F.lit("")), lambda rest: F.when(
+        (F.char_length(rest) >= MIN_LENGTH) & rest.rlike("^[0-9A-Za-z]+$"), rest).otherwise(token))
 
 
 def _symbols(token: Column, name: Column) -> Column:
     """Numbers of the token's symbols in its alphabet, from 0."""
-    folded = F.when(name == "hex", F.lower(token)).when(name == "base36", F.lower(token)).otherwise(F.translate(token, "-_", "+/"))
+    folded = F.when(name.isin("base26", "hex", "base36"), F.lower(token)).otherwise(F.translate(token, "-_", "+/"))
     alphabet = F.lit("")
     for kind, chars in ALPHABETS.items():
         alphabet = F.when(name == kind, chars).otherwise(alphabet)
@@ -175,13 +185,13 @@ def _tokens() -> Column:
             return F.struct(span["start"].alias("start"), span["end"].alias("end"),
                             F.concat(name, F.lit(":"), band.cast("string")).alias("stratum"), _step(p).alias("step"))
 
-        return _let(F.regexp_replace(token, "=+$", ""), lambda bare: _let(encoding(bare), lambda name: judged(bare, name)))
+        return _let(_ungrouped(F.regexp_replace(token, "=+$", "")), lambda bare: _let(encoding(bare), lambda name: judged(bare, name)))
 
     return F.filter(F.zip_with("token_all", _spans("token", 0), tested), lambda t: t["step"].isNotNull())
 
 
 def thresholds(found: DataFrame, rate: float = FALSE_RATE) -> DataFrame:
-    """stratum and the smallest grid step that is dismissed, from counts per step: at most 10 bands times 5 encodings."""
+    """stratum and the smallest grid step that is dismissed, from counts per step: at most 10 bands times 6 encodings."""
     counts = found.select(F.explode("tokens").alias("t")).groupBy("t.stratum", "t.step").count()
     below = Window.partitionBy("stratum").orderBy(F.desc("step"))  # at most GRID rows: smaller probabilities first
     ranked = counts.withColumn("rank", F.sum("count").over(below)).withColumn("m", F.sum("count").over(Window.partitionBy("stratum")))

@@ -54,5 +54,30 @@ def test_random_tokens_stand_out(spark):
     assert rows[first].spans == f"random:4:{4 + len(keys[first])}"
 
 
+def test_keys_are_tested_in_their_own_alphabet(spark):
+    pick = random.Random(4)
+    draw = lambda chars, n: "".join(pick.choices(chars, k=n))
+    upper_hex, base62 = "0123456789ABCDEF", string.ascii_letters + string.digits
+
+    def uuid():
+        x = draw("0123456789abcdef", 32)
+        return "-".join([x[:8], x[8:12], x[12:16], x[16:20], x[20:]])
+
+    makers = [lambda: ("signing_key=", draw(upper_hex, 32), ""), lambda: ("session=", draw(upper_hex.lower(), 20), ""), lambda: ("id ", uuid(), ""),
+              lambda: ("storage_account_access_key=", draw(base62, 24), ""), lambda: ("", draw(upper_hex, 32), ""), lambda: ("é session=", uuid(), ""),
+              lambda: ("key ", draw(string.ascii_lowercase, 40), ""), lambda: ("sig=", draw(base62, 42) + "==", ""), lambda: ("", draw(base62, 32), "=name")]
+    rows = [(i, *makers[i % len(makers)]()) for i in range(900)]
+    words = ["_".join(pick.choices(["the", "reading", "counter", "value", "manager", "session"], k=5)) + "=2" for _ in range(200)]
+    df = spark.createDataFrame([(i, "".join(parts)) for i, *parts in rows] + list(enumerate(words, 2000)), "doc_id long, text string")
+    found = {r.doc_id: r for r in scan(df).collect()}
+    hits = [0] * len(makers)
+    for i, before, key, _ in rows:
+        wanted = f"random:{len(before)}:{len(before) + len(key)}"
+        assert found[i].spans in ("", wanted), (rows[i], found[i].spans)
+        hits[i % len(makers)] += found[i].spans == wanted
+    assert min(hits) >= 90, hits
+    assert not any(found[i].n_random for i in range(2000, 2200))
+
+
 def test_empty_table(spark):
     assert scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
