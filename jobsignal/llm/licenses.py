@@ -1,10 +1,10 @@
 """Licence scan: a paragraph classifier over word n-grams, confirmed against the licence notices.
 
 Training paragraphs are crops of known notices, some sentences that only sound like licences, and a bounded sample of
-the corpus's own paragraphs as the unknown class, but those that hold most of a notice. N-grams of the notices that are frequent in that sample are no
-features, so every feature contains a rare word; paragraphs without such a word have no feature and are unknown without
+the corpus's own paragraphs as the unknown class, but those that hold most of a notice. N-grams of the notices that are
+frequent in the whole corpus are no features, so every feature contains a rare word; paragraphs without such a word have no feature and are unknown without
 being scored. A sparse (L1) multinomial logistic regression scores the others. The probability a family needs is set
-from unknown paragraphs that were held out. A prediction counts when the paragraph also shares enough two-word
+from all unknown paragraphs of the corpus that were held out. A prediction counts when the paragraph also shares enough two-word
 shingles with a notice of the predicted family.
 
 DataFrame functions and pyspark.ml only; both run in the JVM.
@@ -89,12 +89,17 @@ UNKNOWN = "unknown"
 FAMILIES = [*NOTICES, UNKNOWN]
 # Documents whose paragraphs make the unknown class: those with the smallest hashes of their ids.
 SAMPLE_DOCUMENTS = 500
-# N-grams and words in more than this share of the sample's paragraphs are no features.
+# N-grams and words in more than this share of the corpus's unknown paragraphs are no features.
 MOST_COMMON = 0.005
 # False alarms allowed among held-out unknown paragraphs, and the share of shingles that confirms a family.
 FALSE_ALARMS, CONFIRMED = 0.002, 0.6
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def words(text: Column) -> Column:
     """Lower-case words: runs of letters or digits."""
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
@@ -136,44 +141,75 @@ class LicenceModel:
 
     def scored(self, rows: DataFrame) -> DataFrame:
         """``rows`` (with ``tokens``) and ``family`` and ``p``: the likeliest class but unknown, and its probability."""
-        known = self.regression.transform(self.vectors.transform(rows.withColumn("_grams", features_of(F.col("tokens")))))
+        return self.scored_grams(rows.withColumn("_grams", features_of(F.col("tokens"))))
+
+    def scored_grams(self, rows: DataFrame) -> DataFrame:
+        """As ``scored``, of rows with ``_grams``; those outside the vocabulary don't count."""
+        known = self.regression.transform(self.vectors.transform(rows))
         chances = F.slice(vector_to_array("_probability"), 1, len(NOTICES))
         named = known.withColumn("p", F.array_max(chances)).withColumn("family", F.element_at(F.array(*map(F.lit, NOTICES)), F.array_position(chances, F.col("p")).cast("int")))
         return named.drop("_grams", "_features", "_raw", "_probability", "_class")
 
 
-def _a_notice(tokens: Column) -> Column:
-    """Whether the paragraph would be confirmed for any family."""
+def _notice_grams(tokens: Column, known: list[str]) -> Column:
+    """``features_of`` the tokens as far as they are in ``known``; only runs of words of ``known`` are looked at."""
+    single = [g for g in known if " " not in g]
+    masked = F.array_join(F.transform(tokens, lambda w: F.when(w.isin(single), w).otherwise("|")), " ")
+    runs = F.filter(F.transform(F.split(masked, r"\|"), F.trim), lambda run: run != "")
+    found = F.flatten(F.transform(runs, lambda run: _let(F.split(run, " "), features_of)))
+    return F.array_distinct(F.filter(found, lambda g: g.isin(known)))
+
+
+def _a_notice(tokens: Column, shared: Column) -> Column:
+    """Whether the paragraph would be confirmed for any family; ``shared``: its n-grams that the notices have."""
     notices = F.array(*(F.array_distinct(grams(words(F.lit(text)), 2)) for texts in NOTICES.values() for text in texts))
-    mine = F.array(F.array_distinct(grams(tokens, 2)))  # computed once
-    return F.exists(mine, lambda m: (F.size(m) > 0) & F.exists(
-        notices, lambda notice: F.size(F.array_intersect(m, notice)) >= CONFIRMED * F.least(F.size(m), F.size(notice))))
 
+    def near(mine: Column) -> Column:
+        return F.exists(notices, lambda notice: F.size(F.array_intersect(shared, notice)) >= CONFIRMED * F.least(F.size(mine), F.size(notice)))
+
+    return F.when(F.exists(shared, lambda g: g.contains(" ")), _let(F.array_distinct(grams(tokens, 2)), near)).otherwise(False)
 
-def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceModel:
-    """The classifier; the corpus gives at most ``sample_documents`` documents of unknown paragraphs.
 
-    Sampled paragraphs that name a licence or a copyright or hold most of a notice are left out: however often a notice
+def unknown_paragraphs(docs: DataFrame, known: list[str], sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
+    """All paragraphs of the unknown class: their n-grams in ``known``, whether they are held out, and whether sampled.
+
+    Paragraphs that name a licence or a copyright or hold most of a notice are left out: however often a notice
     occurs, it is no example of the unknown class. Every fifth of the others (by hash) is held out.
     """
+    chosen = hashed_sample(docs.filter("doc_id is not null").select("doc_id"), "doc_id", sample_documents).distinct()
+    marked = docs.select("doc_id", text_of().alias("_text")).join(small(chosen.withColumn("sampled", F.lit(True))), "doc_id", "left")
+    plain = marked.select("sampled", F.explode(_paragraphs()).alias("text")).filter(~F.col("text").rlike("(?i)licen[sc]|copyright"))
+
+    def judged(tokens: Column) -> Column:
+        return _let(_notice_grams(tokens, known), lambda g: F.struct(g.alias("grams"), _a_notice(tokens, g).alias("notice")))
+
+    found = plain.select(F.coalesce("sampled", F.lit(False)).alias("sampled"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"),
+                         _let(words(F.col("text")), judged).alias("j"))
+    found = found.select("sampled", "held", F.col("j.grams").alias("_grams"), F.col("j.notice").alias("notice"))
+    return staged(found, "unknown-paragraphs").filter("not notice").drop("notice")
+
+
+def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceModel:
+    """The classifier. Its n-gram counts and its threshold come from all unknown paragraphs of the corpus.
+
+    Only the regression is fitted on a sample: the unknown paragraphs, but the held-out ones, of at most
+    ``sample_documents`` documents.
+    """
     spark = docs.sparkSession
-    chosen = small(hashed_sample(docs.filter("doc_id is not null").select("doc_id"), "doc_id", sample_documents))
-    sample = docs.select("doc_id", text_of().alias("_text")).join(chosen, "doc_id", "left_semi")
-    plain = sample.select(F.explode(_paragraphs()).alias("text")).filter(~F.col("text").rlike("(?i)licen[sc]|copyright"))
-    plain = plain.select(words(F.col("text")).alias("tokens"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"))
-    plain = staged(plain.filter(~_a_notice(F.col("tokens"))), "unknown-paragraphs")
-    total = max(plain.count(), 1)
     notices = _rows(spark, [(family, text) for family, texts in NOTICES.items() for text in texts])
     crops = staged(_crops(notices), "notice-crops")
-    common = plain.select(F.explode(features_of(F.col("tokens"))).alias("gram")).groupBy("gram").count().filter(F.col("count") > MOST_COMMON * total)
-    wanted = crops.select(F.explode(features_of(F.col("tokens"))).alias("gram")).distinct().join(common, "gram", "left_anti")
-    vocabulary = sorted(r.gram for r in wanted.collect())  # n-grams of the notices only
+    known = sorted(r.gram for r in crops.select(F.explode(features_of(F.col("tokens"))).alias("gram")).distinct().collect())  # n-grams of the notices only
+    plain = unknown_paragraphs(docs, known, sample_documents)
+    total = max(plain.count(), 1)
+    counts = plain.select(F.explode("_grams").alias("gram")).groupBy("gram").count()
+    common = {r.gram for r in counts.filter(F.col("count") > MOST_COMMON * total).collect()}
+    vocabulary = [g for g in known if g not in common]
     rare = [g for g in vocabulary if " " not in g]
     vocabulary = [g for g in vocabulary if set(g.split()) & set(rare)]
     doubtful = _rows(spark, [(UNKNOWN, text) for text in UNKNOWN_NOTICES]).select("family", words(F.col("text")).alias("tokens"))
-    unknown = plain.filter("not held").select(F.lit(UNKNOWN).alias("family"), "tokens")
-    rows = crops.unionByName(doubtful).unionByName(unknown).select(
-        "family", (F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1).cast("double").alias("label"), features_of(F.col("tokens")).alias("_grams"))
+    unknown = plain.filter("sampled and not held").select(F.lit(UNKNOWN).alias("family"), "_grams")
+    rows = crops.unionByName(doubtful).select("family", features_of(F.col("tokens")).alias("_grams")).unionByName(unknown).select(
+        "family", (F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1).cast("double").alias("label"), "_grams")
     rows = rows.withColumn("weight", F.when(F.col("family") == UNKNOWN, 0.2).otherwise(1.0))
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_grams", outputCol="_features")
     vectors.setBinary(True)
@@ -181,8 +217,8 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceM
     regression = LogisticRegression(featuresCol="_features", labelCol="label", weightCol="weight", predictionCol="_class", probabilityCol="_probability",
                                     rawPredictionCol="_raw", family="multinomial", regParam=2e-4, elasticNetParam=1.0, maxIter=60, standardization=False)
     model = LicenceModel(vocabulary, rare, vectors, regression.fit(training), 0.5)
-    held = model.scored(plain.filter("held").select("tokens"))
-    worst = held.agg(F.percentile_approx("p", 1 - FALSE_ALARMS)).first()[0]
+    held = model.scored_grams(plain.filter("held").select("_grams"))
+    worst = held.agg(F.percentile_approx("p", 1 - FALSE_ALARMS, 100_000)).first()[0]
     model.least = max(0.5, worst or 0.0)
     return model
 

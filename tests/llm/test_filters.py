@@ -251,6 +251,27 @@ def test_licences_of_a_hot_source(spark):
     assert {r.doc_id: r.families for r in found} == want
 
 
+def test_licence_counts_and_threshold_cover_the_corpus(spark):
+    """Words and false alarms outside the documents of the sample count, too."""
+    pick = random.Random(12)
+    rows = [(i, "\n".join([prose(pick, 8), "gnu " + prose(pick, 8), "The affero word, and " + prose(pick, 3)]), "s") for i in range(200)]
+    rows += [(1000 + i, licenses.NOTICES["GPL"][2] + "\nwe call the redistribute word " + prose(pick, 3), "s") for i in range(3)]
+    model = licenses.train(frame(spark, rows), sample_documents=1)
+    assert not {"gnu", "affero"} & set(model.rare) and {"gpl", "redistribute"} <= set(model.rare)
+    known = sorted({g for texts in licenses.NOTICES.values() for t in texts for n in (1, 2, 3) for g in brute_grams(t, n)})
+    found = licenses.unknown_paragraphs(frame(spark, rows), known, 1).collect()
+    lines = [x for _, t, _ in rows for x in t.split("\n") if "icense" not in x]
+    want = Counter(tuple(sorted({g for n in (1, 2, 3) for g in brute_grams(x, n)} & set(known))) for x in lines)
+    assert Counter(tuple(sorted(r._grams)) for r in found) == want
+    held = [r.p for r in model.scored_grams(licenses.unknown_paragraphs(frame(spark, rows), known, 1).filter("held")).collect()]
+    assert len(held) > 60 and sum(p > model.least for p in held) <= licenses.FALSE_ALARMS * len(held)
+
+
+def brute_grams(text, n):
+    tokens = re.findall("[a-z0-9]+", text.lower())
+    return [" ".join(tokens[i:i + n]) for i in range(len(tokens) - n + 1)]
+
+
 def test_token_counts(spark, corpus):
     path = tokenizer_file("byte_bpe_50k.tiktoken")
     scores, longest = token_counts.piece_scores(path)
