@@ -45,15 +45,19 @@ def high_water(stored: DataFrame, source: int, from_first: bool = False) -> Data
 
 
 def new_chat(incoming: DataFrame, mark: DataFrame) -> DataFrame:
-    """Messages above the last one that is older than the mark; the mark itself is read again."""
+    """Messages above the last one that is older than the mark; the mark itself is read again.
+
+    Messages without date or id can't be placed and are always read again.
+    """
     older = incoming.where(F.col("date") < mark.scalar())
     last_id = older.agg(F.max_by("message_id", F.struct("date", "message_id"))).scalar()
-    return incoming.where(F.col("message_id") > F.coalesce(last_id, F.lit(0)))
+    unplaced = F.col("message_id").isNull() | F.col("date").isNull()
+    return incoming.where(unplaced | (F.col("message_id") > F.coalesce(last_id, F.lit(0))))
 
 
 def new_mail(incoming: DataFrame, mark: DataFrame) -> DataFrame:
-    """Mails since the day of the mark; the search has day precision, so that day repeats."""
-    return incoming.where(F.col("date") >= F.date_trunc("day", mark.scalar()).cast("timestamp_ntz"))
+    """Mails since the day of the mark, and undated ones; the search has day precision, so that day repeats."""
+    return incoming.where(F.col("date").isNull() | (F.col("date") >= F.date_trunc("day", mark.scalar()).cast("timestamp_ntz")))
 
 
 def last_before_date(messages: DataFrame, date: str, key: str) -> DataFrame:

@@ -83,6 +83,22 @@ def test_new_messages_start_at_the_mark(spark, tmp_path):
         assert rows(store, table) == rows(full, table), table
 
 
+def test_new_rows_without_date_or_id_are_quarantined(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    chat = T.chat(spark, SF).where("message_id < 40").withColumn("date", F.expr("date + interval 60 years"))
+    jobs.ingest_new_chat(store, chat)
+    least = chat.agg(F.min("message_id")).first()[0]
+    odd = chat.limit(1).withColumn("message_id", F.lit(None).cast("bigint")).unionByName(
+        chat.where(F.col("message_id") == least).withColumn("date", F.lit(None).cast("timestamp_ntz")))
+    mails = T.mails(spark, SF).limit(3).select("email_uid", F.expr("date + interval 60 years").alias("date"), F.lit("x").alias("text"), "html")
+    undated = mails.limit(1).withColumn("email_uid", F.lit(-7).cast("bigint")).withColumn("date", F.lit(None).cast("timestamp_ntz"))
+    for _ in range(2):
+        jobs.ingest_new_chat(store, chat.unionByName(odd))
+        jobs.ingest_new_mail(store, mails.unionByName(undated))
+    found = [r.raw_key for r in store.read("quarantine").where("reason = 'missing_date'").collect()]
+    assert sorted(found, key=str) == sorted([None, f"chat-{least}", "mail--7"], key=str)
+
+
 def test_stream_into_the_store(spark, chat_store, tmp_path):
     """Several micro-batches over two starts, and a replay of the newest rows, give the state of one batch run."""
     from jobsignal.streaming import ingest as streams
