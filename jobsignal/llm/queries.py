@@ -9,11 +9,14 @@ from jobsignal.llm.common import documents, tokenizer_file
 from jobsignal.llm.exact_dedup import split_dedup
 from jobsignal.llm.mixing import mix
 from jobsignal.llm.near_dedup import near_dedup
+from jobsignal.llm.periodic_runs import digests, periodic_runs, repeated_tail
 from jobsignal.llm.quality_model import classify
 from jobsignal.llm.quality_rules import quality_rules
 from jobsignal.llm.secrets import scan
+from jobsignal.llm.simhash_dedup import simhash_dedup
 from jobsignal.llm.token_counts import token_counts
 from jobsignal.llm.warc import archive_round_trip
+from jobsignal.llm.whitening import whiten
 from jobsignal.plans.registry import registry
 
 QUERIES, query = registry()
@@ -104,3 +107,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_licenses")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
+
+
+@query("op11_simhash_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup(documents(spark, sf_dir))
+
+
+@query("op12_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(periodic_runs(documents(spark, sf_dir), repeated_tail))
