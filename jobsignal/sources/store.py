@@ -1,8 +1,10 @@
 """Vacancy store: parquet tables in folders of their own per run, published by a manifest.
 
-A run stages each table it changes in a new folder with a unique name and then creates one manifest: for every table
+A run stages each table it changes in a new folder with a unique name and then publishes one manifest: for every table
 the folder that holds it, those of the run before for tables it left alone. Readers follow the newest manifest only.
 So a run that dies, before or after another one commits, is never seen, and two runs never write the same folder.
+A manifest is written whole under a name of its own and then renamed, never over another one; a manifest that can't be
+read (left by a copy that broke off, say) is passed over.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from jobsignal import schemas as S
@@ -25,7 +28,8 @@ class Store:
 
     def _begin(self) -> None:
         """Start a run on top of the newest manifest."""
-        self.run = self.committed() + 1
+        self.run = max(self._runs(), default=0) + 1
+        self._base = self.manifest()
         self._name = f"run-{self.run}-{uuid.uuid4().hex[:12]}"
         self._staged: dict[str, str] = {}
 
@@ -41,19 +45,24 @@ class Store:
         return sorted(int(n[4:]) for n in names if n.startswith("run-") and n[4:].isdigit())
 
     def committed(self) -> int:
-        return max(self._runs(), default=0)
+        """Number of the newest run whose manifest is whole."""
+        return next((run for run in reversed(self._runs()) if self._load(run) is not None), 0)
 
-    def manifest(self, run: int | None = None) -> dict[str, str]:
-        """Table -> folder of a committed run, the newest unless one is named."""
-        run = self.committed() if run is None else run
-        if not run:
-            return {}
+    def _load(self, run: int) -> dict[str, str] | None:
+        """The manifest of a run, None if it is not whole."""
         stream = self._fs.open(self._path(f"_commits/run-{run}"))
         try:
             return json.loads(stream.readUTF())
+        except (Py4JJavaError, ValueError):  # no such length, or cut off within the text
+            return None
         finally:
             stream.close()
 
+    def manifest(self, run: int | None = None) -> dict[str, str]:
+        """Table -> folder of a committed run, the newest whole one unless one is named."""
+        run = self.committed() if run is None else run
+        return run and self._load(run) or {}
+
     def read(self, table: str) -> DataFrame:
         """Newest committed version, or an empty frame with the table's schema."""
         folder = self.manifest().get(table)
@@ -78,11 +87,25 @@ class Store:
         return self.spark.read.parquet(f"{self.path}/{folder}")
 
     def commit(self) -> int:
-        """Publish everything staged by this run; fails if another run was faster."""
-        run, tables = self.run, self.manifest(self.run - 1) | self._staged
-        stream = self._fs.create(self._path(f"_commits/run-{run}"), False)
+        """Publish everything staged by this run; fails if another run was faster.
+
+        After a failure the store is at the start of a new run, on top of what the other one published.
+        """
+        run, tables = self.run, self._base | self._staged
+        written, target = self._path(f"_commits/.{self._name}"), self._path(f"_commits/run-{run}")
+        stream = self._fs.create(written, False)
         stream.writeUTF(json.dumps(tables))
         stream.close()
+        rename = self._jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.spark.sparkContext._gateway.new_array(rename, 0)  # none: never over an existing file
+        try:
+            context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+                self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+            context.rename(written, target, options)
+        except Py4JJavaError as error:
+            self._fs.delete(written, False)
+            self._begin()
+            raise RuntimeError(f"run {run} was published by another writer; stage its changes again") from error
         self._begin()
         return run
 
@@ -92,7 +115,8 @@ class Store:
         Folders of the run after the newest one stay: it may be at work.
         """
         runs = self._runs()
-        needed = {folder for run in runs[-max(keep, 1):] for folder in self.manifest(run).values()}
+        kept = [run for run in runs if self._load(run) is not None][-max(keep, 1):]
+        needed = {folder for run in kept for folder in self.manifest(run).values()}
         dropped = 0
         for status in self._fs.listStatus(self._path("")):
             table = status.getPath().getName()
@@ -103,6 +127,7 @@ class Store:
                 number = name.split("-")[1] if name.startswith("run-") else ""
                 if number.isdigit() and int(number) <= self.committed() and f"{table}/{name}" not in needed:
                     dropped += bool(self._fs.delete(version.getPath(), True))
-        for run in runs[:-max(keep, 1)]:
-            self._fs.delete(self._path(f"_commits/run-{run}"), False)
+        for run in runs:
+            if run < min(kept, default=0):
+                self._fs.delete(self._path(f"_commits/run-{run}"), False)
         return dropped

@@ -139,6 +139,35 @@ def test_two_writers_keep_their_own_folders(spark, tmp_path):
     assert [r.raw_key for r in one.read("service").collect()] == ["one"]
 
 
+def test_lost_race_can_be_run_again(spark, tmp_path):
+    path, schema = str(tmp_path / "s"), "raw_key string, text string"
+    one, two = Store(spark, path), Store(spark, path)
+    one.stage("service", spark.createDataFrame([("one", "x")], schema))
+    two.stage("statistic", two.read("statistic"))
+    one.commit()
+    with pytest.raises(RuntimeError, match="another writer"):
+        two.commit()
+    two.stage("quarantine", two.read("quarantine"))
+    assert two.commit() == 2
+    assert set(two.manifest()) == {"service", "quarantine"}  # what was staged for the lost run is gone, the winner's stays
+    assert [f.name for f in (tmp_path / "s" / "_commits").iterdir() if f.name.startswith(".run") and f.suffix != ".crc"] == []
+
+
+@pytest.mark.parametrize("left", [b"", b"\x00\x40{\"service\""])
+def test_broken_manifest_is_passed_over(spark, tmp_path, left):
+    path, schema = str(tmp_path / "s"), "raw_key string, text string"
+    store = Store(spark, path)
+    store.stage("service", spark.createDataFrame([("one", "x")], schema))
+    store.commit()
+    (tmp_path / "s" / "_commits" / "run-2").write_bytes(left)
+    again = Store(spark, path)
+    assert again.committed() == 1 and [r.raw_key for r in again.read("service").collect()] == ["one"]
+    again.stage("service", spark.createDataFrame([("two", "x")], schema))
+    assert again.commit() == 3
+    assert [r.raw_key for r in store.read("service").collect()] == ["two"]
+    assert store.expire(keep=1) == 1 and store.committed() == 3
+
+
 def test_expire_keeps_what_is_read(spark, tmp_path):
     store, schema = Store(spark, str(tmp_path / "s")), "raw_key string, text string"
     for i in range(4):
