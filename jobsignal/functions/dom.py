@@ -182,17 +182,19 @@ def select_one(fragment: Column, path: Path, page: Column | None = None) -> Colu
     return F.get(select(fragment, path, page), F.lit(0))
 
 
-def find_after(page: Column, anchor_id: Column, tag: str) -> Column:
-    """First node with a tag that starts after the anchor in document order."""
+def find_after(page: Column, anchor_id: Column, tag: str | Test) -> Column:
+    """First node with a tag (or passing a test) that starts after the anchor in document order."""
+    test = tag_is(tag) if isinstance(tag, str) else tag
     both = F.struct(page.alias("p"), anchor_id.alias("a"))
     return apply_sql(both, lambda s: _let(f"{s}.a", lambda a: _find(
-        f"{s}.p", lambda n: f"{n}.id > {a} AND {n}.tag = {literal(tag)}")))
+        f"{s}.p", lambda n: f"{n}.id > {a} AND {test(n)}")))
 
 
-def children(fragment: Column, tag: str) -> Column:
-    """Fragments of the direct children with a tag."""
+def children(fragment: Column, tag: str | Test) -> Column:
+    """Fragments of the direct children with a tag (or passing a test)."""
+    test = tag_is(tag) if isinstance(tag, str) else tag
     return apply_sql(fragment, lambda f: _let(f"{f}[0].id", lambda p: _find_all(
-        f, lambda n: f"{n}.parent = {p} AND {n}.tag = {literal(tag)}")))
+        f, lambda n: f"{n}.parent = {p} AND {test(n)}")))
 
 
 def text(fragment: Column) -> Column:
@@ -222,12 +224,12 @@ def heading_id(page: Column, tag: str, keywords: list[str]) -> Column:
     return apply_sql(page, lambda p: f"get({_each('filter', _find_all(p, tag_is(tag)), talks)}, 0)[0].id")
 
 
-def table_entries(fragment: Column) -> Column:
+def table_entries(fragment: Column, row: Test = tag_is("tr"), cell: Test = tag_is("td"), text_of: Callable[[str], str] = _text) -> Column:
     """``array<struct<k,v>>`` of the rows with exactly two cells, in row order."""
     def rows(f: str) -> str:
-        cells = _each("transform", _find_all(f, tag_is("tr")), lambda r: _find_all(r, tag_is("td")))
+        cells = _each("transform", _find_all(f, row), lambda r: _find_all(r, cell))
         pairs = _each("filter", cells, lambda c: f"size({c}) = 2")
-        return _each("transform", pairs, lambda c: f"named_struct('k', {_text(f'{c}[0]')}, 'v', {_text(f'{c}[1]')})")
+        return _each("transform", pairs, lambda c: f"named_struct('k', {text_of(f'{c}[0]')}, 'v', {text_of(f'{c}[1]')})")
 
     return apply_sql(fragment, rows)
 

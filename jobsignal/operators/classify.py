@@ -9,6 +9,11 @@ from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.functions import dom
 from jobsignal.functions.scalars import matches_any
+from jobsignal.sources.selecting import Pick, Picks
+
+# The automata of mails start with these selectors, so ``mail_type`` reads the hits of any of them.
+SIGNS = {f"sign_{i}": Pick(sign) for i, sign in enumerate(D.MAIL_SIGNS)}
+MAIL_SIGNS = Picks(**SIGNS)
 
 
 def is_short_command(text: Column) -> Column:
@@ -26,8 +31,8 @@ def chat_type(text: Column) -> Column:
 
 
 def mail_type(nodes: Column) -> Column:
-    """Type id of a mail from its shredded html."""
-    has_card = dom.any_node(nodes, dom.any_of(*[dom.matches(s) for s in D.MAIL_SIGNS]))
+    """Type id of a mail from its hits."""
+    has_card = dom.any_node(nodes, MAIL_SIGNS.test(*SIGNS))
     return F.when(has_card, S.MAIL_VACANCY).otherwise(S.MAIL_UNKNOWN)
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from jobsignal import dictionaries as D
 from jobsignal.functions import dom
 from jobsignal.functions import scalars as X
-from jobsignal.operators.classify import mail_layout
+from jobsignal.operators.classify import SIGNS, mail_layout
+from jobsignal.sources.selecting import Pick, Picks, select, text, value
 
 FIELDS = ["position", "location", "experience", "lingvo", "salary_from", "salary_to", "job_desc_prev", "company",
           "employment", "candidate_locations", "subscription", "url"]
@@ -18,22 +19,29 @@ def route_template(mails: DataFrame, date: str = "date") -> DataFrame:
     return mails.withColumn("layout", mail_layout(F.col(date)))
 
 
-def _cards(mails: DataFrame, card: D.Selector, with_heading: bool) -> DataFrame:
-    """One row per card holding only the card's own nodes."""
+def _picks(selectors: dict, **texts: str) -> Picks:
+    named = {name: Pick(path, texts.get(name, "joined"), "href" if name == "position" else "") for name, path in selectors.items()}
+    return Picks(**SIGNS, **named)
+
+
+# The automaton of each layout; a card's own text is never needed.
+PICKS = {0: _picks(D.MAIL_V0, card=""), 1: _picks(D.MAIL_V1, card="", company_box="", details="raw")}
+
+
+def hits_of(mails: DataFrame, layout: int) -> DataFrame:
+    """Mails of one layout with ``nodes``, the hits of its automaton, for their html."""
+    return select(mails, PICKS[layout])
+
+
+def _cards(mails: DataFrame, layout: int) -> DataFrame:
+    """One row per card holding only the hits inside it."""
     kept = [c for c in mails.columns if c != "nodes"]
-    cards = dom.find_all(F.col("nodes"), dom.matches(card))
-    if with_heading:
-        # A heading around the whole card also counts as ancestor of the card's links.
-        headings = dom.nodes_where(F.col("nodes"), dom.tag_is("h3"))
-        cards = X.let(headings, lambda hs: F.transform(cards, lambda f: F.struct(
-            f.alias("card"),
-            F.exists(hs, lambda h: (h["id"] < dom.scope(f)["id"]) & (dom.scope(f)["id"] <= h["last"])).alias("wrapped"))))
-        return mails.select(*kept, F.posexplode(cards).alias("part_no", "c")).select(*kept, "part_no", "c.*")
+    cards = dom.find_all(F.col("nodes"), PICKS[layout].test("card"))
     return mails.select(*kept, F.posexplode(cards).alias("part_no", "card"))
 
 
-def _found(card: str, selector: D.Selector) -> Column:
-    return dom.find(F.col(card), dom.matches(selector))
+def _found(fragment: str | Column, layout: int, name: str) -> Column:
+    return dom.find(F.col(fragment) if isinstance(fragment, str) else fragment, PICKS[layout].test(name))
 
 
 def _null_fields(df: DataFrame, present: set[str]) -> list[Column]:
@@ -43,20 +51,19 @@ def _null_fields(df: DataFrame, present: set[str]) -> list[Column]:
 
 
 def extract_v0(mails: DataFrame) -> DataFrame:
-    """Layout 0: one table cell per vacancy. Input: mails with a ``nodes`` column."""
+    """Layout 0: one table cell per vacancy. Input: mails with the hits of ``PICKS[0]`` as ``nodes``."""
     kept = [c for c in mails.columns if c != "nodes"]
-    sel = D.MAIL_V0
-    frags = _cards(mails, sel["card"], False).select(
-        *kept, "part_no", _found("card", sel["position"]).alias("link"),
-        dom.text(_found("card", sel["company"])).alias("company_text"),
-        _found("card", sel["details"]).alias("details"),
-        dom.text(_found("card", sel["description"])).alias("desc_text"))
+    frags = _cards(mails, 0).select(
+        *kept, "part_no", _found("card", 0, "position").alias("link"),
+        text(_found("card", 0, "company")).alias("company_text"),
+        _found("card", 0, "details").alias("details"),
+        text(_found("card", 0, "description")).alias("desc_text"))
     texts = frags.select(
         *kept, "part_no", "company_text", "desc_text",
-        dom.text(F.col("link")).alias("position"),
-        X.unwrap_tracking_url(dom.attr_of(F.col("link"), "href")).alias("url"),
-        F.coalesce(dom.text(F.col("details")), F.lit("")).alias("details_text"),
-        F.coalesce(dom.text(_found("details", sel["salary"])), F.lit("")).alias("salary_text"))
+        text(F.col("link")).alias("position"),
+        X.unwrap_tracking_url(value(F.col("link"))).alias("url"),
+        F.coalesce(text(F.col("details")), F.lit("")).alias("details_text"),
+        F.coalesce(text(_found("details", 0, "salary")), F.lit("")).alias("salary_text"))
     texts = texts.withColumn("salary_text", F.when(F.col("details_text") != "", F.col("salary_text")).otherwise(""))
     pieces = texts.withColumn("pieces", X.split_middot(
         F.replace(F.col("details_text"), F.col("salary_text"), F.lit("")), keep_blanks=False)
@@ -84,32 +91,27 @@ def extract_v0(mails: DataFrame) -> DataFrame:
 def v1_details(mails: DataFrame) -> DataFrame:
     """Dot-separated details of every layout-1 card as they are written."""
     kept = [c for c in mails.columns if c != "nodes"]
-    details = dom.raw_text(_found("card", D.MAIL_V1["details"]))
-    return _cards(mails, D.MAIL_V1["card"], False).select(
-        *kept, "part_no", X.split_middot(details, keep_blanks=True).alias("pieces"))
+    details = text(_found("card", 1, "details"))
+    return _cards(mails, 1).select(*kept, "part_no", X.split_middot(details, keep_blanks=True).alias("pieces"))
 
 
 def extract_v1(mails: DataFrame) -> DataFrame:
-    """Layout 1: one ``div.card`` per vacancy. Input: mails with a ``nodes`` column."""
+    """Layout 1: one ``div.card`` per vacancy. Input: mails with the hits of ``PICKS[1]`` as ``nodes``.
+
+    A heading around the whole card also counts as ancestor of the card's links.
+    """
     kept = [c for c in mails.columns if c != "nodes"]
-    sel = D.MAIL_V1
-
-    def under_heading(path: dom.Path) -> Column:
-        inner = path[-1]
-        return F.when(F.col("wrapped"), dom.find(F.col("card"), dom.step_matches(inner))).otherwise(
-            dom.select_one(F.col("card"), path))
-
-    frags = _cards(mails, sel["card"], True).select(
-        *kept, "part_no", under_heading(sel["position"]).alias("link"),
-        F.coalesce(dom.text(under_heading(sel["salary"])), F.lit("")).alias("salary_text"),
-        dom.text(dom.find(_found("card", sel["company_box"]), dom.matches(sel["company"]))).alias("company"),
-        dom.raw_text(_found("card", sel["details"])).alias("details_text"),
-        dom.text(_found("card", sel["description"])).alias("desc_text"),
-        dom.text(_found("card", sel["subscription"])).alias("subscription_text"))
+    frags = _cards(mails, 1).select(
+        *kept, "part_no", _found("card", 1, "position").alias("link"),
+        F.coalesce(text(_found("card", 1, "salary")), F.lit("")).alias("salary_text"),
+        text(_found(_found("card", 1, "company_box"), 1, "company")).alias("company"),
+        text(_found("card", 1, "details")).alias("details_text"),
+        text(_found("card", 1, "description")).alias("desc_text"),
+        text(_found("card", 1, "subscription")).alias("subscription_text"))
     pieces = frags.select(
         *kept, "part_no", "salary_text", "company", "desc_text", "subscription_text",
-        dom.text(F.col("link")).alias("position"),
-        X.unwrap_tracking_url(dom.attr_of(F.col("link"), "href")).alias("url"),
+        text(F.col("link")).alias("position"),
+        X.unwrap_tracking_url(value(F.col("link"))).alias("url"),
         X.split_middot(F.col("details_text"), keep_blanks=True).alias("pieces"),
         X.salary_bounds(F.col("salary_text")).alias("bounds"))
     years = rf"{D.NUMERIC_PATTERN}? ?({D.any_of(D.REMOVALS['experience'])})"

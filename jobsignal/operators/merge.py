@@ -24,6 +24,19 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], writes: str
             .select(*keys, *[F.col(f"_row.`{v}`").alias(v) for v in values], *([writes] if writes else [])))
 
 
+def without_older(df: DataFrame, keys: list[str], order: list[str], row: str) -> DataFrame:
+    """Newest row per key of a written table whose column ``row`` is unique and breaks ties.
+
+    Only keys and order are shuffled. The rows that lost, few as a rule, are then taken out by an anti join, so wide
+    columns stay where they are unless the losers outgrow the broadcast threshold.
+    """
+    place = F.struct(*order, row)
+    newest = df.groupBy(*keys).agg(F.max(place).alias("_newest"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys, "_newest")
+    rows = df.select(*keys, place.alias("_place")).alias("r")
+    lost = rows.join(newest.alias("n"), _same_key(keys, "r", "n")).where("_place < _newest").select(F.col(f"_place.{row}").alias("_lost"))
+    return df.join(lost, F.col(row) == F.col("_lost"), "left_anti")
+
+
 def _same_key(keys: list[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
 

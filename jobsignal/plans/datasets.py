@@ -11,9 +11,10 @@ from jobsignal.operators import chat as chat_ops
 from jobsignal.operators import classify, fetching, mail as mail_ops, reshape, web as web_ops
 from jobsignal.sources import fixtures
 from jobsignal.sources.fixtures import landed, table
+from jobsignal.sources.selecting import select
 from jobsignal.sources.shred import shred
 
-__all__ = ["table", "chat", "typed_chat", "mails", "emls", "mail_nodes", "pages", "page_nodes", "chat_vacancies",
+__all__ = ["table", "chat", "typed_chat", "mails", "emls", "mail_nodes", "mail_signs", "pages", "page_nodes", "chat_vacancies",
            "mail_vacancies", "web_vacancies", "chat_long", "fetch_results", "newest_fetch", "user_urls", "day"]
 
 
@@ -37,6 +38,11 @@ def emls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "eml", fixtures.eml)
 
 
+def mail_signs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails with the hits that tell their type."""
+    return select(mails(spark, sf_dir), classify.MAIL_SIGNS)
+
+
 def mail_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred(mails(spark, sf_dir))
 
@@ -60,14 +66,14 @@ def extract_mail(mails_df: DataFrame, keep: tuple[str, ...] | list[str] = ()) ->
     """Mails as html to keyed vacancy rows of both layouts.
 
     The layout depends on the date alone, so mails are routed before they are
-    shredded and each is shredded once.
+    read and each is read once.
     """
     routed = mail_ops.route_template(mails_df.select("email_uid", "date", *keep, "html"))
-    return _keyed_mail(*[shred(routed.where(F.col("layout") == i)) for i in (0, 1)])
+    return _keyed_mail(*[mail_ops.hits_of(routed.where(F.col("layout") == i), i) for i in (0, 1)])
 
 
 def extract_shredded_mail(nodes: DataFrame) -> DataFrame:
-    """The same for mails whose nodes are staged already."""
+    """The same for mails whose hits are staged already."""
     routed = mail_ops.route_template(nodes)
     return _keyed_mail(*[routed.where(F.col("layout") == i) for i in (0, 1)])
 
@@ -79,7 +85,7 @@ def _keyed_mail(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def extract_web(pages_df: DataFrame) -> DataFrame:
-    return web_ops.extract_page(shred(pages_df, with_markup=True))
+    return web_ops.extract_page(web_ops.hits_of(pages_df))
 
 
 def chat_vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:

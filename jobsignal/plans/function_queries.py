@@ -11,7 +11,6 @@ from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
 from jobsignal.sources import fixtures
 from jobsignal.sources.landing import parse_mail
-from jobsignal.sources.shred import shred
 
 QUERIES, query = registry()
 
@@ -119,7 +118,7 @@ SELECT email_uid, part_no, CASE WHEN short THEN 2 ELSE 4 END::INTEGER AS pieces,
   CASE WHEN short THEN 2 ELSE 4 END::INTEGER AS without_blank FROM mail WHERE layout = 1""")
 def fn_split_middot(spark, sf_dir):
     """Details of layout-1 cards split again after a blank piece was put in front."""
-    nodes = shred(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"))
+    nodes = mail_ops.hits_of(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"), 1)
     again = F.concat(F.lit(" · "), F.array_join("pieces", "·"))
     return mail_ops.v1_details(nodes).select(
         "email_uid", "part_no", F.size("pieces").alias("pieces"), F.size(X.split_middot(again, True)).alias("with_blank"),

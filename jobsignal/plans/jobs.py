@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 from jobsignal import schemas as S
 from jobsignal.functions import scalars as X
 from jobsignal.operators import chat as chat_ops
-from jobsignal.operators import classify, fetching, merge, reshape
+from jobsignal.operators import classify, fetching, mail as mail_ops, merge, reshape
 from jobsignal.plans import datasets
 from jobsignal.sources import landing
-from jobsignal.sources.shred import shred
 from jobsignal.sources.store import Store
 
 _ORDER = ["date", "ident", "part_no"]
@@ -116,17 +115,17 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
 
 def ingest_mail(store: Store, mails: DataFrame) -> DataFrame:
     """One run over parsed mails (``email_uid, date, text, html``); returns the counters."""
-    usable = mails.where(F.col("date").isNotNull())
-    shredded = shred(landing.mail_audit(usable).select(
-        "email_uid", "date", "text", "raw_parsing_error", F.col("html").alias("raw"), "html"))
-    typed = shredded.select(
-        F.concat(F.lit("mail-"), F.col("email_uid")).alias("raw_key"), "email_uid", "date", "text",
-        F.col("raw").alias("html"), "raw_parsing_error", "nodes", F.col("email_uid").alias("ident"),
-        F.lit(S.EMAIL).alias("message_source_id"), classify.mail_type(F.col("nodes")).alias("message_type_id"))
-    batch = store.stage("_batch", _typed_null(typed, "raw_messages"))
+    usable = landing.mail_audit(mails.where(F.col("date").isNotNull())).select(
+        F.concat(F.lit("mail-"), F.col("email_uid")).alias("raw_key"), "email_uid", "date", "text", "html", "raw_parsing_error",
+        F.col("email_uid").alias("ident"), F.lit(S.EMAIL).alias("message_source_id"), F.monotonically_increasing_id().alias("_row"))
+    batch = store.stage("_batch", usable)
     counters = [batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit("EMAIL").alias("label"), "n"),
                 merge.count_outcomes("EMAIL_RAW", batch, ["raw_key"], store.read("raw_messages"))]
-    newest = store.stage("_newest", merge.latest_per_key(batch, ["raw_key"], ["date", "ident"]))
+    winners = merge.without_older(batch, ["raw_key"], ["date", "ident"], "_row")
+    routed = mail_ops.route_template(winners.withColumn("raw", F.col("html")))
+    read = _union([mail_ops.hits_of(routed.where(F.col("layout") == i), i) for i in (0, 1)])
+    typed = read.withColumn("message_type_id", classify.mail_type(F.col("nodes"))).withColumnRenamed("raw", "html")
+    newest = store.stage("_newest", _typed_null(typed, "raw_messages"))
     parts = datasets.extract_shredded_mail(newest.select("raw_key", "email_uid", "date", "nodes"))
     staged = store.stage("_parts", parts.withColumn("ident", F.col("email_uid")))
     counters += _vacancies(store, staged.where(F.col("quarantine").isNull()), S.EMAIL, "EMAIL")

@@ -13,7 +13,6 @@ from jobsignal.plans import expected as E
 from jobsignal.plans.layouts import LAYOUTS
 from jobsignal.plans.registry import registry
 from jobsignal.sources import landing
-from jobsignal.sources.shred import shred
 
 QUERIES, query = registry()
 
@@ -51,7 +50,7 @@ def classify_short_command(spark, sf_dir):
 @query("classify_email", """
 SELECT o_orderkey AS email_uid, CASE WHEN o_orderkey % 97 = 0 THEN 6 ELSE 5 END::INTEGER AS message_type_id FROM orders""")
 def classify_email(spark, sf_dir):
-    return T.mail_nodes(spark, sf_dir).select("email_uid", classify.mail_type(F.col("nodes")).alias("message_type_id"))
+    return T.mail_signs(spark, sf_dir).select("email_uid", classify.mail_type(F.col("nodes")).alias("message_type_id"))
 
 
 @query("match_selector", """
@@ -138,7 +137,7 @@ def extract_service(spark, sf_dir):
 
 
 def _mail_layout(spark, sf_dir, layout: int):
-    nodes = shred(mail_ops.route_template(T.mails(spark, sf_dir)).where(F.col("layout") == layout))
+    nodes = mail_ops.hits_of(mail_ops.route_template(T.mails(spark, sf_dir)).where(F.col("layout") == layout), layout)
     cards = mail_ops.extract_v0(nodes) if layout == 0 else mail_ops.extract_v1(nodes)
     return cards.select("email_uid", "part_no", *mail_ops.FIELDS, "parsing_error", "quarantine")
 

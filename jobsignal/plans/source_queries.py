@@ -13,7 +13,6 @@ from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
 from jobsignal.session import work_folder
 from jobsignal.sources import landing
-from jobsignal.sources.shred import shred
 from jobsignal.sources.store import Store
 
 QUERIES, query = registry()
@@ -71,7 +70,7 @@ def src_highwater(spark, sf_dir):
 
 def mail_values(spark, sf_dir):
     """Dictionary name and text of every layout-1 detail as it stands in the mails."""
-    nodes = shred(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"))
+    nodes = mail_ops.hits_of(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"), 1)
     pieces = mail_ops.v1_details(nodes)
     named = F.array(*[F.struct(F.lit(d).alias("dict"), F.get("pieces", F.lit(i)).alias("source_text"))
                       for i, d in enumerate(["experience", "lingvo", "employment", "candidate_locations"])])
@@ -136,7 +135,7 @@ SELECT d.kind, d.id::INTEGER AS id, d.name, count(u.id) AS uses FROM dims d LEFT
 def dim_enums(spark, sf_dir):
     """Every enum member with the number of rows that refer to it."""
     types = T.typed_chat(spark, sf_dir).select(F.lit("type").alias("kind"), F.col("message_type_id").alias("id"))
-    mail_types = T.mail_nodes(spark, sf_dir).select(
+    mail_types = T.mail_signs(spark, sf_dir).select(
         F.lit("type").alias("kind"), classify.mail_type(F.col("nodes")).alias("id"))
     source = lambda df, i: df.select(F.lit("source").alias("kind"), F.lit(i).alias("id"))
     attrs = T.chat_long(spark, sf_dir).select(F.lit("attr").alias("kind"), F.col("attr_id").alias("id"))

@@ -1,14 +1,17 @@
 """HTML shredding: one Arrow pass that turns markup into an array of node structs.
 
 Only tokenizing and nesting happen in Python; every selector runs on the resulting
-column in the JVM (``jobsignal.functions.dom``).
+column in the JVM (``jobsignal.functions.dom``). Plain markup is cut at its tags by one
+pattern and each distinct tag is read once; anything else goes through the tokenizer of
+the standard library.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Iterator
-from html import escape
+from html import escape, unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -43,6 +46,29 @@ _P_STOP = frozenset(["table", "td", "th", "button", "body"])
 _RANK = {"div": 1, "td": 2, "th": 2, "tr": 3, "thead": 4, "tbody": 4, "tfoot": 4, "table": 5, "body": 6, "html": 7}
 _ROWS_PER_BATCH = 256
 
+# Plain markup: tags without angle brackets inside, quoted attributes, no element whose content is read differently.
+_CUT = re.compile(r"(<[^<>]*>)")
+_PLAIN_TAG = re.compile(r'<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[ \t\r\n\f]+[a-zA-Z][a-zA-Z0-9_:.-]*="[^"]*")*)[ \t\r\n\f]*(/?)>')
+_PLAIN_ATTR = re.compile(r'([a-zA-Z][a-zA-Z0-9_:.-]*)="([^"]*)"')
+_READ_DIFFERENTLY = frozenset("script style textarea title iframe noembed noframes noscript plaintext xmp svg math".split())
+_TAGS_KEPT = 20_000
+_tags: dict[str, tuple[str, str, dict] | None] = {}
+
+
+def _read_tag(source: str) -> tuple[str, str, dict] | None:
+    """Kind (start, end or both), name and attributes of a plain tag, else None."""
+    found = _PLAIN_TAG.fullmatch(source)
+    if not found:
+        return None
+    slash, name, attrs, closed = found.groups()
+    name = name.lower()
+    if name in _READ_DIFFERENTLY or slash and (attrs or closed):
+        return None
+    kept: dict[str, str] = {}
+    for key, value in _PLAIN_ATTR.findall(attrs):
+        kept.setdefault(key.lower(), unescape(value))
+    return "end" if slash else "both" if closed else "start", name, kept
+
 
 class _Shredder(HTMLParser):
     """Collects nodes in document order, with normalized markup when wanted."""
@@ -96,15 +122,47 @@ class _Shredder(HTMLParser):
                 self._close_to(depth)
                 return
 
+    def feed_plain(self, html: str) -> bool:
+        """Read the whole document if all of it is plain markup; else read nothing."""
+        pieces = _CUT.split(html)
+        tags = []
+        for source in pieces[1::2]:
+            tag = _tags.get(source, 0)
+            if tag == 0:
+                if len(_tags) >= _TAGS_KEPT:
+                    _tags.clear()
+                tag = _tags[source] = _read_tag(source)
+            if tag is None:
+                return False
+            tags.append(tag)
+        if any("<" in text for text in pieces[::2]):
+            return False
+        for text, (kind, name, attrs) in zip(pieces[::2], tags):
+            if text:
+                self.pending.append(unescape(text) if "&" in text else text)
+            if kind == "end":
+                self.handle_endtag(name)
+            else:
+                self.start(name, attrs)
+                if kind == "both" and name not in _VOID:
+                    self.handle_endtag(name)
+        if pieces[-1]:
+            self.pending.append(unescape(pieces[-1]))
+        return True
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        kept: dict[str, str] = {}
+        for name, value in attrs:
+            kept.setdefault(name, value if value is not None else "")
+        self.start(tag, kept)
+
+    def start(self, tag: str, kept: dict[str, str]) -> list:
+        """Add the node of a start tag; returns it."""
         self._flush()
         if tag in _BLOCK:
             self._end_implied(_P, _P_STOP)
         if tag in _ENDS:
             self._end_implied(*_ENDS[tag])
-        kept: dict[str, str] = {}
-        for name, value in attrs:
-            kept.setdefault(name, value if value is not None else "")
         void = tag in _VOID
         node = self._add(tag, kept, None)
         if self.with_markup:
@@ -113,6 +171,7 @@ class _Shredder(HTMLParser):
             node[7] = self.size
         if not void:
             self.open.append(node[0])
+        return node
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -136,7 +195,15 @@ class _Shredder(HTMLParser):
     def handle_comment(self, data: str) -> None:
         self._flush()
 
-    def finish(self) -> list[list]:
+    def read(self, html: str) -> list[list]:
+        """Nodes of a whole document."""
+        if not self.feed_plain(html):
+            try:
+                self.feed(html)
+                self.close()
+            except AssertionError:
+                # The tokenizer gives up on malformed declarations; keep what was read and say so.
+                self.nodes[0][4]["shred-error"] = "1"
         self._flush()
         self._close_to(0)
         return self.nodes
@@ -145,13 +212,7 @@ class _Shredder(HTMLParser):
 def shred_one(html: str, with_markup: bool = True) -> tuple[list[list], str]:
     """Nodes and normalized markup of one document."""
     shredder = _Shredder(with_markup)
-    try:
-        shredder.feed(html)
-        shredder.close()
-    except AssertionError:
-        # The tokenizer gives up on malformed declarations; keep what was read and say so.
-        shredder.nodes[0][4]["shred-error"] = "1"
-    return shredder.finish(), "".join(shredder.markup)
+    return shredder.read(html), "".join(shredder.markup)
 
 
 def _node_arrays(htmls: list[str | None], with_markup: bool) -> tuple[pa.Array, pa.Array]:

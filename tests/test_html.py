@@ -2,6 +2,8 @@
 
 from email.message import EmailMessage
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from jobsignal import dictionaries as D
@@ -9,7 +11,8 @@ from jobsignal.functions import dom
 from jobsignal.operators import web
 from jobsignal.plans import datasets
 from jobsignal.sources import landing
-from jobsignal.sources.shred import shred, shred_one
+from jobsignal.sources.selecting import Pick, Picks, select, select_one
+from jobsignal.sources.shred import _Shredder, shred, shred_one
 
 
 def tree(html):
@@ -57,6 +60,74 @@ def test_selectors(spark):
             row.above) == (0, 2, "s", 0, "u-1", 1, 2, "s", "1in")
 
 
+TAGS = ["<p>", "</p>", '<div class="a b">', "</div>", "<br>", "<br/>", "<li>", "</li>", "<ul>", "</ul>", "<td>", "</td>", "<tr>", "<table>", "</table>",
+        '<a href="u?x=1&amp;y=2" HREF="z">', "</a>", "<P STYLE=\"Color : red\">", "<div/>", "<span class=''>", "<!-- c -->", "<script>a<b</script>",
+        "<title>t", "</ p>", "<1>", "a < b", "x > y", "&amp;", "&nbsp", "&#65;", " text ", "\n", "<i title=\"a>b\">", "<b x=1>", "<?php ?>", "<![x]>"]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(TAGS), max_size=12))
+def test_plain_markup_is_read_like_any_other(pieces):
+    """Cutting at the tags gives what the tokenizer of the standard library gives."""
+    html = "".join(pieces)
+    slow = _Shredder(True)
+    slow.feed_plain = lambda _: False
+    nodes = slow.read(html)
+    assert shred_one(html) == (nodes, "".join(slow.markup))
+
+
+def test_most_markup_is_plain():
+    assert _Shredder(False).feed_plain('<div class="a">x &amp; y<br/><P>z</P></div>') and not _Shredder(False).feed_plain("<p class=a>x")
+
+
+HTML_PIECES = ["<h3>", "</h3>", '<div class="card">', '<div class="Card x">', "</div>", '<a href="u-1">', '<a rel="canonical" href="v">', "</a>", "<span>", "</span>",
+               '<p style=" MARGIN:0 ;color:#333">', "</p>", " t ", "\n", "x y", "<ul>", "<li>", "</ul>", '<div class="card card-body">', "<aside>", "</aside>"]
+PICKED = {"card": D.Selector("div", "class", ("card",)), "style": D.Selector("p", "style", ("margin:0", "color:#333")), "rel": D.Selector("a", "rel", ("canonical",)),
+          "path": (("h3", ()), ("span", ())), "deep": (("aside", ()), ("div", ("card", "card-body")), ("a", ())), "tag": "li", "twice": (("span", ()), ("span", ()))}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(HTML_PIECES), max_size=25))
+def test_automaton_against_each_selector_alone(pieces):
+    """Hits, texts and subtrees of the automaton equal a plain search of all nodes for each selector."""
+    html = "".join(pieces)
+    picks = Picks(**{name: Pick(path, "joined", "href") for name, path in PICKED.items()})
+    nodes, _ = shred_one(html)
+
+    def passes(node, tag, attr, values, exact):
+        value = node[4].get(attr, None if attr else "")
+        if node[3] != tag or value is None:
+            return False
+        items = [i.strip() for i in (value if exact else value.lower()).split(";" if attr == "style" else None)] if attr in ("class", "style") else None
+        return all(v in (value if items is None else items) for v in values)
+
+    def plain(path):
+        steps = [(path, "", (), True)] if isinstance(path, str) else [(path.tag, path.attr, path.values, False)] if isinstance(path, D.Selector) else [
+            (tag, "class" if classes else "", classes, True) for tag, classes in path]
+        up = [n for n in nodes if passes(n, *steps[0])]
+        for step in steps[1:]:
+            up = [n for n in nodes if passes(n, *step) and any(a[0] < n[0] <= a[1] for a in up)]
+        return {n[0] for n in up}
+
+    wanted = {name: plain(path) for name, path in PICKED.items()}
+    every = sorted(set().union(*wanted.values()))
+    rows, _ = select_one(html, picks)
+    assert len(rows) == len(every) + 1 and rows[0][:4] == (0, len(every), -1, 0)
+    for row, place in zip(rows[1:], every):
+        node = nodes[place]
+        assert row[3] == sum(1 << i for i, name in enumerate(PICKED) if place in wanted[name])
+        assert row[4] == "".join(n[5].strip() for n in nodes[node[0]:node[1] + 1] if n[3] == "#text") and row[5] == node[4].get("href")
+        assert row[1] == sum(e <= node[1] for e in every) and row[2] == (every.index(node[2]) + 1 if node[2] in every else -1)
+
+
+def test_hits_of_a_page(spark):
+    picks = Picks(item=Pick("li", "raw"), bare=Pick((("h1", ()), ("span", ())), "joined without span"))
+    frame = spark.createDataFrame([("a", "<h1><span> x <span>y</span> z</span></h1><ul><li> 1 <li>2</ul>"), ("b", None), ("c", "<li>q")], "key string, html string")
+    got = {r.key: [(n.id, n.last, n.parent, n.hits, n.text) for n in r.nodes] for r in select(frame, picks).collect()}
+    assert got["b"] == [(0, 0, -1, 0, None)] and got["c"] == [(0, 1, -1, 0, None), (1, 1, -1, 1, "q")]
+    assert got["a"] == [(0, 4, -1, 0, None), (1, 2, -1, 2, "xz"), (2, 2, 1, 2, "y"), (3, 3, -1, 1, " 1 "), (4, 4, -1, 1, "2")]
+
+
 def test_table_keeps_last_value(spark):
     html = "<table><tr><td>k</td><td>1</td></tr><tr><td>z</td></tr><tr><td>k</td><td>2</td></tr></table>"
     row = page(spark, html, dom.last_wins(dom.table_entries(dom.find(F.col("nodes"), dom.tag_is("table")))).alias("e"))
@@ -74,7 +145,7 @@ CARD = """<html><head><link rel="canonical" href="https://djinni.co/jobs/5-dev/"
 
 
 def test_page(spark):
-    row = web.extract_page(shred(spark.createDataFrame([("u", CARD)], "url string, html string"), with_markup=True)).first()
+    row = web.extract_page(web.hits_of(spark.createDataFrame([("u", CARD)], "url string, html string"))).first()
     assert row.position == "Dev" and row.company == "Acme" and row.job_desc == "Hi &amp; bye"
     assert row.url == "https://djinni.co/jobs/5" and row.page_url == "u"
     assert (row.salary_from, row.salary_to, row.experience, row.main_tech) == (100, 200, 3, "Go")
