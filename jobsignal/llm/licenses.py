@@ -2,16 +2,19 @@
 
 Training paragraphs are crops of known notices, some sentences that only sound like licences, and a bounded sample of
 the corpus's own paragraphs as the unknown class, but those that hold most of a notice. N-grams of the notices that are
-frequent in the whole corpus are no features, so every feature contains a rare word; paragraphs without such a word have no feature and are unknown without
-being scored. A sparse (L1) multinomial logistic regression scores the others. The probability a family needs is set
-from all unknown paragraphs of the corpus that were held out. A prediction counts when the paragraph also shares enough two-word
-shingles with a notice of the predicted family.
+frequent in the whole corpus are no features, so every feature contains a rare word; paragraphs without such a word have
+no feature and are unknown without being scored. A sparse (L1) multinomial logistic regression scores the others. The
+probability a family needs is set from all unknown paragraphs of the corpus that were held out, those that name a licence
+or a copyright without holding a notice included: they are the hard ones. A prediction counts when the paragraph also
+shares enough two-word shingles with a notice of the predicted family.
 
 DataFrame functions and pyspark.ml only; both run in the JVM.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
@@ -95,27 +98,29 @@ MOST_COMMON = 0.005
 FALSE_ALARMS, CONFIRMED = 0.002, 0.6
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def words(text: Column) -> Column:
     """Lower-case words: runs of letters or digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 def grams(tokens: Column, n: int) -> Column:
     """Runs of ``n`` words, joined by blanks; none if there are fewer."""
-    last = F.size(tokens) - n + 1
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(tokens, i, n), " "))).otherwise(
-        F.array().cast("array<string>"))
+    runs = tokens
+    for k in range(1, n):
+        runs = F.zip_with(runs, F.slice(tokens, k + 1, F.greatest(F.size(tokens), F.lit(0))), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.slice(runs, 1, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
 
 
 def features_of(tokens: Column) -> Column:
     return F.array_distinct(F.concat(*(grams(tokens, n) for n in (1, 2, 3))))
 
 
+def _pairs_of(text: str) -> list[str]:
+    """Distinct two-word shingles of a notice, as ``grams`` gives them."""
+    own = re.findall(r"[^\W_]+", text.lower())
+    return sorted({f"{a} {b}" for a, b in zip(own, own[1:])})
+
+
 def _rows(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
     values = F.array(*(F.struct(F.lit(a).alias("family"), F.lit(b).alias("text")) for a, b in pairs))
     return spark.range(1).select(F.explode(values).alias("v")).select("v.*")
@@ -151,42 +156,44 @@ class LicenceModel:
         return named.drop("_grams", "_features", "_raw", "_probability", "_class")
 
 
-def _notice_grams(tokens: Column, known: list[str]) -> Column:
-    """``features_of`` the tokens as far as they are in ``known``; only runs of words of ``known`` are looked at."""
-    single = [g for g in known if " " not in g]
-    masked = F.array_join(F.transform(tokens, lambda w: F.when(w.isin(single), w).otherwise("|")), " ")
-    runs = F.filter(F.transform(F.split(masked, r"\|"), F.trim), lambda run: run != "")
-    found = F.flatten(F.transform(runs, lambda run: _let(F.split(run, " "), features_of)))
-    return F.array_distinct(F.filter(found, lambda g: g.isin(known)))
+def _listed(values: list[str]) -> Column:
+    return F.array(*map(F.lit, values)) if values else F.array().cast("array<string>")
 
 
-def _a_notice(tokens: Column, shared: Column) -> Column:
-    """Whether the paragraph would be confirmed for any family; ``shared``: its n-grams that the notices have."""
-    notices = F.array(*(F.array_distinct(grams(words(F.lit(text)), 2)) for texts in NOTICES.values() for text in texts))
+def _notice_grams(rows: DataFrame, known: list[str]) -> DataFrame:
+    """``rows`` (with ``tokens``) and ``_grams``, ``features_of`` the tokens as far as they are in ``known``, and
+    ``_notice``, whether the paragraph would be confirmed for any family.
 
-    def near(mine: Column) -> Column:
-        return F.exists(notices, lambda notice: F.size(F.array_intersect(shared, notice)) >= CONFIRMED * F.least(F.size(mine), F.size(notice)))
-
-    return F.when(F.exists(shared, lambda g: g.contains(" ")), _let(F.array_distinct(grams(tokens, 2)), near)).otherwise(False)
+    Each step looks only at paragraphs that the one before left possible: pairs of words where two words of notices
+    stand, triples where two of their pairs stand, notices where pairs enough stand for the shortest one.
+    """
+    of_size = [[g for g in known if g.count(" ") == n] for n in range(3)]
+    none = F.array().cast("array<string>")
+    notices = [_pairs_of(text) for texts in NOTICES.values() for text in texts]
+    fewest = min(map(len, notices))
+    found = rows.withColumn("_ones", F.array_intersect("tokens", _listed(of_size[0])))
+    found = found.withColumn("_pairs", F.when(F.size("_ones") >= 2, grams(F.col("tokens"), 2)).otherwise(none))
+    found = found.withColumn("_mine", F.size(F.array_distinct("_pairs"))).withColumn("_pairs", F.array_intersect("_pairs", _listed(of_size[1])))
+    triples = F.when(F.size("_pairs") >= 2, F.array_intersect(grams(F.col("tokens"), 3), _listed(of_size[2]))).otherwise(none)
+    near = F.exists(F.array(*map(_listed, notices)), lambda notice: F.size(F.array_intersect("_pairs", notice)) >= CONFIRMED * F.least(F.col("_mine"), F.size(notice)))
+    enough = (F.size("_pairs") > 0) & (F.size("_pairs") >= CONFIRMED * F.least(F.col("_mine"), F.lit(fewest)))
+    return found.withColumn("_grams", F.concat("_ones", "_pairs", triples)).withColumn("_notice", F.when(enough, near).otherwise(False)).drop("_ones", "_pairs", "_mine")
 
 
 def unknown_paragraphs(docs: DataFrame, known: list[str], sample_documents: int = SAMPLE_DOCUMENTS) -> DataFrame:
-    """All paragraphs of the unknown class: their n-grams in ``known``, whether they are held out, and whether sampled.
+    """All paragraphs of the unknown class: their n-grams in ``known``, whether they name a licence or a copyright,
+    whether they are held out, and whether sampled.
 
-    Paragraphs that name a licence or a copyright or hold most of a notice are left out: however often a notice
-    occurs, it is no example of the unknown class. Every fifth of the others (by hash) is held out.
+    Paragraphs that hold most of a notice are left out: however often a notice occurs, it is no example of the unknown
+    class. Every fifth of the others (by hash) is held out.
     """
     chosen = hashed_sample(docs.filter("doc_id is not null").select("doc_id"), "doc_id", sample_documents).distinct()
     marked = docs.select("doc_id", text_of().alias("_text")).join(small(chosen.withColumn("sampled", F.lit(True))), "doc_id", "left")
-    plain = marked.select("sampled", F.explode(_paragraphs()).alias("text")).filter(~F.col("text").rlike("(?i)licen[sc]|copyright"))
-
-    def judged(tokens: Column) -> Column:
-        return _let(_notice_grams(tokens, known), lambda g: F.struct(g.alias("grams"), _a_notice(tokens, g).alias("notice")))
-
-    found = plain.select(F.coalesce("sampled", F.lit(False)).alias("sampled"), (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"),
-                         _let(words(F.col("text")), judged).alias("j"))
-    found = found.select("sampled", "held", F.col("j.grams").alias("_grams"), F.col("j.notice").alias("notice"))
-    return staged(found, "unknown-paragraphs").filter("not notice").drop("notice")
+    lines = marked.select(F.coalesce("sampled", F.lit(False)).alias("sampled"), F.explode(_paragraphs()).alias("text"))
+    rows = lines.select("sampled", (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"), F.col("text").rlike("(?i)licen[sc]|copyright").alias("named"),
+                        words(F.col("text")).alias("tokens"))
+    found = _notice_grams(rows, known).filter("not _notice").select("sampled", "held", "named", "_grams")
+    return staged(found, "unknown-paragraphs")
 
 
 def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceModel:
@@ -200,14 +207,15 @@ def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceM
     crops = staged(_crops(notices), "notice-crops")
     known = sorted(r.gram for r in crops.select(F.explode(features_of(F.col("tokens"))).alias("gram")).distinct().collect())  # n-grams of the notices only
     plain = unknown_paragraphs(docs, known, sample_documents)
-    total = max(plain.count(), 1)
-    counts = plain.select(F.explode("_grams").alias("gram")).groupBy("gram").count()
+    ordinary = plain.filter("not named")
+    total = max(ordinary.count(), 1)
+    counts = ordinary.select(F.explode("_grams").alias("gram")).groupBy("gram").count()
     common = {r.gram for r in counts.filter(F.col("count") > MOST_COMMON * total).collect()}
     vocabulary = [g for g in known if g not in common]
     rare = [g for g in vocabulary if " " not in g]
     vocabulary = [g for g in vocabulary if set(g.split()) & set(rare)]
     doubtful = _rows(spark, [(UNKNOWN, text) for text in UNKNOWN_NOTICES]).select("family", words(F.col("text")).alias("tokens"))
-    unknown = plain.filter("sampled and not held").select(F.lit(UNKNOWN).alias("family"), "_grams")
+    unknown = ordinary.filter("sampled and not held").select(F.lit(UNKNOWN).alias("family"), "_grams")
     rows = crops.unionByName(doubtful).select("family", features_of(F.col("tokens")).alias("_grams")).unionByName(unknown).select(
         "family", (F.array_position(F.array(*map(F.lit, FAMILIES)), F.col("family")) - 1).cast("double").alias("label"), "_grams")
     rows = rows.withColumn("weight", F.when(F.col("family") == UNKNOWN, 0.2).otherwise(1.0))
@@ -230,9 +238,9 @@ def _confirmed(tokens: Column, family: Column) -> Column:
         shares = []
         mine = F.array_distinct(grams(tokens, 2))
         for text in texts:
-            notice = F.array_distinct(grams(words(F.lit(text)), 2))
-            common = F.size(F.array_intersect(mine, notice))
-            shares.append(common / F.least(F.size(mine), F.size(notice)))
+            notice = _pairs_of(text)
+            common = F.size(F.array_intersect(mine, _listed(notice)))
+            shares.append(common / F.greatest(F.least(F.size(mine), F.lit(len(notice))), F.lit(1)))
         best = F.when(family == name, F.greatest(*shares)).otherwise(best)
     return F.coalesce(best, F.lit(0.0))
 

@@ -260,13 +260,47 @@ def test_licence_counts_and_threshold_cover_the_corpus(spark):
     assert not {"gnu", "affero"} & set(model.rare) and {"gpl", "redistribute"} <= set(model.rare)
     known = sorted({g for texts in licenses.NOTICES.values() for t in texts for n in (1, 2, 3) for g in brute_grams(t, n)})
     found = licenses.unknown_paragraphs(frame(spark, rows), known, 1).collect()
-    lines = [x for _, t, _ in rows for x in t.split("\n") if "icense" not in x]
-    want = Counter(tuple(sorted({g for n in (1, 2, 3) for g in brute_grams(x, n)} & set(known))) for x in lines)
-    assert Counter(tuple(sorted(r._grams)) for r in found) == want
+    notices = [set(brute_grams(t, 2)) for texts in licenses.NOTICES.values() for t in texts]
+
+    def a_notice(line):
+        mine = set(brute_grams(line, 2))
+        return any(mine & notice and len(mine & notice) >= 0.6 * min(len(mine), len(notice)) for notice in notices)
+
+    lines = [x for _, t, _ in rows for x in t.split("\n")]
+    assert sum(map(a_notice, lines)) == 3
+    want = Counter((tuple(sorted({g for n in (1, 2, 3) for g in brute_grams(x, n)} & set(known))), bool(re.search("(?i)licen[sc]|copyright", x))) for x in lines if not a_notice(x))
+    assert Counter((tuple(sorted(r._grams)), r.named) for r in found) == want
     held = [r.p for r in model.scored_grams(licenses.unknown_paragraphs(frame(spark, rows), known, 1).filter("held")).collect()]
     assert len(held) > 60 and sum(p > model.least for p in held) <= licenses.FALSE_ALARMS * len(held)
 
 
+def test_notice_grams_against_brute_force(spark):
+    pick = random.Random(3)
+    parts = [w for texts in licenses.NOTICES.values() for t in texts for w in t.split()] + ["der", "Test", "x-y", "été"]
+    lines = [" ".join(pick.choice(parts) for _ in range(pick.randrange(0, 25))) for _ in range(300)]
+    for texts in licenses.NOTICES.values():
+        for text in texts:
+            own = text.split()
+            lines += [" ".join(own[pick.randrange(4):][:pick.randrange(2, 20)] + [pick.choice(parts) for _ in range(pick.randrange(6))]) for _ in range(6)]
+    known = sorted({g for texts in licenses.NOTICES.values() for t in texts for n in (1, 2, 3) for g in brute_grams(t, n)})
+    rows = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("tokens", licenses.words(F.col("line")))
+    notices = [set(brute_grams(t, 2)) for texts in licenses.NOTICES.values() for t in texts]
+    families = {name: [set(brute_grams(t, 2)) for t in texts] for name, texts in licenses.NOTICES.items()}
+    found = licenses._notice_grams(rows, known).withColumn("share", licenses._confirmed(F.col("tokens"), F.lit("GPL"))).collect()
+    seen = 0
+    for r in found:
+        words = [w for w in re.split(r"[^a-zà-ÿ0-9]+", r.line.lower()) if w]
+        assert r.tokens == words
+        every = [[" ".join(words[i:i + n]) for i in range(len(words) - n + 1)] for n in (1, 2, 3)]
+        mine = set(every[1])
+        assert set(r._grams) == set(sum(every, [])) & set(known) and len(r._grams) == len(set(r._grams)), r.line
+        want = any(mine & n and len(mine & n) >= 0.6 * min(len(mine), len(n)) for n in notices)
+        assert r._notice == want, r.line
+        assert abs(r.share - max((len(mine & n) / min(len(mine), len(n)) if mine else 0.0) for n in families["GPL"])) < 1e-9
+        seen += want
+    assert 50 < seen < len(lines) - 50
+
+
 def brute_grams(text, n):
     tokens = re.findall("[a-z0-9]+", text.lower())
     return [" ".join(tokens[i:i + n]) for i in range(len(tokens) - n + 1)]
