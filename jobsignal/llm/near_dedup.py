@@ -286,14 +286,51 @@ def _likely(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return staged(pairs.join(two, "b").join(one, "a").filter(_may_link("_a", "_b")).select("a", "b"), "pairs")
 
 
+def _with_row_key(docs: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """``docs`` with ``_key``, which tells texts under one doc_id apart, and the same with each key once; None if no doc_id repeats.
+
+    The key is the doc_id where that is unique, else a 64-bit hash of doc_id and text.
+    """
+    again = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again"))
+    again = staged(again, "repeated-ids")
+    if again.isEmpty():
+        return None
+    marked = docs.join(small(again), F.col("doc_id") == F.col("_again"), "left")
+    repeated = F.col("_again").isNotNull()
+    key = F.when(repeated, F.xxhash64(F.col("doc_id").cast("long"), text_of())).otherwise(F.col("doc_id").cast("long"))
+    keyed = marked.withColumn("_key", key)
+    rows = keyed.select("_key", "text", repeated.alias("_many"))
+    once = rows.filter("not _many").select("_key", "text").union(rows.filter("_many").select("_key", "text").dropDuplicates(["_key"]))
+    return keyed.drop("_again"), once.withColumnRenamed("_key", "doc_id")
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, set_a and set_b of every row.
 
     Texts are linked at a similarity of PERCENT or more; component_id is the smallest doc_id reachable. A null or
     empty text has no shingles and is linked with nothing; its component is itself. Repeated rows share a set and
-    hence a component. A row without doc_id takes the component of its set if a row with an id has that set,
-    else null, and is kept only then. Other columns are ignored; an empty table gives no rows.
+    hence a component; a doc_id with several texts gives one row for each, in the component of that text. A row without
+    doc_id takes the component of its set if a row with an id has that set, else null, and is kept only then. Other
+    columns are ignored; an empty table gives no rows.
     """
+    keys = _with_row_key(docs)
+    return _by_unique_id(docs) if keys is None else _named_again(*keys).drop("key")
+
+
+def _named_again(keyed: DataFrame, once: DataFrame) -> DataFrame:
+    """The result for the rows of ``keyed`` from that for ``once``, whose ids are keys; components are named by the smallest doc_id."""
+    found = staged(_by_unique_id(once).withColumnRenamed("doc_id", "key"), "keyed-components")
+    named = keyed.filter("_key is not null").select("_key", F.col("doc_id").cast("long").alias("doc_id"))
+    names = named.distinct().toDF("key", "name")
+    least = found.join(names, "key").groupBy("component_id").agg(F.min("name").alias("least"))
+    of_key = found.join(least, "component_id", "left").select("key", "n_shingles", F.col("least").alias("component_id"), "set_a", "set_b")
+    rows = named.join(of_key.filter("key is not null"), F.col("_key") == F.col("key")).drop("_key")
+    rows = rows.unionByName(of_key.filter("key is null").withColumn("doc_id", F.lit(None).cast("long")))
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "set_a", "set_b", "key")
+
+
+def _by_unique_id(docs: DataFrame) -> DataFrame:
+    """``near_dedup`` of rows of which those with one doc_id have one text."""
     signs = staged(signed(docs), "signatures")
     found = classes(signs)
     labels = class_labels(found, docs.filter("doc_id is not null"))
@@ -306,11 +343,17 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 def keep_unique(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not near-duplicates of one with a smaller doc_id, columns as they were.
 
-    Rows leave by doc_id; a row without one leaves if a row with an id has the same shingles.
+    Rows leave by doc_id, or by doc_id and text where a doc_id repeats; a row without one leaves if a row with an id has
+    the same shingles.
     """
-    found = staged(near_dedup(docs), "near-duplicates")
-    gone = small(found.filter("not kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct())
-    named = docs.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    keys = _with_row_key(docs)
+    if keys is None:
+        keyed = docs.withColumn("_key", F.col("doc_id").cast("long"))
+        found = staged(_by_unique_id(docs).withColumn("key", F.col("doc_id")), "near-duplicates")
+    else:
+        keyed, found = keys[0], staged(_named_again(*keys), "near-duplicates")
+    gone = small(found.filter("not kept and key is not null").select(F.col("key").alias("_id")).distinct())
+    named = keyed.join(gone, F.col("_key") == F.col("_id"), "left_anti").drop("_key")
     unnamed = found.filter("doc_id is null and not kept").limit(1)
     if unnamed.isEmpty():
         return named

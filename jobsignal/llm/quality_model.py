@@ -134,11 +134,15 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
-    """Trees fitted on at most ``sample_rows`` labelled rows that are not held out."""
-    known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", "quality")
+    """Trees fitted on at most ``sample_rows`` labelled doc_ids that are not held out.
+
+    A doc_id counts once: with its largest label, and of several texts with the one of the smallest hash.
+    """
+    known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     sample = hashed_sample(known, "doc_id", sample_rows)
-    rows = docs.select("doc_id", "text").join(small(sample), "doc_id")
-    found = sorted(map(tuple, measured(rows).collect()), key=repr)  # as many rows as the sample
+    rows = docs.select("doc_id", text_of().alias("text")).join(small(sample), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("t")).select("doc_id", "quality", "t.text")
+    found = sorted(map(tuple, measured(rows).collect()), key=repr)  # one row per doc_id of the sample
     x = np.array([r[2] for r in found], np.float64).reshape(-1, len(STATISTICS))
     return fit(x, np.array([float(r[1] > 0) for r in found]))
 

@@ -66,14 +66,57 @@ def _spans(name: str, least: int, part: str = "all") -> Column:
     sizes = F.zip_with(whole, F.col(f"{name}_{part}"), lambda w, f: F.struct(F.char_length(w).alias("n"), (F.char_length(f) >= least).alias("ok")))
     steps = F.zip_with(F.slice(F.col(f"{name}_gaps"), 1, F.size(whole)), sizes,
                        lambda g, p: F.struct(F.char_length(g).alias("gap"), p["n"].alias("n"), p["ok"].alias("ok")))
-    start = F.expr("named_struct('at', 0, 'spans', cast(array() as array<struct<start:int,end:int>>))")
+    def placed(own: Column) -> Column:
+        ends = running(F.transform(own, lambda p: (p["gap"] + p["n"]).cast("long")), lambda x, y: x + y)
+        spans = F.zip_with(ends, own, lambda end, p: F.when(p["ok"], F.struct((end - p["n"]).cast("int").alias("start"), end.cast("int").alias("end"))))
+        return F.filter(spans, lambda s: s.isNotNull())
 
-    def step(acc: Column, s: Column) -> Column:
-        begin = acc["at"] + s["gap"]
-        span = F.array(F.struct(begin.alias("start"), (begin + s["n"]).alias("end")))
-        return F.struct((begin + s["n"]).alias("at"), F.when(s["ok"], F.concat(acc["spans"], span)).otherwise(acc["spans"]).alias("spans"))
+    return _let(steps, placed)
 
-    return F.aggregate(steps, start, step, lambda acc: acc["spans"])
+
+def running(values: Column, join) -> Column:
+    """Running results of ``join`` (associative, 0 changes nothing) over an array of longs.
+
+    Blocks of about the cube root of the length are run through apart from each other, and then the results of the
+    blocks; so an array is never copied once per element, and a text with a million matches takes seconds.
+    """
+    none = F.expr("cast(array() as array<bigint>)")
+
+    def through(part: Column, value, also_last: bool) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            total = join(acc["total"], value(x))
+            return F.struct(total.alias("total"), F.concat(acc["seen"], F.array(total if also_last else acc["total"])).alias("seen"))
+
+        return F.aggregate(part, F.struct(F.lit(0).cast("long").alias("total"), none.alias("seen")), step, lambda acc: acc["seen"])
+
+    def blocks(own: Column) -> Column:
+        n = F.greatest(F.size(own), F.lit(0))
+        width = F.greatest(F.ceil(F.cbrt(n)), F.lit(16)).cast("int")
+        starts = F.when(n > 0, F.sequence(F.lit(1), n, width)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: through(F.slice(own, i, width), lambda x: x, True))
+
+    def carried(parts: Column) -> Column:
+        before = through(parts, lambda part: F.element_at(part, -1), False)
+        return F.flatten(F.zip_with(parts, before, lambda part, c: F.transform(part, lambda x: join(c, x))))
+
+    return _let(_let(values, blocks), carried)
+
+
+def _outside(tokens: Column, base: Column) -> Column:
+    """The tokens that lie within no base span.
+
+    In order of their starts, base spans first, a token lies within one if the largest end so far is not before its own.
+    """
+    def settled(rows: Column) -> Column:
+        furthest = running(F.transform(rows, lambda r: F.when(r["order"] == 0, r["end"]).otherwise(0).cast("long")), F.greatest)
+        apart = F.zip_with(rows, furthest, lambda r, most: F.when((r["order"] == 1) & (most < r["end"]), F.struct(r["start"].alias("start"), r["end"].alias("end"))))
+        return F.filter(apart, lambda s: s.isNotNull())
+
+    def row(span: Column, order: int) -> Column:
+        return F.struct(span["start"].alias("start"), F.lit(order).alias("order"), span["end"].alias("end"))
+
+    both = F.concat(F.transform(base, lambda b: row(b, 0)), F.transform(tokens, lambda t: row(t, 1)))
+    return F.when(F.size(tokens) > 0, _let(F.array_sort(both), settled)).otherwise(F.expr("cast(array() as array<struct<start:int,end:int>>)"))
 
 
 def _normal_tail(z: Column) -> Column:
@@ -223,9 +266,8 @@ def scan(docs: DataFrame, rate: float = FALSE_RATE) -> DataFrame:
     limits = thresholds(found, rate).agg(F.map_from_entries(F.collect_list(F.struct("stratum", "step"))).alias("limits"))
     base = F.concat(*(_of_kind(F.col(k), k) for k in KINDS[:3]))
     rows = found.select("*", base.alias("base")).withColumn("limits", limits.scalar())
-    apart = F.filter("tokens", lambda t: (t["step"] < F.coalesce(F.try_element_at("limits", t["stratum"]), F.lit(GRID)))
-                     & ~F.exists("base", lambda b: (b["start"] <= t["start"]) & (t["end"] <= b["end"])))
-    rows = rows.withColumn("random", apart)
+    left = F.filter("tokens", lambda t: t["step"] < F.coalesce(F.try_element_at("limits", t["stratum"]), F.lit(GRID)))
+    rows = rows.withColumn("left", left).withColumn("random", _outside(F.col("left"), F.col("base")))
     return rows.select(
         "doc_id", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"), F.size("hex").cast("long").alias("n_hex"),
         F.sha2(_text(F.col("base")), 256).alias("base_sha256"), _text(F.concat("base", _of_kind(F.col("random"), "random"))).alias("spans"),

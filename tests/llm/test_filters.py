@@ -221,6 +221,44 @@ def test_flat_trees_match_a_walk():
     assert np.allclose(margins, trees.margins(x[:50])) and ((trees.scores(x) > 0.5) == y).mean() > 0.97
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """One row per input row, each in the component of its own text, however often its doc_id occurs."""
+    pick = random.Random(21)
+    one, two, three = (prose(pick, n) for n in (60, 50, 70))
+    rows = [(1, one, "s"), (1, two, "s"), (2, one + " end", "s"), (3, two + " end", "s"), (1, one, "s"), (7, three, "s"), (7, three, "s"), (7, "", "s"),
+            (None, one, "s"), (9, three + " end", "s"), (None, "nothing like it at all here", "s"), (5, "", "s")]
+    found = near_dedup.near_dedup(frame(spark, rows)).collect()
+    got = Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in found)
+    size = lambda t: len(near_dedup.shingle_set(t))
+    assert got == Counter({(1, size(one), 1, True): 2, (1, size(two), 1, True): 1, (2, size(one) + 1, 1, False): 1, (3, size(two) + 1, 1, False): 1,
+                           (7, size(three), 7, True): 2, (7, 0, 7, True): 1, (None, size(one), 1, False): 1, (9, size(three) + 1, 7, False): 1,
+                           (None, 2, None, True): 1, (5, 0, 5, True): 1})
+    kept = near_dedup.keep_unique(frame(spark, rows))
+    assert kept.columns == SCHEMA.replace(",", "").split()[::2]
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(1, one), (1, one), (1, two), (7, three), (7, three), (7, ""), (5, ""), (None, "nothing like it at all here")])
+
+
+def test_model_takes_a_doc_id_once(spark):
+    pick = random.Random(22)
+    ids = [i for i in range(60) if not quality_model_held_out(i)]
+    docs = [(i, prose(pick, 30), "s") for i in ids] + [(ids[0], prose(pick, 30), "s") for _ in range(500)]
+    labels = spark.createDataFrame([(i, i % 2) for i in ids for _ in range(3)], "doc_id long, quality int")
+    seen = []
+    fit = quality_model.fit
+    try:
+        quality_model.fit = lambda x, y: (seen.append(x.shape), fit(x, y))[1]
+        quality_model.train(frame(spark, docs), labels)
+    finally:
+        quality_model.fit = fit
+    assert seen == [(len(ids), len(quality_model.STATISTICS))]
+
+
+def quality_model_held_out(i):
+    import zlib
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
 def test_licences(spark):
     pick = random.Random(9)
     lines = {"MIT": "Released under the MIT License.", "GPL": "This work is licensed under the GNU General Public License, version 3.",
