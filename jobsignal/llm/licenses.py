@@ -192,8 +192,9 @@ def unknown_paragraphs(docs: DataFrame, known: list[str], sample_documents: int
     lines = marked.select(F.coalesce("sampled", F.lit(False)).alias("sampled"), F.explode(_paragraphs()).alias("text"))
     rows = lines.select("sampled", (F.pmod(F.xxhash64("text"), F.lit(5)) == 0).alias("held"), F.col("text").rlike("(?i)licen[sc]|copyright").alias("named"),
                         words(F.col("text")).alias("tokens"))
-    found = _notice_grams(rows, known).filter("not _notice").select("sampled", "held", "named", "_grams")
-    return staged(found, "unknown-paragraphs")
+    # Written before it is filtered: a filter would be pushed down to the words and repeat all steps there.
+    found = _notice_grams(rows, known).select("sampled", "held", "named", "_grams", "_notice")
+    return staged(found, "unknown-paragraphs").filter("not _notice").drop("_notice")
 
 
 def train(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> LicenceModel:
