@@ -50,8 +50,8 @@ def _null_fields(df: DataFrame, present: set[str]) -> list[Column]:
             for f in FIELDS]
 
 
-def extract_v0(mails: DataFrame) -> DataFrame:
-    """Layout 0: one table cell per vacancy. Input: mails with the hits of ``PICKS[0]`` as ``nodes``."""
+def _v0_texts(mails: DataFrame) -> DataFrame:
+    """Texts of every layout-0 card, its details in pieces and the one of them that tells experience."""
     kept = [c for c in mails.columns if c != "nodes"]
     frags = _cards(mails, 0).select(
         *kept, "part_no", _found("card", 0, "position").alias("link"),
@@ -70,7 +70,14 @@ def extract_v0(mails: DataFrame) -> DataFrame:
     ).withColumn("bounds", X.salary_bounds(F.col("salary_text")))
     first, second = F.get("pieces", F.lit(0)), F.get("pieces", F.lit(1))
     badge = F.coalesce(F.contains(F.coalesce(second, first), F.lit(D.PRODUCT_BADGE)), F.lit(False))
-    experience_text = F.when(badge | second.isNull(), first).otherwise(second)
+    return pieces.withColumn("badge", badge).withColumn("experience_text", F.when(badge | second.isNull(), first).otherwise(second))
+
+
+def extract_v0(mails: DataFrame) -> DataFrame:
+    """Layout 0: one table cell per vacancy. Input: mails with the hits of ``PICKS[0]`` as ``nodes``."""
+    kept = [c for c in mails.columns if c != "nodes"]
+    pieces, badge, experience_text = _v0_texts(mails), F.col("badge"), F.col("experience_text")
+    first, second = F.get("pieces", F.lit(0)), F.get("pieces", F.lit(1))
     has_details = F.col("details_text") != ""
     broken = has_details & ((F.size("pieces") == 0) | (badge & second.isNull()))
     fields = pieces.select(
@@ -88,15 +95,27 @@ def extract_v0(mails: DataFrame) -> DataFrame:
     return _result(fields, kept, audit)
 
 
-def v1_details(mails: DataFrame) -> DataFrame:
-    """Dot-separated details of every layout-1 card as they are written."""
+def details(mails: DataFrame, layout: int) -> DataFrame:
+    """``pieces``: dot-separated details of every card as they are written."""
     kept = [c for c in mails.columns if c != "nodes"]
-    details = text(_found("card", 1, "details"))
-    return _cards(mails, 1).select(*kept, "part_no", X.split_middot(details, keep_blanks=True).alias("pieces"))
+    return (_v1_texts(mails) if layout else _v0_texts(mails)).select(*kept, "part_no", "pieces")
 
 
-def extract_v1(mails: DataFrame) -> DataFrame:
-    """Layout 1: one ``div.card`` per vacancy. Input: mails with the hits of ``PICKS[1]`` as ``nodes``.
+def dictionary_texts(mails: DataFrame, layout: int) -> DataFrame:
+    """dict and source_text of every text of a card that a dictionary is applied to."""
+    kept = [c for c in mails.columns if c != "nodes"]
+    if layout:
+        texts = {name: F.get("pieces", F.lit(i)) for i, name in enumerate(["experience", "lingvo", "employment", "candidate_locations"])}
+        texts |= {"mail_description": F.col("desc_text"), "mail_subscription": F.col("subscription_text")}
+    else:
+        texts = {"mail_company": F.col("company_text"), "experience": F.col("experience_text"), "mail_description": F.col("desc_text")}
+    named = F.array(*[F.struct(F.lit(name).alias("dict"), value.alias("source_text")) for name, value in texts.items()])
+    rows = (_v1_texts(mails) if layout else _v0_texts(mails)).select(*kept, "part_no", F.explode(named).alias("t"))
+    return rows.select(*kept, "part_no", "t.*").where(F.col("source_text").isNotNull())
+
+
+def _v1_texts(mails: DataFrame) -> DataFrame:
+    """Texts of every layout-1 card and its details in pieces.
 
     A heading around the whole card also counts as ancestor of the card's links.
     """
@@ -108,12 +127,18 @@ def extract_v1(mails: DataFrame) -> DataFrame:
         text(_found("card", 1, "details")).alias("details_text"),
         text(_found("card", 1, "description")).alias("desc_text"),
         text(_found("card", 1, "subscription")).alias("subscription_text"))
-    pieces = frags.select(
+    return frags.select(
         *kept, "part_no", "salary_text", "company", "desc_text", "subscription_text",
         text(F.col("link")).alias("position"),
         X.unwrap_tracking_url(value(F.col("link"))).alias("url"),
         X.split_middot(F.col("details_text"), keep_blanks=True).alias("pieces"),
         X.salary_bounds(F.col("salary_text")).alias("bounds"))
+
+
+def extract_v1(mails: DataFrame) -> DataFrame:
+    """Layout 1: one ``div.card`` per vacancy. Input: mails with the hits of ``PICKS[1]`` as ``nodes``."""
+    kept = [c for c in mails.columns if c != "nodes"]
+    pieces = _v1_texts(mails)
     years = rf"{D.NUMERIC_PATTERN}? ?({D.any_of(D.REMOVALS['experience'])})"
     piece = lambda i: F.get("pieces", F.lit(i))
     number = F.regexp_extract(piece(0), years, 1)

@@ -93,25 +93,36 @@ def count_outcomes(kind: str, batch: DataFrame, keys: list[str], target: DataFra
     return totals.select(F.explode(rows).alias("r")).select("r.*").where("n > 0")
 
 
+def value_key(value: Column) -> Column:
+    """128-bit key of an attribute value; long texts are grouped and joined by it."""
+    return F.unhex(F.md5(value))
+
+
 def append_links(links: DataFrame, batch: DataFrame) -> DataFrame:
     """Append links that are not there yet; existing ones stay."""
-    keys = links.columns
-    new = batch.select(*keys).distinct().alias("b").join(links.alias("l"), _same_key(keys, "b", "l"), "left_anti")
-    return links.unionByName(new)
+    columns, keys = links.columns, ["data_hash", "attr_id", "_value"]
+    own = batch.select(*columns).withColumn("_value", value_key(F.col("attr_value"))).dropDuplicates(keys)
+    known = links.select("data_hash", "attr_id", value_key(F.col("attr_value")).alias("_value"))
+    return links.unionByName(own.join(known, keys, "left_anti").select(*columns))
 
 
 def upsert_links(links: DataFrame, batch: DataFrame) -> DataFrame:
     """Links of values to vacancies with the source and time of their last writer; links never go."""
-    keys = ["data_hash", "attr_id", "attr_value"]
-    # A rerun of an older message must not move the time back.
-    new = batch.select(*keys, "attr_source_id", "written")
-    return latest_per_key(links.select(*keys, "attr_source_id", "written").unionByName(new), keys, ["written", "attr_source_id"])
+    # A rerun of an older message must not move the time back. A vacancy has one month, its message's.
+    columns = ["attr_id", "attr_value", "data_hash", "attr_source_id", "written", "month"]
+    rows = links.select(*columns).unionByName(batch.select(*columns)).withColumn("_value", value_key(F.col("attr_value")))
+    newest = rows.groupBy("data_hash", "attr_id", "_value").agg(
+        F.max(F.struct("written", "attr_source_id")).alias("_last"), F.max("month").alias("month"), F.first("attr_value").alias("attr_value"))
+    return newest.select("data_hash", "attr_id", "attr_value", "_last.attr_source_id", "_last.written", "month")
 
 
 def upsert_attrs(attrs: DataFrame, batch: DataFrame, order: list[str]) -> DataFrame:
     """Attribute values keyed by (attr, value); the source is the last writer's."""
-    keys = ["attr_id", "attr_value"]
-    return upsert(attrs, batch.select(*keys, "attr_source_id", *order), keys, ["attr_source_id"], order)
+    keys = ["attr_id", "_value"]
+    rows = batch.select("attr_id", value_key(F.col("attr_value")).alias("_value"), "attr_value", "attr_source_id", *order)
+    newest = rows.groupBy(*keys).agg(F.max_by("attr_source_id", F.struct(*order)).alias("attr_source_id"), F.first("attr_value").alias("attr_value"))
+    stored = attrs.withColumn("_value", value_key(F.col("attr_value")))
+    return upsert(stored, newest, keys, ["attr_value", "attr_source_id"], order, collapsed=True).drop("_value")
 
 
 def cascade_delete(children: dict[str, tuple[DataFrame, str]], deleted: DataFrame, key: str) -> dict[str, DataFrame]:

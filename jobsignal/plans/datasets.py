@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from jobsignal import schemas as S
 from jobsignal.functions import scalars as X
 from jobsignal.operators import chat as chat_ops
-from jobsignal.operators import classify, fetching, mail as mail_ops, reshape, web as web_ops
+from jobsignal.operators import classify, fetching, mail as mail_ops, merge, reshape, web as web_ops
 from jobsignal.sources import fixtures
 from jobsignal.sources.fixtures import landed, table
 from jobsignal.sources.selecting import select
 from jobsignal.sources.shred import shred
 
 __all__ = ["table", "chat", "typed_chat", "mails", "emls", "mail_nodes", "mail_signs", "pages", "page_nodes", "chat_vacancies",
-           "mail_vacancies", "web_vacancies", "chat_long", "fetch_results", "newest_fetch", "user_urls", "day"]
+           "mail_vacancies", "web_vacancies", "vacancies", "all_long", "report", "chat_long", "fetch_results", "newest_fetch", "user_urls", "day"]
 
 
 def day(c: Column | str) -> Column:
@@ -105,6 +105,40 @@ def chat_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.to_long(chat_vacancies(spark, sf_dir), ["data_hash", "date", "message_id", "part_no"])
 
 
+# When the pages were parsed; later than any message.
+PARSED = "2026-01-01 00:00:00"
+
+
+def vacancies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good vacancies of chat and mails: ``data_hash, origin, date, ident, part_no, canonical_url`` and attributes."""
+    ids = lambda df, origin, ident: df.where("quarantine IS NULL").withColumns({
+        "origin": F.lit(origin), "ident": F.col(ident), "canonical_url": X.canonical_url(F.col("url"))})
+    chat_rows = ids(chat_vacancies(spark, sf_dir), "chat", "message_id")
+    return chat_rows.unionByName(ids(mail_vacancies(spark, sf_dir), "mail", "email_uid"), allowMissingColumns=True)
+
+
+def all_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long attributes of all vacancies with source and time of writing: chat, mails, and the pages of their urls.
+
+    A page belongs to the newest vacancy of each origin that has its url.
+    """
+    rows, order = vacancies(spark, sf_dir), ["date", "ident", "part_no"]
+    own = reshape.to_long(rows, ["data_hash", "origin", "date"]).select(
+        "data_hash", "attr_id", "attr_value", F.when(F.col("origin") == "chat", S.CHAT).otherwise(S.EMAIL).alias("attr_source_id"), F.col("date").alias("written"))
+    pointed = merge.latest_per_key(rows.select("origin", "canonical_url", "data_hash", *order), ["origin", "canonical_url"], order)
+    good = web_vacancies(spark, sf_dir).where("quarantine IS NULL").join(
+        pointed.select(F.col("canonical_url").alias("page_url"), "data_hash"), "page_url")
+    pages_long = reshape.to_long(good, ["data_hash"]).select(
+        "*", F.lit(S.WEB).alias("attr_source_id"), F.lit(PARSED).cast("timestamp_ntz").alias("written"))
+    return own.unionByName(pages_long)
+
+
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One typed row per vacancy of any source; numbers are the last writer's."""
+    wide = reshape.typed(reshape.to_wide(all_long(spark, sf_dir), newest=["written", "attr_source_id"]))
+    return wide.join(vacancies(spark, sf_dir).select("data_hash", "origin", "date"), "data_hash")
+
+
 def fetch_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fetching.fetch_rows(landed(spark, sf_dir, "fetch", fixtures.fetch_results))
 
@@ -117,6 +151,6 @@ def user_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Url table before any fetch, in the shape of ``vacancy_web``."""
     null = lambda kind: F.lit(None).cast(kind)
     return fixtures.user_urls(spark, sf_dir).select(
-        "url", null("string").alias("raw_html"), null("timestamp_ntz").alias("last_check"),
+        "url", null("binary").alias("page_key"), null("timestamp_ntz").alias("last_check"),
         null("int").alias("status_code"), null("timestamp_ntz").alias("parsing_date"),
         F.col("user_id").cast("string").alias("data_hash"))

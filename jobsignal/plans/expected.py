@@ -134,6 +134,24 @@ newest AS (
   SELECT url, user_id, ts, event_id, html, CASE WHEN contains(html, 'has been blocked') THEN 429 ELSE status END AS status
   FROM fetched QUALIFY row_number() OVER (PARTITION BY url ORDER BY ts DESC, event_id DESC) = 1)"""
 
+# Report over all sources: a page adds to the newest vacancy of each origin that has its url, and its numbers win.
+_TEXTS = ["position", "company", "location", "job_desc_prev", "subscription", "lingvo", "employment", "candidate_locations"]
+_PAGE_TEXTS = ["main_tech", "tech_stack", "company_type", "domain", "offices", "job_desc", "notes"]
+_PAGE = {"position", "company", "lingvo", "employment", "candidate_locations"}
+REPORT_COLUMNS = [*_TEXTS, *_PAGE_TEXTS, "experience", "salary_from", "salary_to"]
+REPORT = f"""vac AS (
+  SELECT 'chat' AS origin, data_hash, date, message_id AS id, part_no, 'https://djinni.co/jobs/' || pk AS page_url, position, company, location,
+    job_desc_prev, subscription, NULL AS lingvo, NULL AS employment, NULL AS candidate_locations, experience, salary_from, salary_to FROM chat
+  UNION ALL SELECT 'mail', data_hash, date, email_uid, part_no, url, position, company, location, job_desc_prev, subscription, lingvo, employment,
+    candidate_locations, experience, salary_from, salary_to FROM mail WHERE NOT short),
+pages_of AS (SELECT v.data_hash AS dh, web.* FROM (SELECT * FROM vac
+    QUALIFY row_number() OVER (PARTITION BY origin, page_url ORDER BY date DESC, id DESC, part_no DESC) = 1) v JOIN web USING (page_url) WHERE linked),
+report AS (SELECT v.data_hash, v.origin, v.date,
+    {', '.join(f"nullif(array_to_string(list_sort(list_distinct([v.{c}, w.{c}])), ', '), '') AS {c}" if c in _PAGE else f"v.{c}" for c in _TEXTS)},
+    {', '.join(f"w.{c}" for c in _PAGE_TEXTS)}, coalesce(w.experience, v.experience) AS experience,
+    coalesce(w.salary_from, v.salary_from) AS salary_from, coalesce(w.salary_to, v.salary_to) AS salary_to
+  FROM vac v LEFT JOIN pages_of w ON w.dh = v.data_hash)"""
+
 # Attributes of chat vacancies in the long form.
 CHAT_LONG = """chat_long AS (
   SELECT data_hash, date, message_id, part_no, unnest([1, 2, 3, 7, 8, 9, 10, 16])::INTEGER AS attr_id,

@@ -114,13 +114,14 @@ def fn_decode_header(spark, sf_dir):
 
 
 @query("fn_split_middot", E.with_(E.PARTS, E.MAIL) + """
-SELECT email_uid, part_no, CASE WHEN short THEN 2 ELSE 4 END::INTEGER AS pieces, CASE WHEN short THEN 3 ELSE 5 END::INTEGER AS with_blank,
-  CASE WHEN short THEN 2 ELSE 4 END::INTEGER AS without_blank FROM mail WHERE layout = 1""")
+SELECT email_uid, part_no, n AS pieces, n + 1 AS with_blank, n AS without_blank
+FROM (SELECT *, CASE WHEN short OR layout = 0 THEN 2 ELSE 4 END::INTEGER AS n FROM mail)""")
 def fn_split_middot(spark, sf_dir):
-    """Details of layout-1 cards split again after a blank piece was put in front."""
-    nodes = mail_ops.hits_of(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"), 1)
+    """Details of the cards of both layouts, split again after a blank piece was put in front."""
+    routed = mail_ops.route_template(T.mails(spark, sf_dir))
+    cards = [mail_ops.details(mail_ops.hits_of(routed.where(F.col("layout") == i), i), i) for i in (0, 1)]
     again = F.concat(F.lit(" · "), F.array_join("pieces", "·"))
-    return mail_ops.v1_details(nodes).select(
+    return cards[0].unionByName(cards[1]).select(
         "email_uid", "part_no", F.size("pieces").alias("pieces"), F.size(X.split_middot(again, True)).alias("with_blank"),
         F.size(X.split_middot(again, False)).alias("without_blank"))
 

@@ -18,7 +18,7 @@ from jobsignal.functions import scalars as X
 from jobsignal.operators import chat as chat_ops
 from jobsignal.operators import classify, fetching, mail as mail_ops, merge, reshape
 from jobsignal.plans import datasets
-from jobsignal.sources import landing
+from jobsignal.sources import bodies, landing
 from jobsignal.sources.store import Store
 
 _ORDER = ["date", "ident", "part_no"]
@@ -34,30 +34,50 @@ def _typed_null(df: DataFrame, table: str) -> DataFrame:
     return df.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
 
 
-def _raw(store: Store, newest: DataFrame) -> DataFrame:
-    """Merge raw messages given one row per key."""
+def _month(date: str = "date") -> Column:
+    return F.date_format(date, "yyyy-MM").alias("month")
+
+
+def _raw(store: Store, newest: DataFrame) -> None:
+    """Merge raw messages given one row per key; their texts go to the bodies."""
+    _bodies(store, newest, "text", "html")
+    rows = newest.withColumns({"text_key": bodies.body_key("text"), "html_key": bodies.body_key("html")})
     update = [c for c in S.TABLES["raw_messages"].names if c != "raw_key"]
-    return merge.upsert(store.read("raw_messages"), newest, ["raw_key"], update, ["date", "ident"], collapsed=True)
+    batch = rows.select("raw_key", *update)
+    store.merge("raw_messages", ["raw_key"], batch, lambda old: merge.upsert(old, batch, ["raw_key"], update, ["date"], collapsed=True))
+
+
+def _bodies(store: Store, df: DataFrame, *columns: str) -> None:
+    """Store the texts of these columns that are new."""
+    given = store.stage("_bodies", bodies.bodies_of(df, *columns).withColumn("_place", F.monotonically_increasing_id()))
+    store.append("bodies", bodies.new_bodies(store.read("bodies"), given))
 
 
 def _quarantine(store: Store, bad: DataFrame) -> None:
-    rows = store.read("quarantine").unionByName(_typed_null(bad, "quarantine").select(*S.TABLES["quarantine"].names))
-    store.stage("quarantine", rows.distinct())
+    """Append the rows that are not there yet; they are compared by a 128-bit key of message, part, reason and payload."""
+    def key() -> Column:
+        text = F.to_json(F.struct("raw_key", "part_no", "reason", "payload"), {"ignoreNullFields": "false"})
+        return bodies.body_key(text).alias("_key")
+
+    rows = store.stage("_quarantine", _typed_null(bad, "quarantine").select(*S.TABLES["quarantine"].names, key()))
+    known = store.read("quarantine").select(key())
+    store.append("quarantine", rows.dropDuplicates(["_key"]).join(known, "_key", "left_anti").drop("_key"))
 
 
 def _vacancies(store: Store, parts: DataFrame, source: int, kind: str) -> list[DataFrame]:
     """Merge urls, vacancies, attribute values and links of staged good parts."""
     urls, vacancies = store.read("vacancy_web"), store.read("vacancies")
+    parts = fetching.resolve(parts, store.read("url_aliases"))
     counters = [merge.count_outcomes(f"{kind}_URL", parts, ["url"], urls),
                 merge.count_outcomes(f"{kind}_VACANCY", parts, ["data_hash"], vacancies)]
     batch = parts.select("url", X.canonical_url(F.col("url")).alias("canonical_url"), "data_hash", *_ORDER)
-    on_match = {"raw_html": F.lit(None).cast("string"), "status_code": F.lit(None).cast("int")}
+    on_match = {"page_key": F.lit(None).cast("binary"), "status_code": F.lit(None).cast("int")}
     store.stage("vacancy_web", merge.upsert(urls, batch, ["url"], ["canonical_url", "data_hash"], _ORDER,
                                             on_match=on_match if source == S.EMAIL else None))
-    rows = parts.select("data_hash", "raw_key", F.col("parsing_error").alias("message_parsing_error"), *_ORDER)
+    rows = parts.select("data_hash", "raw_key", F.col("parsing_error").alias("message_parsing_error"), _month(), *_ORDER)
     # A vacancy key holds the message's id and the part number, so a batch has each once.
-    store.stage("vacancies", merge.upsert(vacancies, rows, ["data_hash"], ["raw_key", "message_parsing_error"], _ORDER,
-                                          collapsed=True))
+    store.merge("vacancies", ["data_hash"], rows, lambda old: merge.upsert(
+        old, rows, ["data_hash"], ["raw_key", "message_parsing_error", "month"], _ORDER, collapsed=True))
     _attributes(store, reshape.to_long(parts, ["data_hash", *_ORDER]), source)
     return counters
 
@@ -65,10 +85,9 @@ def _vacancies(store: Store, parts: DataFrame, source: int, kind: str) -> list[D
 def _attributes(store: Store, long: DataFrame, source: int, written: Column | None = None) -> None:
     """Merge values and their links; ``written`` is when the source said so, the message's date by default."""
     at = F.col("date") if written is None else written
-    staged = store.stage("_long", long.withColumn("attr_source_id", F.lit(source)).withColumn("written", at.cast("timestamp_ntz")))
+    staged = store.stage("_long", long.withColumns({"attr_source_id": F.lit(source), "written": at.cast("timestamp_ntz"), "month": _month()}))
     store.stage("vacancy_data", merge.upsert_attrs(store.read("vacancy_data"), staged, _ORDER))
-    store.stage("vacancy_data_vacancies_links",
-                merge.upsert_links(store.read("vacancy_data_vacancies_links"), staged))
+    store.merge("vacancy_data_vacancies_links", ["data_hash"], staged, lambda old: merge.upsert_links(old, staged))
 
 
 def _report(store: Store, counters: list[DataFrame]) -> DataFrame:
@@ -84,8 +103,8 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     typed = chat_ops.raw_audit(classify.with_chat_type(usable))
     batch = store.stage("_batch", _typed_null(typed.select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), "*", F.col("message_id").alias("ident"),
-        F.lit(S.CHAT).alias("message_source_id")), "raw_messages"))
-    newest = store.stage("_newest", merge.latest_per_key(batch, ["raw_key"], ["date", "ident"]))
+        F.lit(S.CHAT).alias("message_source_id"), F.lit(None).cast("string").alias("html"), F.monotonically_increasing_id().alias("_row")), "raw_messages"))
+    newest = store.stage("_newest", merge.without_older(batch, ["raw_key"], ["date", "ident"], "_row"))
     counters = [batch.agg(F.count(F.lit(1)).alias("n")).select(F.lit("TELEGRAM").alias("label"), "n"),
                 merge.count_outcomes("TG_RAW", batch, ["raw_key"], store.read("raw_messages"))]
 
@@ -99,9 +118,10 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
         old, of_kind = store.read(table), F.col("message_type_id") == kind
         counters.append(merge.count_outcomes(label, batch.where(of_kind), ["raw_key"], old))
         rows = newest.where(of_kind)
-        rows = chat_ops.extract_statistics(rows) if table == "statistic" else rows
+        rows = (chat_ops.extract_statistics(rows) if table == "statistic" else rows).withColumn("month", _month())
         update = [c for c in old.columns if c != "raw_key"]
-        store.stage(table, merge.upsert(old, rows, ["raw_key"], update, ["date", "ident"], collapsed=True))
+        store.merge(table, ["raw_key"], rows, lambda stored, rows=rows, update=update: merge.upsert(
+            stored, rows, ["raw_key"], update, ["date", "ident"], collapsed=True))
 
     undated = messages.where(F.col("date").isNull() | F.col("message_id").isNull()).select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), F.lit("missing_date").alias("reason"),
@@ -109,7 +129,7 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
     bad = staged.where(F.col("quarantine").isNotNull()).select(
         "raw_key", "part_no", F.col("quarantine").alias("reason"), "payload")
     _quarantine(store, bad.unionByName(undated, allowMissingColumns=True))
-    store.stage("raw_messages", _raw(store, newest))
+    _raw(store, newest)
     return _report(store, counters)
 
 
@@ -133,7 +153,7 @@ def ingest_mail(store: Store, mails: DataFrame) -> DataFrame:
         F.concat(F.lit("mail-"), F.col("email_uid")).alias("raw_key"), F.lit("missing_date").alias("reason"))
     bad = staged.where(F.col("quarantine").isNotNull()).select("raw_key", "part_no", F.col("quarantine").alias("reason"))
     _quarantine(store, bad.unionByName(undated, allowMissingColumns=True))
-    store.stage("raw_messages", _raw(store, newest))
+    _raw(store, newest)
     return _report(store, counters)
 
 
@@ -154,20 +174,27 @@ def urls_to_fetch(store: Store) -> DataFrame:
     return fetching.refetch_candidates(store.read("vacancy_web")).distinct()
 
 
+def _fetch_log(log: DataFrame) -> DataFrame:
+    """Logs without a fetch time hold one answer per url or equally new ones."""
+    return log if "fetched" in log.columns else log.withColumn("fetched", F.lit(None).cast("timestamp_ntz"))
+
+
 def ingest_fetches(store: Store, log: DataFrame, run_ts: datetime) -> DataFrame:
     """One run over a landed fetch log (``url, status, html``)."""
-    results = fetching.detect_blocked(fetching.fetch_rows(log)).select(
-        "url", F.col("html").alias("raw_html"), F.col("status").alias("status_code"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("last_check"), X.canonical_url(F.col("url")).alias("canonical_url"))
-    batch = store.stage("_batch", results)
+    results = fetching.detect_blocked(fetching.fetch_rows(_fetch_log(log))).select(
+        "url", "fetched", "html", bodies.body_key("html").alias("page_key"), F.col("status").alias("status_code"),
+        F.lit(run_ts).cast("timestamp_ntz").alias("last_check"))
+    whole = store.stage("_batch", fetching.resolve(results, store.read("url_aliases")))
+    _bodies(store, whole, "html")
+    batch = whole.drop("html").withColumn("canonical_url", X.canonical_url(F.col("url")))
     urls = store.read("vacancy_web")
     counters = [merge.count_outcomes("WEB_URL", batch, ["url"], urls)]
     rows = batch.withColumn("parsing_date", F.lit(None).cast("timestamp_ntz"))
-    # Several answers for one url in a log: a full page beats an error.
-    order = ["status_rank", "raw_html"]
+    # Several answers for one url in a log: the newest counts, and of equally new ones a full page beats an error.
+    order = ["fetched", "status_rank", "page_key"]
     ranked = rows.withColumn("status_rank", F.when(F.col("status_code") == 200, 2).when(F.col("status_code") == 404, 1).otherwise(0))
     store.stage("vacancy_web", merge.upsert(
-        urls, ranked, ["url"], ["canonical_url", "raw_html", "status_code", "last_check", "parsing_date"], order))
+        urls, ranked, ["url"], ["canonical_url", "page_key", "status_code", "last_check", "parsing_date"], order))
     return _report(store, counters)
 
 
@@ -175,19 +202,22 @@ def parse_pages(store: Store, run_ts: datetime, from_date: datetime | None = Non
     """One run over the fetched pages that are due."""
     urls = store.read("vacancy_web")
     joined = fetching.join_web_vacancy_raw(
-        urls.select("url", "raw_html", "status_code", "last_check", "parsing_date", "data_hash"),
+        urls.select("url", "page_key", "status_code", "last_check", "parsing_date", "data_hash"),
         store.read("vacancies").select("data_hash", "raw_key"), store.read("raw_messages").select("raw_key", "date"))
-    due = fetching.parse_due(joined, from_date).select("url", "data_hash", "raw_key", "date", F.col("raw_html").alias("html"))
+    # Pages are fetched for the due rows alone, by key.
+    due = bodies.with_body(fetching.parse_due(joined, from_date).select("url", "data_hash", "raw_key", "date", "page_key"),
+                           store.read("bodies"), "page_key", "html")
     parsed = store.stage("_pages", datasets.extract_web(due))
     good = parsed.where(F.col("quarantine").isNull())
     counters = [parsed.agg(F.count(F.lit(1)).alias("n")).select(F.lit("WEB_VACANCY_PARSED").alias("label"), "n")]
 
-    errors = parsed.select("data_hash", F.col("parsing_error").alias("web_parsing_error"), "date")
-    store.stage("vacancies", merge.upsert(store.read("vacancies"), errors, ["data_hash"], ["web_parsing_error"], ["date"]))
+    errors = parsed.select("data_hash", "raw_key", F.col("parsing_error").alias("web_parsing_error"), "date", _month())
+    store.merge("vacancies", ["data_hash"], errors, lambda old: merge.upsert(old, errors, ["data_hash"], ["web_parsing_error"], ["date"]))
     long = reshape.to_long(good.withColumn("ident", F.lit(0).cast("bigint")).withColumn("part_no", F.lit(0)),
                            ["data_hash", *_ORDER])
     _attributes(store, long, S.WEB, F.lit(run_ts))
     store.stage("vacancy_web", fetching.apply_web_parse(urls, parsed, run_ts))
+    store.stage("url_aliases", fetching.aliases(store.read("url_aliases"), good))
     _quarantine(store, parsed.where(F.col("quarantine").isNotNull()).select(
         "raw_key", F.col("quarantine").alias("reason"), F.col("page_url").alias("payload")))
     return _report(store, counters)
@@ -200,15 +230,13 @@ def delete_messages(store: Store, raw_keys: DataFrame) -> DataFrame:
     and lose their pointer. Values stay, as other vacancies share them.
     """
     gone = store.stage("_gone", raw_keys.select("raw_key").distinct())
-    tables = ["raw_messages", "vacancies", "statistic", "service"]
-    left = merge.cascade_delete({t: (store.read(t), "raw_key") for t in tables}, gone, "raw_key")
-    lost = store.read("vacancies").join(gone, "raw_key", "left_semi").select("data_hash")
-    left |= merge.cascade_delete({"vacancy_data_vacancies_links": (store.read("vacancy_data_vacancies_links"), "data_hash")}, lost, "data_hash")
-    pointed = lost.select(F.col("data_hash").alias("_lost")).distinct()
+    lost = store.stage("_lost", store.read("vacancies").join(gone, "raw_key", "left_semi").select("data_hash").distinct())
+    left = {t: store.drop_rows(t, "raw_key", gone) for t in ("raw_messages", "vacancies", "statistic", "service")}
+    left["vacancy_data_vacancies_links"] = store.drop_rows("vacancy_data_vacancies_links", "data_hash", lost)
+    pointed = lost.select(F.col("data_hash").alias("_lost"))
     urls = store.read("vacancy_web").join(pointed, F.col("data_hash") == F.col("_lost"), "left")
-    left["vacancy_web"] = urls.withColumn("data_hash", F.when(F.col("_lost").isNull(), F.col("data_hash"))).drop("_lost")
-    staged = [store.stage(name, df).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("label"), "n") for name, df in left.items()]
-    return _report(store, staged)
+    left["vacancy_web"] = store.stage("vacancy_web", urls.withColumn("data_hash", F.when(F.col("_lost").isNull(), F.col("data_hash"))).drop("_lost"))
+    return _report(store, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("label"), "n") for name, df in left.items()])
 
 
 def report(store: Store) -> DataFrame:

@@ -13,6 +13,7 @@ from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
 from jobsignal.sources import fixtures
+from jobsignal.sources.bodies import bodies_of, body_key, keyed, with_body
 
 QUERIES, query = registry()
 
@@ -82,7 +83,17 @@ def upsert_vacancy(spark, sf_dir):
 def _stored_urls(parts):
     """Url table after the first run: newest vacancy per url, every page fetched."""
     newest = merge.latest_per_key(parts.where(_before()).select("url", "data_hash", *ORDER), ["url"], ORDER)
-    return newest.select("url", F.lit("page").alias("raw_html"), F.lit(200).alias("status_code"), "data_hash")
+    return _paged(newest)
+
+
+def _paged(urls):
+    """Urls with a fetched page each, held by its key."""
+    return urls.select("url", body_key(F.lit("page")).alias("page_key"), F.lit(200).alias("status_code"), "data_hash")
+
+
+def _with_pages(urls, pages):
+    """The url table with the pages themselves, read by key from the distinct ones."""
+    return with_body(urls, bodies_of(pages, "raw_html").dropDuplicates(["body_key"]), "page_key", "raw_html")
 
 
 ORDER = ["date", "message_id", "part_no"]
@@ -105,7 +116,8 @@ FROM o FULL JOIN b ON o.url = b.url"""
 def upsert_url_chat(spark, sf_dir):
     """A known url keeps its page; the pointer moves to the newest vacancy."""
     parts = T.chat_vacancies(spark, sf_dir)
-    return fetching.point_urls(_stored_urls(parts), parts.where(_batch()).select("url", "data_hash", *ORDER), ORDER)
+    done = fetching.point_urls(_stored_urls(parts), parts.where(_batch()).select("url", "data_hash", *ORDER), ORDER)
+    return _with_pages(done, spark.range(1).select(F.lit("page").alias("raw_html")))
 
 
 MAIL_CUT = "cut AS (SELECT TIMESTAMP '2025-03-01' AS s, TIMESTAMP '2024-12-01' AS a)"
@@ -118,9 +130,9 @@ def upsert_url_email_reset(spark, sf_dir):
     order = ["date", "email_uid", "part_no"]
     parts = T.mail_vacancies(spark, sf_dir).select("url", "data_hash", *order)
     at = lambda text: F.lit(text).cast("timestamp_ntz")
-    stored = merge.latest_per_key(parts.where(F.col("date") < at("2025-03-01")), ["url"], order).select(
-        "url", F.lit("page").alias("raw_html"), F.lit(200).alias("status_code"), "data_hash")
-    return fetching.reset_known_urls(stored, parts.where(F.col("date") >= at("2024-12-01")), order)
+    stored = _paged(merge.latest_per_key(parts.where(F.col("date") < at("2025-03-01")), ["url"], order))
+    done = fetching.reset_known_urls(stored, parts.where(F.col("date") >= at("2024-12-01")), order)
+    return _with_pages(done, spark.range(1).select(F.lit("page").alias("raw_html")))
 
 
 @query("upsert_attr", E.with_(E.PARTS, E.CHAT, E.CHAT_LONG, f"""
@@ -172,14 +184,14 @@ def link_append(spark, sf_dir):
     return merge.append_links(long.where(_before()).select(*keys), long.where(_batch()).select(*keys))
 
 
-@query("cascade_delete", E.with_(E.PARTS, E.CHAT, E.CHAT_TYPES, E.CHAT_LONG, f"""
+@query("cascade_delete", E.with_(E.PARTS, E.CHAT, E.CHAT_TYPES, E.CHAT_LONG, """
 last AS (SELECT url, arg_max(message_id, struct_pack(d := date, m := message_id, p := part_no)) AS m,
   arg_max(date, struct_pack(d := date, m := message_id, p := part_no)) AS d FROM chat GROUP BY url)""") + f"""
-SELECT 'vacancies' AS child, count(*) AS n FROM chat WHERE date < TIMESTAMP '{SINCE}'
-UNION ALL SELECT 'vacancy_web', count(*) FROM last WHERE d < TIMESTAMP '{SINCE}'
-UNION ALL SELECT 'statistic', count(*) FROM chat_types WHERE message_type_id = 2 AND date < TIMESTAMP '{SINCE}'
-UNION ALL SELECT 'service', count(*) FROM chat_types WHERE message_type_id = 3 AND date < TIMESTAMP '{SINCE}'
-UNION ALL SELECT 'vacancy_data_vacancies_links', count(*) FROM chat_eav WHERE date < TIMESTAMP '{SINCE}'""")
+SELECT 'vacancies' AS child, data_hash AS k, message_id AS parent FROM chat WHERE date < TIMESTAMP '{SINCE}'
+UNION ALL SELECT 'vacancy_web', url, m FROM last WHERE d < TIMESTAMP '{SINCE}'
+UNION ALL SELECT 'statistic', message_id::VARCHAR, message_id FROM chat_types WHERE message_type_id = 2 AND date < TIMESTAMP '{SINCE}'
+UNION ALL SELECT 'service', message_id::VARCHAR, message_id FROM chat_types WHERE message_type_id = 3 AND date < TIMESTAMP '{SINCE}'
+UNION ALL SELECT 'vacancy_data_vacancies_links', data_hash || ' ' || attr_id || ' ' || attr_value, NULL FROM chat_eav WHERE date < TIMESTAMP '{SINCE}'""")
 def cascade_delete(spark, sf_dir):
     """Rows left in every child table after the newer messages were deleted."""
     chat, parts = T.typed_chat(spark, sf_dir), T.chat_vacancies(spark, sf_dir)
@@ -188,12 +200,16 @@ def cascade_delete(spark, sf_dir):
                 "statistic": (chat.where("message_type_id = 2"), "message_id"),
                 "service": (chat.where("message_type_id = 3"), "message_id")}
     left = merge.cascade_delete(children, chat.where(~_before()), "message_id")
+    keys = {"vacancies": "data_hash", "vacancy_web": "url"}
+    rows = [df.select(F.lit(name).alias("child"), F.col(keys.get(name, "message_id")).cast("string").alias("k"), F.col("message_id").alias("parent"))
+            for name, df in left.items()]
     links = T.chat_long(spark, sf_dir).select("data_hash", "attr_id", "attr_value")
-    left |= merge.cascade_delete({"vacancy_data_vacancies_links": (links, "data_hash")}, parts.where(~_before()), "data_hash")
-    counts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("child"), "n") for name, df in left.items()]
-    result = counts[0]
-    for c in counts[1:]:
-        result = result.unionByName(c)
+    kept = merge.cascade_delete({"links": (links, "data_hash")}, parts.where(~_before()), "data_hash")["links"]
+    rows.append(kept.select(F.lit("vacancy_data_vacancies_links").alias("child"), F.concat_ws(" ", "data_hash", "attr_id", "attr_value").alias("k"),
+                            F.lit(None).cast("long").alias("parent")))
+    result = rows[0]
+    for part in rows[1:]:
+        result = result.unionByName(part)
     return result
 
 
@@ -201,19 +217,23 @@ def cascade_delete(spark, sf_dir):
 
 def _fetched_urls(spark, sf_dir):
     newest = T.newest_fetch(spark, sf_dir).select(
-        "url", F.col("html").alias("raw_html"), F.col("ts").alias("last_check"), F.col("status").alias("status_code"))
+        "url", body_key("html").alias("page_key"), F.col("ts").alias("last_check"), F.col("status").alias("status_code"))
     return fetching.apply_fetch(T.user_urls(spark, sf_dir), newest, ["last_check"]).drop("outcome")
 
 
+def _fetched_pages(spark, sf_dir):
+    return fetching.detect_blocked(T.fetch_results(spark, sf_dir)).select(F.col("html").alias("raw_html"))
+
+
 @query("apply_fetch", E.with_(E.FETCH) + """
 SELECT url, html AS raw_html, status AS status_code, epoch_us(ts) AS checked_us, true AS unparsed FROM newest""")
 def apply_fetch(spark, sf_dir):
     """Every attempt of the log is applied; the newest one per url decides."""
     results = fetching.detect_blocked(T.fetch_results(spark, sf_dir)).select(
-        "url", F.col("html").alias("raw_html"), F.col("ts").alias("last_check"), F.col("status").alias("status_code"),
+        "url", body_key("html").alias("page_key"), F.col("ts").alias("last_check"), F.col("status").alias("status_code"),
         "event_id")
     urls = T.user_urls(spark, sf_dir).withColumn("parsing_date", F.lit(RUN_TS).cast("timestamp_ntz"))
-    done = fetching.apply_fetch(urls, results, ["last_check", "event_id"])
+    done = _with_pages(fetching.apply_fetch(urls, results, ["last_check", "event_id"]), _fetched_pages(spark, sf_dir))
     return done.select("url", "raw_html", "status_code", F.unix_micros(F.col("last_check").cast("timestamp")).alias("checked_us"),
                        F.col("parsing_date").isNull().alias("unparsed"))
 
@@ -270,10 +290,11 @@ SELECT n.url, CASE WHEN b.url IS NOT NULL THEN b.raw_html ELSE n.html END AS raw
   epoch_us(CASE WHEN b.url IS NOT NULL THEN b.last_check ELSE n.ts END) AS checked_us
 FROM newest n LEFT JOIN backup b ON n.url = b.url""")
 def restore_from_backup(spark, sf_dir):
+    backup = fixtures.url_backup(spark, sf_dir)
     restored = merge.restore_from_backup(
-        _fetched_urls(spark, sf_dir), fixtures.url_backup(spark, sf_dir), "url",
-        ["raw_html", "status_code", "last_check"], ["last_check", "event_id"])
-    return restored.select("url", "raw_html", "status_code",
+        _fetched_urls(spark, sf_dir), keyed(backup, raw_html="page_key"), "url", ["page_key", "status_code", "last_check"], ["last_check", "event_id"])
+    pages = _fetched_pages(spark, sf_dir).union(backup.select("raw_html"))
+    return _with_pages(restored, pages).select("url", "raw_html", "status_code",
                            F.unix_micros(F.col("last_check").cast("timestamp")).alias("checked_us"))
 
 

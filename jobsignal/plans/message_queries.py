@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.functions import dom
-from jobsignal.operators import analytics, chat as chat_ops, classify, mail as mail_ops, reshape
+from jobsignal.operators import analytics, chat as chat_ops, classify, mail as mail_ops, search
 from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.layouts import LAYOUTS
 from jobsignal.plans.registry import registry
+from jobsignal.session import work_folder
 from jobsignal.sources import landing
 
 QUERIES, query = registry()
@@ -236,30 +237,47 @@ def quality_report(spark, sf_dir):
 
 # ----------------------------------------------------------------------- search
 
-@query("filter_vacancies", E.with_(E.PARTS, E.CHAT) + """
-SELECT data_hash, position, company, location, experience, salary_from FROM chat
-WHERE contains(lower(position), 'widget') AND contains(lower(location), 'nation1') AND experience <= 3 AND salary_from >= 1500""")
+_WORDS = {"position": ["widget"], "company": ["supplier"]}
+_FOUND = ["data_hash", "origin", "position", "company", "location", "experience", "salary_from", "tech_stack"]
+
+
+def _has_word(column: str, word: str) -> str:
+    return f"list_contains(regexp_split_to_array(lower({column}), '[^\\p{{L}}\\p{{N}}]+'), '{word}')"
+
+
+@query("filter_vacancies", E.with_(E.PARTS, E.CHAT, E.MAIL, E.WEB, E.REPORT) + f"""
+SELECT {', '.join(_FOUND)} FROM report WHERE {' AND '.join(_has_word(c, w) for c, some in _WORDS.items() for w in some)}
+  AND experience <= 3 AND salary_from >= 1500""")
 def filter_vacancies(spark, sf_dir):
-    wide = reshape.typed(reshape.to_wide(T.chat_long(spark, sf_dir)))
-    found = analytics.filter_vacancies(wide, contains={"position": "Widget", "location": "nation1"},
-                                       at_most={"experience": 3}, at_least={"salary_from": 1500})
-    return found.select("data_hash", "position", "company", "location", "experience", "salary_from")
+    """Search over the vacancies of all sources through the inverted index and the typed table."""
+    path = f"{work_folder(spark)}/{sf_dir.strip('/').replace('/', '_')}/search"
+    rows = T.report(spark, sf_dir).withColumn("month", F.date_format("date", "yyyy-MM"))
+    search.build(rows, path, ["position", "company", "location", "tech_stack"])
+    return search.search(spark, path, _WORDS, at_least={"salary_from": 1500}, at_most={"experience": 3}).select(*_FOUND)
 
 
-@query("label_dims", E.with_(E.CHAT_TYPES, "names(i, n) AS (VALUES " + E.values(list(S.MESSAGE_TYPES.items())) + ")") + """
-SELECT message_id, 'TELEGRAM' AS source_name, n AS type_name, message_type_id::INTEGER AS id_by_name
+@query("label_dims", E.with_(E.PARTS, E.CHAT, E.CHAT_TYPES, E.CHAT_LONG, "names(i, n) AS (VALUES " + E.values(list(S.MESSAGE_TYPES.items())) + ")",
+                            "attrs(i, n, t) AS (VALUES " + E.values(S.ATTRS) + ")") + """
+SELECT message_id::VARCHAR AS id, 'TELEGRAM' AS source_name, n AS type_name, message_type_id::INTEGER AS id_by_name, NULL AS attr_name, NULL AS attr_type, NULL AS attr_value
 FROM chat_types JOIN names ON i = message_type_id
-UNION ALL SELECT doc_id, 'WEB', 'TG_UNKNOWN', 4 FROM documents""")
+UNION ALL SELECT doc_id::VARCHAR, 'WEB', 'TG_UNKNOWN', 4, NULL, NULL, NULL FROM documents
+UNION ALL SELECT data_hash, 'TELEGRAM', NULL, attr_id, n, t, attr_value FROM chat_eav JOIN attrs ON i = attr_id""")
 def label_dims(spark, sf_dir):
-    """Names by id, and ids by configuration name, where unknown names fall back."""
-    types, sources = F.broadcast(S.types_frame(spark)), F.broadcast(S.sources_frame(spark))
+    """Names of types, sources and attributes by id, and ids by configuration name, where unknown names fall back."""
+    types, sources, attrs = (F.broadcast(frame(spark)) for frame in (S.types_frame, S.sources_frame, S.attrs_frame))
     chat = T.typed_chat(spark, sf_dir).select("message_id", "message_type_id", F.lit(S.CHAT).alias("message_source_id"))
     named = chat.join(types, "message_type_id").withColumn("wanted", F.lower("type_name")).select(
         "message_id", "message_source_id", "wanted")
     documents = T.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("message_id"), F.lit(S.WEB).alias("message_source_id"), F.col("source").alias("wanted"))
-    fallback = S.MESSAGE_TYPES[S.CHAT_UNKNOWN]
-    return (named.unionByName(documents).join(sources, "message_source_id")
-            .join(types, F.col("wanted") == F.col("config_name"), "left")
-            .select("message_id", "source_name", F.coalesce("type_name", F.lit(fallback)).alias("type_name"),
-                    F.coalesce("message_type_id", F.lit(S.CHAT_UNKNOWN)).alias("id_by_name")))
+    fallback, null = S.MESSAGE_TYPES[S.CHAT_UNKNOWN], lambda name: F.lit(None).cast("string").alias(name)
+    messages = (named.unionByName(documents).join(sources, "message_source_id")
+                .join(types, F.col("wanted") == F.col("config_name"), "left")
+                .select(F.col("message_id").cast("string").alias("id"), "source_name", F.coalesce("type_name", F.lit(fallback)).alias("type_name"),
+                        F.coalesce("message_type_id", F.lit(S.CHAT_UNKNOWN)).alias("id_by_name"), null("attr_name"), null("attr_type"), null("attr_value")))
+    # By configuration name and back: a value's attribute is found by its lower-case name, as a layout gives it.
+    names = attrs.select(F.lower("attr_name").alias("config_attr"), F.col("attr_id").alias("id_by_name"), "attr_name", "attr_type")
+    values = T.chat_long(spark, sf_dir).join(attrs.select("attr_id", F.lower("attr_name").alias("config_attr")), "attr_id")
+    labelled = values.withColumn("message_source_id", F.lit(S.CHAT)).join(sources, "message_source_id").join(F.broadcast(names), "config_attr").select(
+        F.col("data_hash").alias("id"), "source_name", null("type_name"), "id_by_name", "attr_name", "attr_type", "attr_value")
+    return messages.unionByName(labelled)

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from jobsignal import dictionaries as D
 from jobsignal import schemas as S
 from jobsignal.dictionaries import synonyms_frame
-from jobsignal.operators import classify, mail as mail_ops, merge, reshape
+from jobsignal.operators import classify, mail as mail_ops, merge, reshape, web as web_ops
 from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
 from jobsignal.session import work_folder
-from jobsignal.sources import landing
+from jobsignal.sources import bodies, landing
 from jobsignal.sources.store import Store
 
 QUERIES, query = registry()
@@ -68,40 +68,44 @@ def src_highwater(spark, sf_dir):
         source(landing.new_mail(orders, mail_mark), "mail"))
 
 
-def mail_values(spark, sf_dir):
-    """Dictionary name and text of every layout-1 detail as it stands in the mails."""
-    nodes = mail_ops.hits_of(mail_ops.route_template(T.mails(spark, sf_dir)).where("layout = 1"), 1)
-    pieces = mail_ops.v1_details(nodes)
-    named = F.array(*[F.struct(F.lit(d).alias("dict"), F.get("pieces", F.lit(i)).alias("source_text"))
-                      for i, d in enumerate(["experience", "lingvo", "employment", "candidate_locations"])])
-    return (pieces.select("email_uid", "part_no", F.explode(named).alias("v"))
-            .select("email_uid", "part_no", "v.*").where(F.col("source_text").isNotNull()))
+def dictionary_values(spark, sf_dir):
+    """Dictionary name and text of everything that a parser looks up: cards of both mail layouts, and pages."""
+    routed = mail_ops.route_template(T.mails(spark, sf_dir))
+    cards = [mail_ops.dictionary_texts(mail_ops.hits_of(routed.where(F.col("layout") == i), i), i) for i in (0, 1)]
+    pages = web_ops.dictionary_texts(web_ops.hits_of(T.pages(spark, sf_dir)))
+    rows = [df.select("dict", "source_text") for df in (*cards, pages)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
-MAIL_VALUES = """vals AS (
-  SELECT email_uid, part_no, unnest(['experience', 'lingvo', 'employment', 'candidate_locations']) AS dict,
-    unnest([CASE experience WHEN 0 THEN 'No experience' WHEN 1 THEN '1 year of experience'
-        ELSE experience::BIGINT || ' years of experience' END,
-      ['Upper-Intermediate', 'Intermediate', 'Fluent'][h % 3 + 1],
+_YEARS = "CASE {0} WHEN 0 THEN 'No experience' WHEN 1 THEN '1 year of experience' ELSE {0}::BIGINT || ' years of experience' END"
+VALUES = f"""vals AS (SELECT * FROM (
+  SELECT unnest(['mail_company', 'experience', 'mail_description']) AS dict,
+    unnest(['at ' || company, {_YEARS.format('coalesce(experience, 0)')}, 'Desc ' || h || '… Read more']) AS source_text FROM mail WHERE layout = 0
+  UNION ALL SELECT unnest(['experience', 'lingvo', 'employment', 'candidate_locations', 'mail_description', 'mail_subscription']),
+    unnest([{_YEARS.format('experience')}, ['Upper-Intermediate', 'Intermediate', 'Fluent'][h % 3 + 1],
       CASE WHEN NOT short THEN ['Office Work', 'Тільки віддалено', 'Part-time'][h % 3 + 1] END,
-      CASE WHEN NOT short THEN ['Україна', 'Весь світ', 'NATION_1'][h % 3 + 1] END]) AS source_text
-  FROM mail WHERE layout = 1)"""
+      CASE WHEN NOT short THEN ['Україна', 'Весь світ', 'NATION_1'][h % 3 + 1] END, 'Desc ' || h, 'Subscription: ' || position]) FROM mail WHERE layout = 1
+  UNION ALL SELECT unnest(['lingvo', 'notes', 'notes']), unnest(['Upper-Intermediate', p_brand || ': ' || p_size || ' years', 'German: B1']) FROM web
+  UNION ALL SELECT unnest(['experience', 'employment', 'candidate_locations', 'lingvo', 'employment', 'domain', 'company_type', 'offices']),
+    unnest([{_YEARS.format('(p_partkey % 6)')}, 'Office Work', 'Україна', 'Upper-Intermediate', 'Part-time', 'Domain: ' || p_type,
+      ['Продукт', 'Аутсорс', 'Стартап'][p_partkey % 3 + 1], 'Office: ' || offices]) FROM web WHERE full_card)
+  WHERE source_text IS NOT NULL)"""
 
 
 REMOVALS = "removals(dict, seq, fragment) AS (VALUES " + E.values(
     [(name, i, fragment) for name in D.REMOVALS for i, fragment in enumerate(D.REMOVALS[name])]) + ")"
 
 
-@query("dim_dictionaries", E.with_(E.PARTS, E.MAIL, MAIL_VALUES, E.SYNONYMS, REMOVALS) + """
-SELECT 'synonym' AS kind, s.dict, s.seq::INTEGER AS seq, s.source_text, s.target, count(v.email_uid) AS uses
+@query("dim_dictionaries", E.with_(E.PARTS, E.MAIL, E.WEB, VALUES, E.SYNONYMS, REMOVALS) + """
+SELECT 'synonym' AS kind, s.dict, s.seq::INTEGER AS seq, s.source_text, s.target, count(v.dict) AS uses
 FROM synonyms s LEFT JOIN vals v ON v.dict = s.dict AND v.source_text = s.source_text
 GROUP BY ALL
-UNION ALL SELECT 'removal', r.dict, r.seq::INTEGER, r.fragment, NULL, count(v.email_uid)
+UNION ALL SELECT 'removal', r.dict, r.seq::INTEGER, r.fragment, NULL, count(v.dict)
 FROM removals r LEFT JOIN vals v ON v.dict = r.dict AND contains(v.source_text, r.fragment)
 GROUP BY ALL""")
 def dim_dictionaries(spark, sf_dir):
-    """Every synonym and removal with its number of uses in the mails; texts are counted before they are compared."""
-    used = mail_values(spark, sf_dir).groupBy("dict", "source_text").agg(F.count(F.lit(1)).alias("uses"))
+    """Every synonym and removal with its number of uses in mails and pages; texts are counted before they are compared."""
+    used = dictionary_values(spark, sf_dir).groupBy("dict", "source_text").agg(F.count(F.lit(1)).alias("uses"))
     uses = F.coalesce("uses", F.lit(0)).alias("uses")
     synonyms = F.broadcast(synonyms_frame(spark)).join(used, ["dict", "source_text"], "left").select(
         F.lit("synonym").alias("kind"), "dict", "seq", "source_text", "target", uses)
@@ -113,13 +117,13 @@ def dim_dictionaries(spark, sf_dir):
         F.lit("removal").alias("kind"), "dict", "seq", F.col("fragment").alias("source_text"), F.lit(None).cast("string").alias("target"), uses))
 
 
-@query("dict_normalize", E.with_(E.PARTS, E.MAIL, MAIL_VALUES, E.SYNONYMS) + """
+@query("dict_normalize", E.with_(E.PARTS, E.MAIL, E.WEB, VALUES, E.SYNONYMS) + """
 SELECT v.dict, coalesce(s.target, v.source_text) AS value, count(*) AS n, count(s.target) AS mapped
 FROM vals v LEFT JOIN synonyms s ON v.dict = s.dict AND v.source_text = s.source_text
 WHERE v.source_text IS NOT NULL GROUP BY ALL""")
 def dict_normalize(spark, sf_dir):
     """Whole-text synonyms by a join with the fixed-size dictionary."""
-    values = mail_values(spark, sf_dir).join(F.broadcast(synonyms_frame(spark)), ["dict", "source_text"], "left")
+    values = dictionary_values(spark, sf_dir).join(F.broadcast(synonyms_frame(spark)), ["dict", "source_text"], "left")
     return values.groupBy("dict", F.coalesce("target", "source_text").alias("value")).agg(
         F.count(F.lit(1)).alias("n"), F.count("target").alias("mapped"))
 
@@ -155,32 +159,36 @@ def dim_enums(spark, sf_dir):
 SELECT 'chat-' || message_id AS raw_key, message_id, strftime(t.date, {E.DAY}) AS date, text, 3 AS message_source_id,
   message_type_id FROM chat_text t JOIN chat_types USING (message_id)""")
 def sink_tables(spark, sf_dir):
-    """Round trip of a table through the store."""
+    """Round trip of a table through the store: rows by source and month, texts by content, a second run over one month."""
     store = Store(spark, _scratch(spark, sf_dir, "store"))
     rows = T.typed_chat(spark, sf_dir).select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), "message_id",
         F.lit(None).cast("bigint").alias("email_uid"), "date", "text", F.lit(None).cast("string").alias("html"),
         F.lit(S.CHAT).alias("message_source_id"), "message_type_id", F.lit(None).cast("string").alias("raw_parsing_error"))
-    store.stage("raw_messages", rows)
+    store.append("bodies", bodies.new_bodies(store.read("bodies"), store.stage(
+        "_given", bodies.bodies_of(rows, "text").withColumn("_place", F.monotonically_increasing_id()))))
+    stored = bodies.keyed(rows, text="text_key", html="html_key")
+    store.stage("raw_messages", stored.withColumn("message_type_id", F.lit(S.CHAT_UNKNOWN)))
     store.commit()
-    return store.read("raw_messages").select(
+    for month in (F.month("date") <= 6, F.month("date") > 6):
+        batch = stored.where(month)
+        store.merge("raw_messages", ["raw_key"], batch, lambda old, batch=batch: merge.upsert(
+            old, batch, ["raw_key"], ["message_type_id"], ["date"], collapsed=True))
+        store.commit()
+    read = bodies.with_body(store.read("raw_messages"), store.read("bodies"), "text_key", "text")
+    return read.select(
         "raw_key", "message_id", T.day("date").alias("date"), "text", "message_source_id", "message_type_id")
 
 
-REPORT = ["position", "company", "location", "experience", "salary_from", "salary_to", "job_desc_prev", "subscription"]
-
-
-@query("sink_report_export", E.with_(E.PARTS, E.CHAT) + """
-SELECT data_hash, position, company, location, experience, salary_from, salary_to, job_desc_prev, subscription,
-  year(date)::INTEGER AS year FROM chat""")
+@query("sink_report_export", E.with_(E.PARTS, E.CHAT, E.MAIL, E.WEB, E.REPORT) + f"""
+SELECT data_hash, origin, year(date)::INTEGER AS year, {', '.join(E.REPORT_COLUMNS)} FROM report""")
 def sink_report_export(spark, sf_dir):
-    """Flat report as CSV, one folder per year, read back with its header."""
+    """Flat report over chat, mails and pages as CSV, one folder per origin and year, read back with its header."""
     path = _scratch(spark, sf_dir, "report_csv")
-    wide = reshape.to_wide(T.chat_long(spark, sf_dir))
-    years = T.chat_vacancies(spark, sf_dir).select("data_hash", F.year("date").alias("year"))
-    wide.select("data_hash", *REPORT).join(years, "data_hash").write.mode("overwrite").partitionBy("year").option(
+    rows = T.report(spark, sf_dir).withColumn("year", F.year("date")).select("data_hash", *E.REPORT_COLUMNS, "origin", "year")
+    rows.hint("rebalance", "origin", "year").write.mode("overwrite").partitionBy("origin", "year").option(
         "header", True).option("quoteAll", True).option("escape", '"').csv(path)
-    schema = ", ".join(f"{c} string" for c in ["data_hash", *REPORT]) + ", year int"
+    schema = ", ".join(f"{c} string" for c in ["data_hash", *E.REPORT_COLUMNS, "origin"]) + ", year int"
     back = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     return reshape.typed(back)
 

@@ -50,34 +50,48 @@ def _table(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, nullable) for name, kind, nullable in fields])
 
 
-_S, _L, _I, _D, _TS = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampNTZType()
+_S, _L, _I, _D, _TS, _B = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.TimestampNTZType(), T.BinaryType()
 
 TABLES = {
     "raw_messages": _table(
         ("raw_key", _S, False), ("message_id", _L, True), ("email_uid", _L, True), ("date", _TS, False),
-        ("text", _S, True), ("html", _S, True), ("message_source_id", _I, False),
+        ("text_key", _B, True), ("html_key", _B, True), ("message_source_id", _I, False),
         ("message_type_id", _I, False), ("raw_parsing_error", _S, True)),
     "vacancies": _table(
         ("data_hash", _S, False), ("raw_key", _S, True), ("message_parsing_error", _S, True),
-        ("web_parsing_error", _S, True)),
+        ("web_parsing_error", _S, True), ("month", _S, True)),
     "vacancy_data": _table(
         ("attr_id", _I, False), ("attr_value", _S, False), ("attr_source_id", _I, False)),
     "vacancy_data_vacancies_links": _table(
         ("data_hash", _S, False), ("attr_id", _I, False), ("attr_value", _S, False), ("attr_source_id", _I, True),
-        ("written", _TS, True)),
+        ("written", _TS, True), ("month", _S, True)),
     "vacancy_web": _table(
-        ("url", _S, False), ("canonical_url", _S, False), ("raw_html", _S, True), ("last_check", _TS, True),
+        ("url", _S, False), ("canonical_url", _S, False), ("page_key", _B, True), ("last_check", _TS, True),
         ("status_code", _I, True), ("parsing_date", _TS, True), ("data_hash", _S, True)),
+    # A url as it was seen before its page named another one.
+    "url_aliases": _table(("seen_url", _S, False), ("url", _S, False)),
+    # Texts of messages, mails and pages under their keys.
+    "bodies": _table(("body_key", _B, False), ("body", _S, False)),
     "statistic": _table(
         ("raw_key", _S, False), ("vacancies_in_30d", _D, True), ("candidates_online", _D, True),
         ("min_salary", _D, True), ("max_salary", _D, True), ("responses_to_vacancies", _D, True),
-        ("vacancies_per_week", _D, True), ("candidates_per_week", _D, True), ("stat_parsing_error", _S, True)),
-    "service": _table(("raw_key", _S, False), ("text", _S, True)),
+        ("vacancies_per_week", _D, True), ("candidates_per_week", _D, True), ("stat_parsing_error", _S, True), ("month", _S, True)),
+    "service": _table(("raw_key", _S, False), ("text", _S, True), ("month", _S, True)),
     "quarantine": _table(
         ("raw_key", _S, True), ("part_no", _I, True), ("reason", _S, False), ("payload", _S, True)),
 }
 
-FETCH_LOG = _table(("url", _S, False), ("status", _I, True), ("html", _S, True))
+# How tables are laid out: partition column -> its value. ``month`` is that of the message (yyyy-MM).
+_SOURCE = "split_part(raw_key, '-', 1)"
+PARTITIONS = {
+    "raw_messages": {"p_source": "message_source_id", "p_month": "date_format(date, 'yyyy-MM')"},
+    "vacancies": {"p_source": _SOURCE, "p_month": "month"},
+    "vacancy_data_vacancies_links": {"p_month": "month"},
+    "statistic": {"p_source": _SOURCE, "p_month": "month"},
+    "service": {"p_source": _SOURCE, "p_month": "month"},
+}
+
+FETCH_LOG = _table(("url", _S, False), ("status", _I, True), ("html", _S, True), ("fetched", _TS, True))
 
 
 def sources_frame(spark: SparkSession) -> DataFrame:

@@ -1,12 +1,15 @@
 """The ingestion jobs over a store: reruns, split batches, write-backs."""
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from jobsignal import schemas as S
 from jobsignal.plans import datasets as T
 from jobsignal.plans import jobs
+from jobsignal.sources.bodies import with_body
 from jobsignal.sources.store import Store
 
 SF = "/root/testdata/sf0.001"
@@ -57,7 +60,7 @@ def test_one_batch_equals_two(spark, chat_store, tmp_path):
 
 def test_uncommitted_run_is_invisible(spark, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
-    store.stage("service", spark.createDataFrame([("a", "x")], "raw_key string, text string"))
+    store.stage("service", spark.createDataFrame([("a", "x", "2024-01")], "raw_key string, text string, month string"))
     assert store.read("service").count() == 0
     store.commit()
     assert store.read("service").count() == 1
@@ -121,7 +124,7 @@ def test_dead_run_stays_invisible(spark, tmp_path):
     """A run that dies after staging is never read, also when a later run over other tables commits."""
     path = str(tmp_path / "s")
     dead = Store(spark, path)
-    dead.stage("service", spark.createDataFrame([("dead", "x")], "raw_key string, text string"))
+    dead.stage("service", spark.createDataFrame([("dead", "x", "2024-01")], "raw_key string, text string, month string"))
     alive = Store(spark, path)
     alive.stage("quarantine", spark.createDataFrame([("a", 0, "r", "p")], "raw_key string, part_no int, reason string, payload string"))
     alive.commit()
@@ -131,18 +134,18 @@ def test_dead_run_stays_invisible(spark, tmp_path):
 
 
 def test_two_writers_keep_their_own_folders(spark, tmp_path):
-    path, schema = str(tmp_path / "s"), "raw_key string, text string"
+    path, schema = str(tmp_path / "s"), "raw_key string, text string, month string"
     one, two = Store(spark, path), Store(spark, path)
-    one.stage("service", spark.createDataFrame([("one", "x")], schema))
-    two.stage("service", spark.createDataFrame([("two", "x")], schema))
+    one.stage("service", spark.createDataFrame([("one", "x", "2024-01")], schema))
+    two.stage("service", spark.createDataFrame([("two", "x", "2024-01")], schema))
     one.commit()
     assert [r.raw_key for r in one.read("service").collect()] == ["one"]
 
 
 def test_lost_race_can_be_run_again(spark, tmp_path):
-    path, schema = str(tmp_path / "s"), "raw_key string, text string"
+    path, schema = str(tmp_path / "s"), "raw_key string, text string, month string"
     one, two = Store(spark, path), Store(spark, path)
-    one.stage("service", spark.createDataFrame([("one", "x")], schema))
+    one.stage("service", spark.createDataFrame([("one", "x", "2024-01")], schema))
     two.stage("statistic", two.read("statistic"))
     one.commit()
     with pytest.raises(RuntimeError, match="another writer"):
@@ -153,29 +156,98 @@ def test_lost_race_can_be_run_again(spark, tmp_path):
     assert [f.name for f in (tmp_path / "s" / "_commits").iterdir() if f.name.startswith(".run") and f.suffix != ".crc"] == []
 
 
-@pytest.mark.parametrize("left", [b"", b"\x00\x40{\"service\""])
+@pytest.mark.parametrize("left", [b"", b'{"service": {"": ["service/run'])
 def test_broken_manifest_is_passed_over(spark, tmp_path, left):
-    path, schema = str(tmp_path / "s"), "raw_key string, text string"
+    path, schema = str(tmp_path / "s"), "raw_key string, text string, month string"
     store = Store(spark, path)
-    store.stage("service", spark.createDataFrame([("one", "x")], schema))
+    store.stage("service", spark.createDataFrame([("one", "x", "2024-01")], schema))
     store.commit()
     (tmp_path / "s" / "_commits" / "run-2").write_bytes(left)
     again = Store(spark, path)
     assert again.committed() == 1 and [r.raw_key for r in again.read("service").collect()] == ["one"]
-    again.stage("service", spark.createDataFrame([("two", "x")], schema))
+    again.stage("service", spark.createDataFrame([("two", "x", "2024-01")], schema))
     assert again.commit() == 3
     assert [r.raw_key for r in store.read("service").collect()] == ["two"]
     assert store.expire(keep=1) == 1 and store.committed() == 3
 
 
+def files_of(store, table):
+    """Data files that the newest manifest leads to, by partition, with size and time."""
+    root, found = Path(store.path), {}
+    for part, folders in store.manifest()[table].items():
+        found[part] = sorted((str(f.relative_to(root)), f.stat().st_size, f.stat().st_mtime_ns) for folder in folders for f in (root / folder / part).glob("*.parquet"))
+    return found
+
+
+def test_small_batch_leaves_other_partitions_alone(spark, tmp_path):
+    """One message in a hundred, all of one month, is read again: files of all other months stay as they are."""
+    store = Store(spark, str(tmp_path / "s"))
+    chat = T.chat(spark, SF)
+    jobs.ingest_chat(store, chat)
+    months = [r[0] for r in chat.groupBy(F.date_format("date", "yyyy-MM").alias("m")).count().where("count > 3").orderBy("m").limit(9).collect()]
+    assert len(months) == 9
+    before = {t: files_of(store, t) for t in S.PARTITIONS}
+    texts = files_of(store, "bodies")
+    old = {t: rows(store, t) for t in TABLES}
+    again = chat.where(F.date_format("date", "yyyy-MM") == months[4])
+    assert again.count() * 50 < chat.count()
+    jobs.ingest_chat(store, again)
+    for table in S.PARTITIONS:
+        after = files_of(store, table)
+        assert set(after) == set(before[table]) and len(after) > 8, table
+        changed = {part for part in after if after[part] != before[table][part]}
+        assert changed <= {part for part in after if part.endswith(months[4])}, table
+    assert len(files_of(store, "raw_messages")) > 60 and set(files_of(store, "bodies")[""]) >= set(texts[""])
+    for table in TABLES:
+        assert rows(store, table) == old[table], table
+
+
+def test_message_that_moves_to_another_month(spark, tmp_path):
+    """A row whose partition changes leaves nothing behind in the old one."""
+    store = Store(spark, str(tmp_path / "s"))
+    chat = T.chat(spark, SF).where("message_id < 60")
+    jobs.ingest_chat(store, chat)
+    one = chat.orderBy("message_id").limit(1).withColumn("date", F.expr("date + interval 40 days"))
+    jobs.ingest_chat(store, one)
+    found = store.read("raw_messages")
+    assert found.count() == chat.count() and found.join(one, ["message_id", "date"]).count() == 1
+
+
+def test_texts_are_stored_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    chat = T.chat(spark, SF).where("message_id < 200").withColumn("text", F.when(F.col("message_id") % 2 == 0, F.lit("Same text")).otherwise(F.col("text")))
+    for batch in (chat.where("message_id < 150"), chat.where("message_id >= 100")):
+        jobs.ingest_chat(store, batch)
+    texts = store.read("bodies")
+    assert texts.count() == texts.select("body").distinct().count() == chat.select("text").distinct().count()
+    read = with_body(store.read("raw_messages"), texts, "text_key", "text").select("message_id", "text")
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, chat.select("message_id", "text").collect()))
+
+
+def test_urls_that_turn_out_to_be_one_opening(spark, tmp_path):
+    """Pages naming another url: one row per opening, aliases kept, later upserts and fetches touch that row."""
+    from jobsignal.operators import fetching
+    row = lambda url, key, parsed=None: (url, url, bytearray(b"k"), datetime(2025, 1, 1), 200, parsed, key)
+    schema = S.TABLES["vacancy_web"]
+    urls = spark.createDataFrame([row("u-long", "a"), row("u", "b"), row("v-x", "c"), row("v-y", "d"), row("w", "e")], schema)
+    parsed = spark.createDataFrame([("u-long", "u"), ("v-x", "v"), ("v-y", "v"), ("w", "w"), ("z-old", None)], "page_url string, url string")
+    done = fetching.apply_web_parse(urls, parsed, datetime(2025, 6, 1))
+    got = sorted((r.url, r.canonical_url, r.parsing_date is not None, r.data_hash) for r in done.collect())
+    assert got == [("u", "u", True, "a"), ("v", "v", True, "d"), ("w", "w", True, "e")]
+    known = fetching.aliases(spark.createDataFrame([("t", "u-long"), ("s", "q")], S.TABLES["url_aliases"]), parsed)
+    assert sorted(map(tuple, known.collect())) == [("s", "q"), ("t", "u"), ("u-long", "u"), ("v-x", "v"), ("v-y", "v")]
+    batch = fetching.resolve(spark.createDataFrame([("u-long", 1), ("t", 2), ("w", 3)], "url string, n int"), known)
+    assert sorted(map(tuple, batch.collect())) == [("u", 1), ("u", 2), ("w", 3)]
+
+
 def test_expire_keeps_what_is_read(spark, tmp_path):
-    store, schema = Store(spark, str(tmp_path / "s")), "raw_key string, text string"
+    store, schema = Store(spark, str(tmp_path / "s")), "raw_key string, text string, month string"
     for i in range(4):
-        store.stage("service", spark.createDataFrame([(str(i), "x")], schema))
+        store.stage("service", spark.createDataFrame([(str(i), "x", "2024-01")], schema))
         store.commit()
     assert store.expire(keep=1) == 3
     assert [r.raw_key for r in store.read("service").collect()] == ["3"]
-    store.stage("service", spark.createDataFrame([("4", "x")], schema))
+    store.stage("service", spark.createDataFrame([("4", "x", "2024-01")], schema))
     assert store.commit() == 5
 
 
@@ -235,7 +307,7 @@ def test_mail_then_web(spark, tmp_path):
     # Seeing the mails again resets the pages of known urls.
     again = counts(jobs.ingest_mail(store, mails))
     assert again["EMAIL_URL updated"] >= first["EMAIL_URL added"]
-    assert store.read("vacancy_web").where("raw_html IS NOT NULL").count() == 0
+    assert store.read("vacancy_web").where("page_key IS NOT NULL").count() == 0
 
     flat = jobs.report(store)
     assert flat.count() == store.read("vacancies").count()
