@@ -31,19 +31,41 @@ def _run(writer, checkpoint: str) -> None:
         stream.stop()
 
 
-def ingest(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: list[str]) -> None:
-    """Append each micro-batch, reduced to its newest row per key, as its own folder.
+# Key ranges of a keyed state table; a batch rewrites those that its keys fall into.
+STATE_BUCKETS = 64
 
-    The cost of a batch depends on the batch alone. A batch that is replayed after a
-    failure overwrites its own folder, so nothing is counted twice.
+
+def ingest(stream: DataFrame, table: str, checkpoint: str, keys: list[str], order: list[str], buckets: int = STATE_BUCKETS) -> None:
+    """Merge each micro-batch into a table of the newest row per key, bucket by bucket.
+
+    A batch reads the buckets of its own keys and writes them with dynamic partition overwrite; all other files stay,
+    and a reader finds one row per key without merging. Rows may arrive late or again: the order value decides,
+    so a batch that is replayed after a failure, also after some of its buckets were written, changes nothing.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, keys, order).select(*batch.columns).write.mode("overwrite").parquet(
-            f"{table}/batch={batch_id}")
+    def write(batch: DataFrame, _: int) -> None:
+        spark, path = batch.sparkSession, f"{table}/rows"
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("_bucket")
+        rows = latest_per_key(batch, keys, order).select(*batch.columns, bucket).persist()
+        try:
+            touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
+            if not touched:
+                return
+            known = _state(spark, table, rows.schema).where(F.col("_bucket").isin(touched))
+            merged = latest_per_key(known.unionByName(rows), keys, order).select(*rows.columns)
+            merged.hint("rebalance", "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+        finally:
+            rows.unpersist()
 
     _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
+def _state(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/rows")
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{table}/rows")
+
+
 def ingest_into_store(stream: DataFrame, store: Store, checkpoint: str, job: Callable[[Store, DataFrame], DataFrame]) -> None:
     """Run an ingestion job of the store on every micro-batch of landed rows.
 
@@ -57,10 +79,9 @@ def ingest_into_store(stream: DataFrame, store: Store, checkpoint: str, job: Cal
     _run(stream.writeStream.foreachBatch(write), checkpoint)
 
 
-def ingested(spark: SparkSession, table: str, schema: StructType, keys: list[str], order: list[str]) -> DataFrame:
-    """Keyed state over all batches. Late rows are accepted: the order value decides,
-    not the arrival."""
-    return latest_per_key(spark.read.schema(schema).parquet(f"{table}/batch=*"), keys, order)
+def ingested(spark: SparkSession, table: str, schema: StructType) -> DataFrame:
+    """Keyed state over all batches, one row per key. Late rows are accepted: the order value decides, not the arrival."""
+    return _state(spark, table, schema)
 
 
 def extract(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], table: str, checkpoint: str) -> None:
