@@ -106,6 +106,8 @@ def fitted(rows: DataFrame, sources: DataFrame) -> DataFrame:
             state = moved.select("k", "theta")
             break
         state = moved.select("k", "target", F.col("next").alias("theta"), F.col("new_low").alias("low"), F.col("new_high").alias("high"))
+    else:
+        raise RuntimeError(f"no tilt within {MOST_STEPS} steps: the worst source misses its target by a share of {worst}")
     return sources.join(state.select("k", "theta"), "k", "left")
 
 
