@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from jobsignal.operators import analytics, chat as chat_ops, reshape
+from jobsignal.operators import analytics, chat as chat_ops, reshape, sketches
 from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
+from jobsignal.session import work_folder
 from jobsignal.sources import landing
 
 QUERIES, query = registry()
@@ -157,3 +158,43 @@ def top_k_values(spark, sf_dir):
     lines = T.table(spark, sf_dir, "lineitem").join(
         T.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
     return analytics.top_k(lines, "p_brand", 5)
+
+
+def _daily(spark, sf_dir, name, rows):
+    """A table of daily rows, laid out by year and read back; a day's run would append its own."""
+    path = f"{work_folder(spark)}/{sf_dir.strip('/').replace('/', '_')}/daily/{name}"
+    rows.withColumn("year", F.year("day")).hint("rebalance", "year").write.mode("overwrite").partitionBy("year").parquet(path)
+    return spark.read.parquet(path)
+
+
+@query("top_k_stored", E.with_(E.PARTS, E.CHAT, E.MAIL, E.WEB, E.REPORT) + """
+SELECT company AS item, count(*) AS n FROM vac WHERE date >= TIMESTAMP '1996-01-01' AND date < TIMESTAMP '2025-03-01' GROUP BY company
+ORDER BY n DESC, item LIMIT 10""")
+def top_k_stored(spark, sf_dir):
+    """Companies with the most vacancies of a period, from stored daily summaries."""
+    rows = T.vacancies(spark, sf_dir).select(F.to_date("date").alias("day"), "company")
+    period = F.col("year").between(1996, 2025) & (F.col("day") < F.lit("2025-03-01").cast("date"))
+    stored = [_daily(spark, sf_dir, name, build(rows, "day", "company")).where(period)
+              for name, build in (("items", sketches.daily_items), ("counts", sketches.daily_counts))]
+    return sketches.top_items(*stored, 10)
+
+
+@query("openings_stored", E.with_(E.PARTS, E.CHAT, E.MAIL, E.WEB, E.REPORT).rstrip() + """,
+v AS (SELECT DISTINCT year(date)::VARCHAR AS year, origin, page_url FROM vac)
+SELECT year, count(DISTINCT page_url) AS openings, true AS close FROM v GROUP BY year
+UNION ALL SELECT 'chat and mail', count(*), true FROM (SELECT page_url FROM v GROUP BY page_url HAVING count(DISTINCT origin) = 2)""")
+def openings_stored(spark, sf_dir):
+    """Distinct openings per year and those that chat and mails share: exact, and whether the estimate from sketches
+    stored per day and origin is within four standard errors."""
+    rows = T.vacancies(spark, sf_dir).select("origin", F.to_date("date").alias("day"), F.col("canonical_url").alias("opening"))
+    stored = _daily(spark, sf_dir, "openings", sketches.opening_sketches(rows, ["origin", "day"], "opening"))
+    by_year = sketches.distinct_openings(stored.select(F.col("year").cast("string").alias("year"), "sketch"), ["year"])
+    exact = rows.select(F.year("day").cast("string").alias("year"), "opening").distinct().groupBy("year").agg(F.count(F.lit(1)).alias("exact"))
+    years = by_year.join(exact, "year").select("year", F.col("exact").alias("openings"), F.col("openings").alias("estimate"))
+    by_origin = sketches.distinct_openings(stored.select("origin", "sketch"), ["origin"])
+    one = by_origin.agg(*[F.max(F.when(F.col("origin") == o, F.col("sketch"))).alias(o) for o in ("chat", "mail")])
+    both = rows.select("origin", "opening").distinct().groupBy("opening").agg(F.count(F.lit(1)).alias("n")).where("n = 2").agg(F.count(F.lit(1)).alias("openings"))
+    shared = one.select(F.lit("chat and mail").alias("year"), both.scalar().alias("openings"),
+                        sketches.shared_openings(F.col("chat"), F.col("mail")).alias("estimate"))
+    error = 4 / 2 ** (sketches.LOG_ENTRIES / 2)
+    return years.unionByName(shared).select("year", "openings", (F.abs(F.col("estimate") - F.col("openings")) <= error * F.greatest("openings", F.lit(1))).alias("close"))
