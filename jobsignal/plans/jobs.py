@@ -118,10 +118,9 @@ def ingest_chat(store: Store, messages: DataFrame) -> DataFrame:
         old, of_kind = store.read(table), F.col("message_type_id") == kind
         counters.append(merge.count_outcomes(label, batch.where(of_kind), ["raw_key"], old))
         rows = newest.where(of_kind)
-        rows = (chat_ops.extract_statistics(rows) if table == "statistic" else rows).withColumn("month", _month())
+        rows = chat_ops.extract_statistics(rows) if table == "statistic" else rows
         update = [c for c in old.columns if c != "raw_key"]
-        store.merge(table, ["raw_key"], rows, lambda stored, rows=rows, update=update: merge.upsert(
-            stored, rows, ["raw_key"], update, ["date", "ident"], collapsed=True))
+        store.stage(table, merge.upsert(old, rows, ["raw_key"], update, ["date", "ident"], collapsed=True))
 
     undated = messages.where(F.col("date").isNull() | F.col("message_id").isNull()).select(
         F.concat(F.lit("chat-"), F.col("message_id")).alias("raw_key"), F.lit("missing_date").alias("reason"),
@@ -231,7 +230,8 @@ def delete_messages(store: Store, raw_keys: DataFrame) -> DataFrame:
     """
     gone = store.stage("_gone", raw_keys.select("raw_key").distinct())
     lost = store.stage("_lost", store.read("vacancies").join(gone, "raw_key", "left_semi").select("data_hash").distinct())
-    left = {t: store.drop_rows(t, "raw_key", gone) for t in ("raw_messages", "vacancies", "statistic", "service")}
+    left = {t: store.drop_rows(t, "raw_key", gone) for t in ("raw_messages", "vacancies")}
+    left |= {t: store.stage(t, store.read(t).join(gone, "raw_key", "left_anti")) for t in ("statistic", "service")}
     left["vacancy_data_vacancies_links"] = store.drop_rows("vacancy_data_vacancies_links", "data_hash", lost)
     pointed = lost.select(F.col("data_hash").alias("_lost"))
     urls = store.read("vacancy_web").join(pointed, F.col("data_hash") == F.col("_lost"), "left")

@@ -96,8 +96,8 @@ class Store:
                        for s in self._fs.listStatus(self._path(f"{folder}/{at}".rstrip("/"))) if s.isDirectory()]
         return folder, written
 
-    def stage(self, table: str, df: DataFrame, replaced: set[str] | None = None) -> DataFrame:
-        """Write this run's version of a table, or of its partitions ``replaced``, and return it as read back.
+    def stage(self, table: str, df: DataFrame, replaced: set[str] | None = None) -> DataFrame | None:
+        """Write this run's version of a table, or of its partitions ``replaced``; an unpartitioned one is returned as read back.
 
         A staged batch has exact sizes, which lets Spark decide broadcasts on facts,
         and it is what later steps re-read if an executor is lost.
@@ -105,10 +105,7 @@ class Store:
         folder, written = self._write(table, df)
         kept = {} if replaced is None else {part: f for part, f in self._base.get(table, {}).items() if part not in replaced}
         self._staged[table] = kept | {part: [folder] for part in written}
-        if table not in S.PARTITIONS:
-            return self.spark.read.parquet(f"{self.path}/{folder}")
-        paths = [f"{self.path}/{folder}/{part}" for part in written]
-        return self.spark.read.schema(S.TABLES[table]).parquet(*paths) if paths else self.spark.createDataFrame([], S.TABLES[table])
+        return self.spark.read.parquet(f"{self.path}/{folder}") if replaced is None and table not in S.PARTITIONS else None
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows to an unpartitioned table."""
@@ -121,8 +118,8 @@ class Store:
         value = lambda sql: F.coalesce(F.expr(sql).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
         return F.concat_ws("/", *[F.concat(F.lit(f"{p}="), value(sql)) for p, sql in S.PARTITIONS[table].items()]).alias("part")
 
-    def merge(self, table: str, keys: list[str], batch: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        """Replace the partitions that ``batch`` changes by ``merged`` of their rows; returns what was staged.
+    def merge(self, table: str, keys: list[str], batch: DataFrame, merged: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the partitions that ``batch`` changes by ``merged`` of their rows.
 
         Those are the partitions of the batch's rows and of the stored rows with their keys, found by a scan of keys alone.
         As many names reach the driver as there are partitions.
@@ -130,7 +127,7 @@ class Store:
         name = self._part_name(table)
         hit = self.read(table).join(batch.select(*keys), keys, "left_semi").select(name)
         changed = {r.part for r in batch.select(name).union(hit).distinct().collect()}
-        return self.stage(table, merged(self.read(table, changed)), changed)
+        self.stage(table, merged(self.read(table, changed)), changed)
 
     def drop_rows(self, table: str, key: str, gone: DataFrame) -> DataFrame:
         """Stage a table without the rows whose ``key`` is in ``gone``; only partitions that hold such rows are written anew."""
