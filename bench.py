@@ -25,7 +25,7 @@ HEADLINE = [
     "classify_chat", "salary_stats", "market_dynamics", "market_cube", "tech_demand", "eav_to_wide", "upsert_generic",
     "upsert_raw", "upsert_url_chat", "upsert_attr", "link_append", "apply_fetch", "restore_from_backup", "parse_due",
     "join_web_vacancy_raw", "latest_per_key", "fn_html_to_text", "fn_unwrap_tracking_url", "dom_select_css",
-    "collect_distinct_join", "src_email_files", "stream_ingest", "stream_counts",
+    "collect_distinct_join", "src_email_files", "stream_ingest", "stream_counts", "filter_vacancies", "top_k_stored", "openings_stored",
 ]
 
 
@@ -55,7 +55,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    for build in (datasets.chat, datasets.mails, datasets.pages, datasets.fetch_results, datasets.emls):
+    for build in (datasets.chat, datasets.mails, datasets.pages, datasets.fetch_results, datasets.emls, datasets.links):
         build(spark, SF_DIR)
     seconds = {}
     for name in sys.argv[1:] or [*HEADLINE, "whole_run"]:

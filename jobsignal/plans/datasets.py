@@ -14,7 +14,7 @@ from jobsignal.sources.fixtures import landed, table
 from jobsignal.sources.selecting import select
 from jobsignal.sources.shred import shred
 
-__all__ = ["table", "chat", "typed_chat", "mails", "emls", "mail_nodes", "mail_signs", "pages", "page_nodes", "chat_vacancies",
+__all__ = ["table", "chat", "typed_chat", "mails", "emls", "links", "mail_nodes", "mail_signs", "pages", "page_nodes", "chat_vacancies",
            "mail_vacancies", "web_vacancies", "vacancies", "all_long", "report", "chat_long", "fetch_results", "newest_fetch", "user_urls", "day"]
 
 
@@ -47,6 +47,10 @@ def mail_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shred(mails(spark, sf_dir))
 
 
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landed(spark, sf_dir, "links", fixtures.links)
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed(spark, sf_dir, "web", fixtures.web)
 

@@ -71,9 +71,9 @@ def fn_remove_repl(spark, sf_dir):
 @query("fn_unwrap_tracking_url", E.with_(E.PARTS) + """
 SELECT o_orderkey, k, 'https://djinni.co/jobs/' || pk AS url, 'https://djinni.co/jobs/' || pk || '-x/' AS plain FROM parts""")
 def fn_unwrap_tracking_url(spark, sf_dir):
-    return fixtures.order_parts(spark, sf_dir).select(
-        "o_orderkey", "k", X.unwrap_tracking_url(fixtures.tracking_url(F.col("pk"))).alias("url"),
-        X.unwrap_tracking_url(F.concat(F.lit("https://djinni.co/jobs/"), F.col("pk"), F.lit("-x/"))).alias("plain"))
+    """Links as they land: click-tracking ones, and plain ones that carry no target."""
+    return T.links(spark, sf_dir).select(
+        "o_orderkey", "k", X.unwrap_tracking_url(F.col("tracked")).alias("url"), X.unwrap_tracking_url(F.col("plain")).alias("plain"))
 
 
 @query("fn_canonical_url", "SELECT page_id, split_part(url, '-', 1) AS canonical FROM pages")

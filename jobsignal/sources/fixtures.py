@@ -124,6 +124,12 @@ def tracking_url(pk: Column) -> Column:
                  F.regexp_replace(F.replace(F.replace(packed, F.lit("+"), F.lit("-")), F.lit("/"), F.lit("_")), "=+$", ""))
 
 
+def links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``o_orderkey, k, tracked, plain``: both spellings of every vacancy's link."""
+    return order_parts(spark, sf_dir).select(
+        "o_orderkey", "k", tracking_url(F.col("pk")).alias("tracked"), _join("https://djinni.co/jobs/", F.col("pk"), "-x/").alias("plain"))
+
+
 def mail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``email_uid, date, html``: even orders in layout 0, odd ones in layout 1.
 
