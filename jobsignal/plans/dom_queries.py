@@ -21,14 +21,19 @@ def _web_nodes(spark, sf_dir):
     return shred(T.pages(spark, sf_dir))
 
 
-@query("dom_nodes", """
-SELECT page_id, len(regexp_extract_all(html, '<li>'))::INTEGER AS items,
-  len(regexp_extract_all(html, '<p>'))::INTEGER AS paragraphs,
-  len(regexp_extract_all(html, '<a '))::INTEGER AS links FROM (
-    SELECT page_id, regexp_replace(html, '<(script|style)>.*?</(script|style)>', '', 'gs') AS html FROM pages)""")
+@query("dom_nodes", r"""
+WITH cleaned AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'),
+    '<script>.*?</script>', '<script></script>', 'gs'), '<style>.*?</style>', '<style></style>', 'gs') AS html FROM pages),
+tags AS (SELECT page_id, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) AS tag FROM cleaned)
+SELECT lower(tag) AS tag, count(*) AS nodes, count(DISTINCT page_id) AS pages, round(count(*) / (SELECT count(*) FROM tags), 6) AS share
+FROM tags GROUP BY ALL""")
 def dom_nodes(spark, sf_dir):
-    count = lambda tag, name: F.size(dom.nodes_where(F.col("nodes"), dom.tag_is(tag))).alias(name)
-    return T.page_nodes(spark, sf_dir).select("page_id", count("li", "items"), count("p", "paragraphs"), count("a", "links"))
+    """Elements of all pages by tag: their number, the pages that have them, and their share; counted per page first."""
+    per_page = (T.page_nodes(spark, sf_dir).select("page_id", F.explode("nodes.tag").alias("tag")).where("tag NOT LIKE '#%'")
+                .groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n")))
+    per_tag = per_page.groupBy("tag").agg(F.sum("n").alias("nodes"), F.count(F.lit(1)).alias("pages"))
+    total = per_tag.agg(F.sum("nodes"))
+    return per_tag.select("tag", "nodes", "pages", F.round(F.col("nodes") / total.scalar(), 6).alias("share"))
 
 
 @query("dom_find", E.with_(E.WEB) + """

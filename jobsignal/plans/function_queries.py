@@ -108,9 +108,16 @@ def fn_strip_markup(spark, sf_dir):
     return T.table(spark, sf_dir, "documents").select("doc_id", X.strip_markup(F.col("text")).alias("text"))
 
 
-@query("fn_decode_header", "SELECT doc_id AS email_uid, 'Оголошення ' || doc_id AS subject FROM documents")
+@query("fn_decode_header", """
+SELECT 'Оголошення' AS topic, lang, source, count(*) AS mails, sum(doc_id)::BIGINT AS numbers, count(DISTINCT 'Оголошення ' || doc_id) AS subjects
+FROM documents GROUP BY lang, source""")
 def fn_decode_header(spark, sf_dir):
-    return parse_mail(T.emls(spark, sf_dir)).select("email_uid", "subject")
+    """Decoded subjects split into topic and number, joined to the documents they announce, by language and source."""
+    subject = F.split("subject", " ")
+    mails = parse_mail(T.emls(spark, sf_dir)).select("subject", F.get(subject, F.lit(0)).alias("topic"), F.get(subject, F.lit(1)).cast("bigint").alias("doc_id"))
+    documents = T.table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return mails.join(documents, "doc_id").groupBy("topic", "lang", "source").agg(
+        F.count(F.lit(1)).alias("mails"), F.sum("doc_id").alias("numbers"), F.countDistinct("subject").alias("subjects"))
 
 
 @query("fn_split_middot", E.with_(E.PARTS, E.MAIL) + """
