@@ -11,7 +11,7 @@ from jobsignal.operators import classify, mail as mail_ops, merge, reshape, web
 from jobsignal.plans import datasets as T
 from jobsignal.plans import expected as E
 from jobsignal.plans.registry import registry
-from jobsignal.session import work_folder
+from jobsignal.session import input_folder
 from jobsignal.sources import bodies, landing
 from jobsignal.sources.store import Store
 
@@ -19,7 +19,7 @@ QUERIES, query = registry()
 
 
 def _scratch(spark, sf_dir: str, name: str) -> str:
-    return f"{work_folder(spark)}/{sf_dir.strip('/').replace('/', '_')}/{name}"
+    return f"{input_folder(spark, sf_dir)}/{name}"
 
 
 @query("src_chat_messages", E.with_(E.PARTS, E.CHAT_TEXT, E.CHAT_TYPES) + f"""
