@@ -25,6 +25,14 @@ def test_salary(spark):
     assert [tuple(r) for r in column(spark, list(cases), X.salary_bounds)] == list(cases.values())
 
 
+def test_salary_texts_are_searched_once(spark):
+    """The run at the end and its two numbers: three searches, however often a bound is used."""
+    plan = spark.range(1).select(X.salary_bounds(F.col("id").cast("string")).alias("b")).select("b.lo", "b.hi")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("regexp_extract(") + text.count("RLIKE") == 3
+    assert column(spark, [None, "-1,5-+2", "9-1-2", "5-"], X.salary_bounds) == [(None, None), (-1.5, 2), (-1, 2), (None, None)]
+
+
 def test_numeric(spark):
     cases = {"3.0": 3, "1,5": 1.5, "1,234.5": None, " 7 ": 7, ".5": 0.5, "abc": None, "": None, "1.5f": None,
              " 7": 7, "1e5": None, "1.e2": 100}
