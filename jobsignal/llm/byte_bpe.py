@@ -177,6 +177,40 @@ def chunks(texts: Iterable[str], limit: int = CHUNK_CHARS) -> Iterator[list[str]
         yield chunk
 
 
+def encoded_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """key, n_tokens, ids and token_ends of batches of keys and texts."""
+    cache, (_, _, lengths) = MergeCache(path), token_table(path)  # a cache per task: idle workers hold none
+    for batch in batches:
+        keys, at = batch.column(0), 0
+        for part in chunks(t.as_py() for t in batch.column(1)):
+            ids, counts = encode_texts(part, cache)
+            ends = np.cumsum(lengths[ids])
+            first = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
+            base = np.where(first > 0, ends[np.maximum(first, 1) - 1], 0) if len(ends) else np.zeros(len(counts), np.int64)
+            offsets = (ends - np.repeat(base, counts)).astype(np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [keys.slice(at, len(part)), pa.array(counts), binaries(ids, counts), binaries(offsets, counts)],
+                names=[batch.schema.names[0], "n_tokens", "ids", "token_ends"])
+            at += len(part)
+
+
+def decoded_batches(batches: Iterator[pa.RecordBatch], path: str, out: str) -> Iterator[pa.RecordBatch]:
+    """Batches that end in ids and token ends, with ``out`` in place of those two: the bytes of the ids."""
+    table, starts, lengths = token_table(path)
+    for batch in batches:
+        n, decoded = batch.num_columns - 2, []
+        for row, marks in zip(batch.column(n), batch.column(n + 1)):
+            if not row.is_valid:
+                decoded.append(None)
+                continue
+            tokens = np.frombuffer(row.as_buffer(), "<u4")
+            size = lengths[tokens]
+            if not np.array_equal(np.cumsum(size), np.frombuffer(marks.as_buffer(), "<u4")):
+                raise ValueError("token ends and ids disagree")
+            decoded.append(table[ranges(starts[tokens], size)].tobytes())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(decoded, pa.binary())], names=[*batch.schema.names[:n], out])
+
+
 def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_tokens, ids and token_ends of every row of ``df``.
 
@@ -185,24 +219,8 @@ def encode(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") ->
     are each encoded; a null key stays null; other columns are ignored; an empty table gives no rows.
     """
     kept = df.select(F.col(key), text_of(text).alias("_text"))
-    field = df.schema[key]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, (_, _, lengths) = MergeCache(path), token_table(path)  # a cache per task: idle workers hold none
-        for batch in batches:
-            keys, at = batch.column(0), 0
-            for part in chunks(t.as_py() for t in batch.column(1)):
-                ids, counts = encode_texts(part, cache)
-                ends = np.cumsum(lengths[ids])
-                first = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-                base = np.where(first > 0, ends[np.maximum(first, 1) - 1], 0) if len(ends) else np.zeros(len(counts), np.int64)
-                offsets = (ends - np.repeat(base, counts)).astype(np.uint32)
-                yield pa.RecordBatch.from_arrays(
-                    [keys.slice(at, len(part)), pa.array(counts), binaries(ids, counts), binaries(offsets, counts)],
-                    names=[key, "n_tokens", "ids", "token_ends"])
-                at += len(part)
-
-    return kept.mapInArrow(run, f"`{key}` {field.dataType.simpleString()}, n_tokens long, ids binary, token_ends binary")
+    return kept.mapInArrow(lambda batches: encoded_batches(batches, path),
+                           f"`{key}` {df.schema[key].dataType.simpleString()}, n_tokens long, ids binary, token_ends binary")
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", ends: str = "token_ends", out: str = "decoded") -> DataFrame:
@@ -212,26 +230,20 @@ def decode(df: DataFrame, path: str, ids: str = "ids", ends: str = "token_ends",
     """
     rest = [c for c in df.columns if c not in (ids, ends, out)]
     schema = df.select(rest).schema.add(out, "binary")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, starts, lengths = token_table(path)
-        for batch in batches:
-            n, decoded = len(rest), []
-            for row, marks in zip(batch.column(n), batch.column(n + 1)):
-                if not row.is_valid:
-                    decoded.append(None)
-                    continue
-                tokens = np.frombuffer(row.as_buffer(), "<u4")
-                size = lengths[tokens]
-                if not np.array_equal(np.cumsum(size), np.frombuffer(marks.as_buffer(), "<u4")):
-                    raise ValueError("token ends and ids disagree")
-                decoded.append(table[ranges(starts[tokens], size)].tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(decoded, pa.binary())], names=[*rest, out])
-
-    return df.select(*rest, ids, ends).mapInArrow(run, schema)
+    return df.select(*rest, ids, ends).mapInArrow(lambda batches: decoded_batches(batches, path, out), schema)
 
 
 def round_trip(df: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids and of the bytes they decode to."""
-    encoded = encode(df, path).withColumn("ids_sha256", F.sha2("ids", 256))
-    return decode(encoded, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens and the digests of the ids and of the bytes they decode to.
+
+    ``encode`` and ``decode`` run batch by batch in one pass, so a task has one Python worker and not one for each.
+    """
+    kept = df.select("doc_id", text_of().alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoded = (pa.RecordBatch.from_arrays([*b.columns[:3], *b.columns[2:]], names=["doc_id", "n_tokens", "ids", "_ids", "_ends"])
+                   for b in encoded_batches(batches, path))
+        return decoded_batches(encoded, path, "decoded")
+
+    both = kept.mapInArrow(run, f"doc_id {df.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids binary, decoded binary")
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from jobsignal.llm import byte_bpe
 from jobsignal.llm.common import tokenizer_file
@@ -73,3 +74,14 @@ def test_rows(spark, library):
 def test_token_ends(spark):
     row = byte_bpe.encode(spark.createDataFrame([(1, "né e")], "doc_id long, text string"), PATH).first()
     assert np.frombuffer(row.token_ends, "<u4")[-1] == len("né e".encode())
+
+
+def test_round_trip_needs_one_worker_a_task(spark):
+    """Each Python pass of a stage keeps a worker of its own beside the others."""
+    df = spark.createDataFrame([(1, "né e'll " * 70), (2, None), (None, "a  b\n")], "doc_id long, text string")
+    found = byte_bpe.round_trip(df, PATH)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    parts = byte_bpe.decode(byte_bpe.encode(df, PATH).withColumn("ids_sha256", F.sha2("ids", 256)), PATH)
+    assert parts.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded"]
+    parts = parts.select(*parts.columns[:3], F.sha2("decoded", 256))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, parts.collect()), key=repr)
