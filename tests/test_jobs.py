@@ -264,6 +264,73 @@ def test_disagreeing_sources_keep_their_numbers(spark):
     assert reshape.vac_attr(links).first().attrs[ids["salary_from"]] == ["1000", "2000"]
 
 
+def _shuffles(df):
+    """Keys of the shuffles of a frame as planned, before anything runs."""
+    import re
+    return re.findall(r"Exchange (?:hashpartitioning\((.*?), \d+\)|(\w+))", df._jdf.queryExecution().executedPlan().toString())
+
+
+def _links(n):
+    """Links of few vacancies, with several values of an attribute, repeated links and missing values."""
+    import random
+    pick = random.Random(7)
+    text = lambda: pick.choice(["a", "b", "1000", "2000", "x" * 16, "x" * 40 + str(pick.randrange(3)), None, ""])
+    return [(pick.choice(["k1", "k2", "k3", "k4", None]), pick.choice([1, 2, 7, 8, 16]), text(), f"2024-01-0{pick.randrange(1, 4)}") for _ in range(n)]
+
+
+def test_wide_rows_against_plain_ones(spark):
+    """Attributes with one value, with several and with none, by vacancy."""
+    from jobsignal.operators import reshape
+    links = _links(60) + [("one", 1, "Dev", "2024-01-01"), ("one", 7, "100", "2024-01-01"), ("void", 2, None, "2024-01-01")]
+    df = spark.createDataFrame(links, "data_hash string, attr_id int, attr_value string, written string")
+    for newest in (None, ["written"]):
+        got = {r.data_hash: r.asDict() for r in reshape.to_wide(df, newest=newest).collect()}
+        assert set(got) == {k for k, *_ in links}
+        for key, row in got.items():
+            for name in S.STORED_ATTRS:
+                own = [(at, v) for k, i, v, at in links if k == key and i == S.ATTR_IDS[name]]
+                if newest and name in S.NUMERIC_ATTRS:
+                    want = max(own, key=lambda p: (p[0], p[1] is not None, p[1] or ""))[1] if own else None
+                else:
+                    want = ", ".join(sorted({v for _, v in own if v is not None})) if own else None
+                assert row[name] == want, (key, name, own)
+
+
+def test_attributes_of_a_vacancy_are_shuffled_once(spark):
+    from jobsignal.operators import reshape
+    links = _links(80)
+    df = spark.createDataFrame(links, "data_hash string, attr_id int, attr_value string, written string")
+    attrs = reshape.vac_attr(df)
+    assert [keys.partition("#")[0] for keys, _ in _shuffles(attrs)] == ["data_hash"]
+    want = {}
+    for key, i, value, _ in links:
+        want.setdefault(key, {}).setdefault(i, set()).update([] if value is None else [value])
+    assert {r.data_hash: r.attrs for r in attrs.collect()} == {k: {i: sorted(v) for i, v in own.items()} for k, own in want.items()}
+
+
+def test_links_are_appended_by_vacancy(spark):
+    """New links once, known ones not again, incomplete ones always; each side is shuffled once, by vacancy alone."""
+    from jobsignal.operators import merge
+    schema = "data_hash string, attr_id int, attr_value string"
+    stored, batch = [r[:3] for r in _links(40)], [r[:3] for r in _links(200)[100:]] + [("k1", None, "a"), ("k1", None, "a")]
+    stored += [("k1", None, "a")]
+    both = merge.append_links(spark.createDataFrame(stored, schema), spark.createDataFrame(batch, schema))
+    hashed = [keys for keys, _ in _shuffles(both) if keys]
+    assert len(hashed) == 2 and all(keys.startswith("data_hash#") and "," not in keys for keys in hashed)
+    want = stored + [r for r in dict.fromkeys(batch) if None in r or r not in stored]
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_inputs_are_shuffled_before_their_texts_are_made(spark):
+    """The texts of messages and mails never travel: the last shuffle deals out names and numbers by message."""
+    from jobsignal.sources import fixtures
+    for build in (fixtures.chat, fixtures.mail):
+        plan = build(spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert _shuffles(build(spark, SF))[0][0].startswith("o_orderkey") and plan.index("collect_list") < plan.index("Exchange hashpartitioning(o_orderkey")
+        below = plan[plan.index("Exchange hashpartitioning(o_orderkey"):]
+        assert "Exchange" not in plan[:plan.index("Exchange hashpartitioning(o_orderkey")] and "djinni" not in below and "collect_list" not in below
+
+
 def test_delete_messages(spark, chat_store, tmp_path):
     store = Store(spark, str(tmp_path / "s"))
     jobs.ingest_chat(store, T.chat(spark, SF))
